@@ -85,9 +85,8 @@ def split_bing_lines(lines: DataFrame, headers: list[str]) -> DataFrame:
     footer without counting lines, so the file may be split anywhere and files may be read together.
     """
     keys = [header_key(header) for header in headers]
-    schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
-    fields = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">"), {"escape": '"'})
-    rows = lines.select(fields.alias("row")).select("row.*")
+    schema = ", ".join(f"`{key}` STRING" for key in keys)
+    rows = lines.select(F.from_csv("value", schema, {"escape": '"'}).alias("row")).select("row.*")
     return rows.filter(F.try_to_date(F.col(keys[0]), BING_DATE_PATTERN).isNotNull())
 
 

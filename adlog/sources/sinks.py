@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 NULL_TEXT = "NA"
@@ -26,7 +27,7 @@ def write_report_csv(report: DataFrame, path: str, mode: str = "errorifexists")
     )
 
 
-def read_report_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_report_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Read back what :func:`write_report_csv` wrote."""
     return spark.read.csv(path, schema=schema, header=True, lineSep="\r\n", nullValue=NULL_TEXT, escape='"')
 
