@@ -1,0 +1,111 @@
+"""Row-level expressions."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from adlog.channels import BING_DEVICES, SEARCH_DEVICES
+from adlog.functions import scalars
+from adlog.functions.aggregates import ratio, sum_available, sum_count, sum_money, weighted_mean
+from adlog.functions.dates import as_date
+
+
+def apply(spark, expression, values, kind="string"):
+    """The expression on each value, in order."""
+    frame = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+    return [row[0] for row in frame.orderBy("i").select(expression(F.col("v"))).collect()]
+
+
+def test_search_devices(spark):
+    raw = ["Computers", "Tablets with full browsers", "Mobile devices with full browsers", "dt", "Other", None]
+    assert apply(spark, lambda v: scalars.relabel(v, SEARCH_DEVICES), raw) == ["dt", "dt", "mb", "dt", "Other", None]
+
+
+def test_bing_devices(spark):
+    raw = ["Computer", "Tablet", "Smartphone", "mb", None]
+    assert apply(spark, lambda v: scalars.relabel(v, BING_DEVICES), raw) == ["dt", "dt", "mb", "mb", None]
+
+
+def test_match_types(spark):
+    raw = ["b", "e", "p", "Broad", "Exact", "Phrase", None]
+    names = ["Broad", "Exact", "Phrase", "Broad", "Exact", "Phrase", None]
+    assert apply(spark, scalars.normalize_match_type, raw) == names
+
+
+def test_keywords(spark):
+    raw = ["+Paper +Cups", "paper   cups", "A  B", "+", None]
+    assert apply(spark, scalars.normalize_keyword, raw) == ["paper cups", "paper  cups", "a b", "", None]
+    assert apply(spark, scalars.normalize_keyword_bing, raw) == ["paper cups", "paper   cups", "a  b", "", None]
+
+
+def test_week_starts_on_monday_and_sunday_goes_on(spark):
+    days = [dt.date(2016, 5, 1), dt.date(2016, 5, 2), dt.date(2016, 5, 7), dt.date(2016, 5, 8), None]
+    weeks = [dt.date(2016, 5, 2), dt.date(2016, 5, 2), dt.date(2016, 5, 2), dt.date(2016, 5, 9), None]
+    assert apply(spark, scalars.monday_week, days, "date") == weeks
+
+
+def test_week_does_not_depend_on_the_time_zone(spark):
+    days = [dt.date(2016, 3, 13) + dt.timedelta(days=i) for i in range(400)]
+    expected = [day + dt.timedelta(days=1) if day.weekday() == 6 else day - dt.timedelta(days=day.weekday()) for day in days]
+    for zone in ("America/New_York", "Pacific/Apia", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        assert apply(spark, scalars.monday_week, days, "date") == expected
+
+
+def test_day_and_month(spark):
+    days = [dt.date(2016, 5, 1), dt.date(2016, 2, 29)]
+    assert apply(spark, scalars.day_of_week, days, "date") == ["Sunday", "Monday"]
+    assert apply(spark, scalars.month_bucket, days, "date") == [dt.date(2016, 5, 1), dt.date(2016, 2, 1)]
+    assert apply(spark, scalars.month_label, days, "date") == ["2016-05", "2016-02"]
+
+
+def test_keyword_id(spark):
+    assert apply(spark, scalars.keyword_id_from_tag, ["kwd-12", "12", "kwd-", "x", None]) == [12, 12, None, None, None]
+
+
+def test_capped_share_keeps_null(spark):
+    assert apply(spark, scalars.capped_share, [0.5, 1.0, 3.0, None], "double") == [0.5, 1.0, 1.0, None]
+
+
+def test_cohort_label(spark):
+    assert apply(spark, scalars.cohort_label, [1, 12], "long") == ["cohort_1", "cohort_12"]
+
+
+@pytest.mark.parametrize("value", ["2016-01-31", 20160131, "20160131", "2016-01-31 04:00:00", dt.datetime(2016, 1, 31, 4)])
+def test_dates(value):
+    assert as_date(value) == dt.date(2016, 1, 31)
+
+
+def aggregate(spark, data, schema, expression):
+    return spark.createDataFrame(data, schema).agg(expression.alias("x")).head()[0]
+
+
+def test_sum_of_nothing_is_zero(spark):
+    schema = "m decimal(18,2), n long"
+    assert aggregate(spark, [(None, None)], schema, sum_money(F.col("m"))) == 0.0
+    assert aggregate(spark, [(None, None)], schema, sum_count(F.col("n"))) == 0
+    assert aggregate(spark, [], schema, sum_money(F.col("m"))) == 0.0
+
+
+def test_money_sums_are_exact_in_any_order(spark):
+    frame = spark.range(100_000).select((F.col("id") % 10 * 0.1 + 0.01).cast("decimal(18,2)").alias("m"))
+    sums = {frame.repartition(n).agg(sum_money(F.col("m"))).head()[0] for n in (1, 3, 7)}
+    assert sums == {46000.0}
+
+
+def test_ratio_by_zero_is_null(spark):
+    frame = spark.createDataFrame([(1, 0), (0, 0), (1, 4), (None, 1)], "a long, b long")
+    assert [row[0] for row in frame.select(ratio(F.col("a"), F.col("b"))).collect()] == [None, None, 0.25, None]
+
+
+def test_weighted_mean_skips_missing_values_only(spark):
+    data = [(2.0, 10), (4.0, 30), (None, 1000)]
+    assert aggregate(spark, data, "x double, w long", weighted_mean(F.col("x"), F.col("w"))) == 3.5
+    assert aggregate(spark, [(None, 5)], "x double, w long", weighted_mean(F.col("x"), F.col("w"))) is None
+    assert aggregate(spark, [(2.0, 0)], "x double, w long", weighted_mean(F.col("x"), F.col("w"))) is None
+
+
+def test_available_impressions_skip_zero_and_missing_shares(spark):
+    data = [(100, 0.5), (100, 0.0), (100, None), (None, None)]
+    assert aggregate(spark, data, "i long, s double", sum_available(F.col("i"), F.col("s"))) == 200.0
