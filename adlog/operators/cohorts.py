@@ -40,7 +40,8 @@ def cohort_assignment(elog: DataFrame, keyword: str | None = None) -> DataFrame:
         .select("user_id", F.col("week_number").alias("cohort_week"))
     )
     numbered = rows.join(weeks, "week")
-    placed = left_join_spreading_nulls(numbered, cohorts, "user_id", ["date", "campaign_id", "device", "cost"])
+    told_apart_by = [name for name in ("date", "campaign_name", "device", "cost", "impressions") if name in rows.columns]
+    placed = left_join_spreading_nulls(numbered, cohorts, "user_id", told_apart_by)
     cohort_week = F.coalesce("cohort_week", "week_number")
     return placed.withColumn("cohort_week", cohort_week).withColumn("cohort", scalars.cohort_label(F.col("cohort_week")))
 

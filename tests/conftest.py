@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     SparkSession.builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+    SparkSession.builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staging")))
     session = apply_settings(local_session())
     yield session
     session.stop()
