@@ -5,6 +5,8 @@ A user belongs to the cohort of the first week they appear in; a row without a u
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,13 +78,13 @@ def cohort_roi_merge(totals: DataFrame) -> DataFrame:
 
 def cohort_totals(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     """Total cost (as a negative number), contribution and return of each cohort."""
-    sums = (
-        cohort_weeks(elog, keyword)
-        .groupBy("cohort_week")
-        .agg(
-            (F.sum("cost_cents") / CENTS).alias("spent"),
-            (F.sum("earned_cents") / CENTS * MARGIN).alias("cohort_contribution"),
-        )
+    return totals_of(cohort_weeks(elog, keyword))
+
+
+def totals_of(weeks: DataFrame) -> DataFrame:
+    sums = weeks.groupBy("cohort_week").agg(
+        (F.sum("cost_cents") / CENTS).alias("spent"),
+        (F.sum("earned_cents") / CENTS * MARGIN).alias("cohort_contribution"),
     )
     totals = sums.select(
         "cohort_week",
@@ -95,7 +97,11 @@ def cohort_totals(elog: DataFrame, keyword: str | None = None) -> DataFrame:
 
 def cohort_performance_over_time(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     """Running cost, contribution and return of each cohort."""
-    return cumulative(cohort_weeks(elog, keyword), "cohort_week", order="week_number")
+    return performance_of(cohort_weeks(elog, keyword))
+
+
+def performance_of(weeks: DataFrame) -> DataFrame:
+    return cumulative(weeks, "cohort_week", order="week_number")
 
 
 def cohort_breakeven(elog: DataFrame, keyword: str | None = None) -> DataFrame:
@@ -104,7 +110,11 @@ def cohort_breakeven(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     A cohort turns positive in a week that ends above zero after one that ended below, or that is its first.
     The first such week counts; a cohort without one has no number of weeks.
     """
-    running = cohort_performance_over_time(elog, keyword).filter(F.col("type") == "cum_ROI")
+    return breakeven_of(cohort_weeks(elog, keyword))
+
+
+def breakeven_of(weeks: DataFrame) -> DataFrame:
+    running = performance_of(weeks).filter(F.col("type") == "cum_ROI")
     in_order = Window.partitionBy("cohort_week").orderBy("week_number")
     whole = Window.partitionBy("cohort_week")
     before = F.lag("value").over(in_order)
@@ -114,10 +124,13 @@ def cohort_breakeven(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     return flagged.withColumn("weeks_until_breakeven", first - F.min("week_number").over(whole) + 1)
 
 
-def cohort_views(elog: DataFrame, keyword: str) -> dict[str, DataFrame]:
-    """All cohort frames of one keyword."""
+def cohort_views(elog: DataFrame, keyword: str, stage: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All cohort frames of one keyword. With a ``stage`` for their common part the log is read once."""
+    weeks = cohort_weeks(elog, keyword)
+    if stage is not None:
+        weeks = stage(weeks)
     return {
-        "cohort_totals": cohort_totals(elog, keyword),
-        "cohort_performance_over_time": cohort_performance_over_time(elog, keyword),
-        "cohort_breakeven": cohort_breakeven(elog, keyword),
+        "cohort_totals": totals_of(weeks),
+        "cohort_performance_over_time": performance_of(weeks),
+        "cohort_breakeven": breakeven_of(weeks),
     }

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from adlog.channels import SEARCH, Channel
 from adlog.functions import scalars
-from adlog.functions.aggregates import ratio, sum_cents, sum_count, sum_money, zero_if_null
-from adlog.functions.aggregates import CENTS
+from adlog.functions.aggregates import CENTS, sum_cents, sum_count, sum_money, zero_if_null
 from adlog.operators.filters import filter_campaign, filter_earning, filter_keyword, monetary_rows
 from adlog.operators.kpis import MARGIN, summarize_elog
 
+METRIC_KEYS = ["keyword", "campaign_name", "week"]
+
 
 def _select(elog: DataFrame, keyword: str | None, campaign: str | None) -> DataFrame:
     return filter_campaign(filter_keyword(elog, keyword), campaign)
@@ -31,22 +32,32 @@ def keywords_with_earnings(
     return filter_earning(keywords_report(elog, campaign=campaign, channel=channel, **kpi))
 
 
-def keyword_campaign_matchtype_report(
+def matchtype_summary(
     elog: DataFrame, keyword: str | None = None, campaign: str | None = None, channel: Channel = SEARCH, **kpi
 ) -> DataFrame:
-    """KPIs per keyword, campaign and match type, best earners first."""
+    """KPIs per keyword, campaign and match type."""
     rows = _select(elog, keyword, campaign)
-    return summarize_elog(rows, "keyword", "campaign_name", "match_type", channel=channel, **kpi).orderBy(
-        F.desc("earnings")
-    )
+    return summarize_elog(rows, "keyword", "campaign_name", "match_type", channel=channel, **kpi)
 
 
-def contribution_per_click(
-    elog: DataFrame, keyword: str | None = None, campaign: str | None = None, channel: Channel = SEARCH, **kpi
-) -> DataFrame:
-    """What a click on a paid and earning keyword contributes, and the bid that would return it twice."""
-    rows = _select(elog, keyword, campaign)
-    summary = summarize_elog(rows, "campaign_name", "keyword", "match_type", channel=channel, **kpi)
+def keyword_campaign_matchtype_report(elog: DataFrame, *args, **kwargs) -> DataFrame:
+    """:func:`matchtype_summary`, best earners first."""
+    return best_earners_first(matchtype_summary(elog, *args, **kwargs))
+
+
+def best_earners_first(summary: DataFrame) -> DataFrame:
+    return summary.orderBy(F.desc("earnings"))
+
+
+def contribution_per_click(elog: DataFrame, *args, **kwargs) -> DataFrame:
+    """What a click on a paid and earning keyword contributes, and the bid that would return it twice.
+
+    Takes what :func:`matchtype_summary` takes.
+    """
+    return contribution_of(matchtype_summary(elog, *args, **kwargs))
+
+
+def contribution_of(summary: DataFrame) -> DataFrame:
     return filter_earning(summary, paid_only=True).select(
         "campaign_name",
         "keyword",
@@ -63,13 +74,21 @@ def weekly_conversion_metrics(
     elog: DataFrame, campaign: str | None = None, channel: Channel = SEARCH, **kpi
 ) -> DataFrame:
     """Click-through, conversion and impression share per keyword, campaign and week, sorted by them."""
-    keys = ["keyword", "campaign_name", "week"]
-    weekly = filter_campaign(summarize_elog(elog, *keys, channel=channel, **kpi), campaign)
+    return by_keyword_campaign_week(weekly_metrics(elog, campaign, channel, **kpi))
+
+
+def by_keyword_campaign_week(metrics: DataFrame) -> DataFrame:
+    return metrics.orderBy(*[F.asc_nulls_last(key) for key in METRIC_KEYS])
+
+
+def weekly_metrics(elog: DataFrame, campaign: str | None = None, channel: Channel = SEARCH, **kpi) -> DataFrame:
+    """:func:`weekly_conversion_metrics` in no order."""
+    weekly = filter_campaign(summarize_elog(elog, *METRIC_KEYS, channel=channel, **kpi), campaign)
     share = ["est_search_impression_share"] if channel.has_impression_share else []
     if share:
         weekly = weekly.withColumn(share[0], scalars.capped_share(F.col(share[0])))
     return weekly.select(
-        *keys,
+        *METRIC_KEYS,
         *share,
         "impressions",
         "clicks",
@@ -78,7 +97,7 @@ def weekly_conversion_metrics(
         "conversion_rate",
         "cost_per_click",
         "contribution_per_click",
-    ).orderBy(*[F.asc_nulls_last(key) for key in keys])
+    )
 
 
 def user_overview(elog: DataFrame) -> DataFrame:

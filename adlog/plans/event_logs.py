@@ -9,12 +9,14 @@ Each function returns one lazy plan. What it does in order of size:
 4. spend rows, which need no join at all, are put beside them.
 
 ``stage`` may write the transaction rows to a table and return it. Both the log and the referrals need those
-rows, and without a stage Spark works them out twice.
+rows, and without a stage Spark works them out twice. The search and the display log need the same ones:
+:func:`event_logs` builds all three logs and works each set of rows out once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -65,12 +67,13 @@ def transaction_rows(store: Store, acquired: DataFrame, start: DateLike, end: Da
     return add_week(date_transactions(transactions_extract(store, start, end, buyers), start, end))
 
 
-def _assemble(
-    spend: DataFrame, acquired: DataFrame, store: Store, start: DateLike, end: DateLike, stage: Stage | None
-) -> DataFrame:
+def _sold(store: Store, acquired: DataFrame, start: DateLike, end: DateLike, stage: Stage | None) -> DataFrame:
     bought = transaction_rows(store, acquired, start, end)
-    if stage is not None:
-        bought = stage(bought)
+    return bought if stage is None else stage(bought)
+
+
+def assemble(spend: DataFrame, bought: DataFrame, store: Store, start: DateLike, end: DateLike) -> DataFrame:
+    """Transaction rows, spend rows and the referrals of the buyers, as one log."""
     referred = attribute_referrals(referrals(store), first_acquisition(bought), start, end)
     return drop_tracking_columns(event_log_union(bought, add_week(spend), referred))
 
@@ -86,7 +89,7 @@ def search_event_log(
 ) -> DataFrame:
     """Event log of the search engine's keywords."""
     acquired = acquisitions(events, store, SEARCH, campaign_lookup(campaign_report), start, end)
-    return _assemble(keyword_report, acquired, store, start, end, stage)
+    return assemble(keyword_report, _sold(store, acquired, start, end, stage), store, start, end)
 
 
 def bing_event_log(
@@ -101,7 +104,7 @@ def bing_event_log(
     acquired = acquisitions(
         events, store, BING, campaign_lookup(keyword_report), start, end, keyword_lookup(keyword_report)
     )
-    return _assemble(keyword_report, acquired, store, start, end, stage)
+    return assemble(keyword_report, _sold(store, acquired, start, end, stage), store, start, end)
 
 
 def display_event_log(
@@ -118,4 +121,35 @@ def display_event_log(
     them up.
     """
     acquired = acquisitions(events, store, SEARCH, campaign_lookup(campaign_report), start, end)
-    return filter_display_remarketing(_assemble(campaign_report, acquired, store, start, end, stage))
+    bought = _sold(store, acquired, start, end, stage)
+    return filter_display_remarketing(assemble(campaign_report, bought, store, start, end))
+
+
+@dataclass(frozen=True)
+class Sources:
+    """Clean reports, flat events and the store: what the logs are made of."""
+
+    search_keywords: DataFrame
+    campaigns: DataFrame
+    bing_keywords: DataFrame
+    events: DataFrame
+    store: Store
+
+
+@dataclass(frozen=True)
+class EventLogs:
+    search: DataFrame
+    bing: DataFrame
+    display: DataFrame
+
+
+def event_logs(sources: Sources, start: DateLike, end: DateLike, stage: Stage | None = None) -> EventLogs:
+    """The logs of all channels; the search and the display log share their transaction rows."""
+    store, events = sources.store, sources.events
+    acquired = acquisitions(events, store, SEARCH, campaign_lookup(sources.campaigns), start, end)
+    bought = _sold(store, acquired, start, end, stage)
+    return EventLogs(
+        search=assemble(sources.search_keywords, bought, store, start, end),
+        bing=bing_event_log(sources.bing_keywords, events, store, start, end, stage),
+        display=filter_display_remarketing(assemble(sources.campaigns, bought, store, start, end)),
+    )

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from adlog.channels import BING, SEARCH
+from adlog.channels import BING, SEARCH, Channel
+from adlog.functions.dates import DateLike
 from adlog.operators.cohorts import cohort_views
 from adlog.operators.filters import DESKTOP, MOBILE, REMARKETING_PATTERN, device_slice, recent_weeks
 from adlog.operators.reports import (
-    contribution_per_click,
+    best_earners_first,
+    by_keyword_campaign_week,
+    contribution_of,
     customers_per_month,
-    keyword_campaign_matchtype_report,
+    matchtype_summary,
     orders_per_week,
     total_customers_per_month,
     user_overview,
-    weekly_conversion_metrics,
+    weekly_metrics,
 )
 from adlog.operators.series import (
     device_performance_over_time,
@@ -26,10 +31,32 @@ from adlog.operators.series import (
     overall_performance_over_time,
     weekly_totals,
 )
-from adlog.functions.dates import DateLike
 from adlog.sources.sinks import materialize, write_report_csv
 
 
+LabelledStage = Callable[[DataFrame, str], DataFrame]
+
+# What the reports read of an event log; a staged log holds nothing else.
+REPORT_COLUMNS = (
+    "date",
+    "week",
+    "keyword",
+    "campaign_name",
+    "match_type",
+    "device",
+    "cost",
+    "impressions",
+    "clicks",
+    "average_position",
+    "est_search_impression_share",
+    "user_id",
+    "user_name",
+    "money_in_the_bank_paid_to_us",
+    "new_referred_users",
+    "referred_users_transaction_amount",
+)
+
+
 @dataclass(frozen=True)
 class Focus:
     """The keyword and the campaigns a report looks at more closely."""
@@ -38,11 +65,15 @@ class Focus:
     campaign: str | None = None
 
 
-def _keyword_reports(elog: DataFrame, weekly: DataFrame, focus: Focus, channel, campaign: str | None):
+def _keyword_reports(
+    elog: DataFrame, weekly: DataFrame, focus: Focus, channel: Channel, campaign: str | None, stage: LabelledStage
+) -> dict[str, DataFrame]:
+    cohorts = cohort_views(elog, focus.keyword, lambda rows: stage(rows, f"{channel.name}-cohorts"))
+    summary = stage(matchtype_summary(elog, channel=channel), f"{channel.name}-matchtype")
     return {
         "user_overview": user_overview(elog),
-        "keyword_campaign_matchtype_report": keyword_campaign_matchtype_report(elog, channel=channel),
-        "contribution_per_click": contribution_per_click(elog, channel=channel),
+        "keyword_campaign_matchtype_report": best_earners_first(summary),
+        "contribution_per_click": contribution_of(summary),
         "orders_per_week": orders_per_week(elog, focus.keyword, campaign),
         "customers_per_month": customers_per_month(elog),
         "overall_performance_over_time": overall_performance_over_time(weekly),
@@ -50,7 +81,7 @@ def _keyword_reports(elog: DataFrame, weekly: DataFrame, focus: Focus, channel,
         "keywords_campaign_performance_over_time": keywords_campaign_performance_over_time(weekly),
         "mobile_performance_over_time": device_performance_over_time(weekly, focus.keyword),
         "desktop_performance_over_time": device_performance_over_time(weekly, focus.keyword),
-        **cohort_views(elog, focus.keyword),
+        **cohorts,
     }
 
 
@@ -60,30 +91,34 @@ def marketing_report(
     display: DataFrame | None = None,
     *,
     focus: Focus,
-    stage=materialize,
+    stage: LabelledStage = materialize,
 ) -> dict[str, DataFrame]:
     """Every report by ``channel/name``, as lazy DataFrames.
 
-    Each log is staged once, in columns, and its weekly totals once more: the five series read those instead
-    of the log. Pass ``stage=lambda rows, label: rows`` for logs that are already tables.
+    Each log is staged once, in columns. So is every summary of it that more than one report builds on: the
+    weekly totals (five series), the cohorts' weeks, the match-type summary and the weekly metrics. Pass ``stage=lambda rows, label: rows`` to stage nothing.
     """
     reports: dict[str, DataFrame] = {}
 
     def add(channel: str, frames: dict[str, DataFrame]) -> None:
         reports.update({f"{channel}/{name}": frame for name, frame in frames.items()})
 
+    def staged(log: DataFrame, label: str) -> DataFrame:
+        return stage(log.select(*[name for name in REPORT_COLUMNS if name in log.columns]), label)
+
     if search is not None:
-        search = stage(search, "search-log")
+        search = staged(search, "search-log")
         weekly = stage(weekly_totals(search), "search-weekly")
-        metrics = weekly_conversion_metrics(search, focus.campaign, channel=SEARCH)
-        add("search", _keyword_reports(search, weekly, focus, SEARCH, focus.campaign))
+        metrics = stage(weekly_metrics(search, focus.campaign, channel=SEARCH), "search-metrics")
+        metrics = by_keyword_campaign_week(metrics)
+        add("search", _keyword_reports(search, weekly, focus, SEARCH, focus.campaign, stage))
         add("search", {"impression_share_over_time": metrics, "click_through_rate_over_time": metrics})
     if bing is not None:
-        bing = stage(bing, "bing-log")
+        bing = staged(bing, "bing-log")
         weekly = stage(weekly_totals(bing), "bing-weekly")
-        add("bing", _keyword_reports(bing, weekly, focus, BING, None))
+        add("bing", _keyword_reports(bing, weekly, focus, BING, None, stage))
     if display is not None:
-        display = stage(display, "display-log")
+        display = staged(display, "display-log")
         weekly = stage(weekly_totals(display), "display-weekly")
         devices = display_device_performance(weekly)
         add(
@@ -130,7 +165,16 @@ def chart_frames(reports: dict[str, DataFrame], weekly_logs: dict[str, DataFrame
     return charts
 
 
-def write_marketing_report(reports: dict[str, DataFrame], folder: str) -> None:
-    """Write each report as CSV under ``folder``."""
-    for name, report in reports.items():
+def write_marketing_report(reports: dict[str, DataFrame], folder: str, jobs: int = 4) -> None:
+    """Write each report as CSV under ``folder``, ``jobs`` of them at a time.
+
+    The reports are independent Spark jobs, most of them with a small last stage: side by side, one fills the
+    cores another leaves idle.
+    """
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, report = item
         write_report_csv(report, f"{folder.rstrip('/')}/{name}")
+
+    with ThreadPoolExecutor(jobs) as pool:
+        list(pool.map(write, reports.items()))

@@ -14,7 +14,7 @@ from adlog import schemas
 from adlog.channels import BING, BING_DEVICES, SEARCH, SEARCH_DEVICES
 from adlog.functions import scalars
 from adlog.operators import attribution, cohorts, filters, kpis, reports, series
-from adlog.plans.event_logs import acquisitions, transaction_rows
+from adlog.plans.event_logs import acquisitions, event_logs, transaction_rows
 from adlog.plans.marketing_report import Focus, chart_frames, marketing_report
 from adlog.sources import events as event_source
 from adlog.sources import reports as report_source
@@ -950,12 +950,8 @@ def _report_counts_sql() -> str:
 
 @query("marketing_report", _report_counts_sql())
 def _(v):
-    found = marketing_report(
-        v.search_log(_stage("search-sold")),
-        v.bing_log(_stage("bing-sold")),
-        v.display_log(_stage("display-sold")),
-        focus=FOCUS,
-    )
+    logs = event_logs(v.sources(), START, END, lambda rows: sinks.materialize(rows, "sold"))
+    found = marketing_report(logs.search, logs.bing, logs.display, focus=FOCUS)
     counts = [
         report.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
         for name, report in found.items()
@@ -963,10 +959,6 @@ def _(v):
     return attribution.event_log_union(*counts)
 
 
-def _stage(label: str):
-    return lambda rows: sinks.materialize(rows, label)
-
-
 @query(
     "chart_frames",
     " UNION ALL ".join(

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.plans.event_logs import bing_event_log, display_event_log, search_event_log
+from adlog.plans.event_logs import Sources, bing_event_log, display_event_log, search_event_log
 from adlog.sources.events import flatten_events
 from adlog.sources.reports import clean_bing_keyword_report, clean_campaign_report, clean_search_keyword_report
 from adlog.sources.store import Store
@@ -25,9 +25,13 @@ class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table; its file is looked at once, however often the table is used."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Spend ---------------------------------------------------------------------------------------------
 
@@ -203,6 +207,9 @@ class Views:
 
     # Event logs ----------------------------------------------------------------------------------------
 
+    def sources(self) -> Sources:
+        return Sources(self.search_keywords(), self.campaigns(), self.bing_keywords(), self.events(), self.store())
+
     def search_log(self, stage=None) -> DataFrame:
         return search_event_log(
             self.search_keywords(), self.campaigns(), self.events(), self.store(), START, END, stage
