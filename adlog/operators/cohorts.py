@@ -30,10 +30,11 @@ def week_ordinal(elog: DataFrame, keyword: str | None = None) -> DataFrame:
 def cohort_assignment(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     """Every row with its ``week_number``, ``cohort_week`` and cohort label.
 
-    Users are grouped, not windowed: spend rows have no user, and a window would put all of them together.
+    Users are grouped, not windowed: spend rows have no user, and a window would put all of them together. The
+    numbered weeks are broadcast: they are at most one row per week of the calendar.
     """
     rows = filter_keyword(elog, keyword)
-    weeks = week_ordinal(rows)
+    weeks = F.broadcast(week_ordinal(rows))
     cohorts = (
         monetary_rows(rows)
         .groupBy("user_id")

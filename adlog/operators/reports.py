@@ -11,6 +11,7 @@ from adlog.functions.aggregates import CENTS, sum_cents, sum_count, sum_money, z
 from adlog.operators.filters import filter_campaign, filter_earning, filter_keyword, monetary_rows
 from adlog.operators.kpis import MARGIN, summarize_elog
 
+MATCHTYPE_KEYS = ["keyword", "campaign_name", "match_type"]
 METRIC_KEYS = ["keyword", "campaign_name", "week"]
 
 
@@ -37,7 +38,7 @@ def matchtype_summary(
 ) -> DataFrame:
     """KPIs per keyword, campaign and match type."""
     rows = _select(elog, keyword, campaign)
-    return summarize_elog(rows, "keyword", "campaign_name", "match_type", channel=channel, **kpi)
+    return summarize_elog(rows, *MATCHTYPE_KEYS, channel=channel, **kpi)
 
 
 def keyword_campaign_matchtype_report(elog: DataFrame, *args, **kwargs) -> DataFrame:
@@ -46,7 +47,8 @@ def keyword_campaign_matchtype_report(elog: DataFrame, *args, **kwargs) -> DataF
 
 
 def best_earners_first(summary: DataFrame) -> DataFrame:
-    return summary.orderBy(F.desc("earnings"))
+    """Sorted by earnings; the keys after them keep the many rows that earned nothing from ending up in one task."""
+    return summary.orderBy(F.desc("earnings"), *[F.asc_nulls_last(key) for key in MATCHTYPE_KEYS])
 
 
 def contribution_per_click(elog: DataFrame, *args, **kwargs) -> DataFrame:

@@ -69,21 +69,26 @@ def cumulative(
 def keep_earning_keywords(totals: DataFrame) -> DataFrame:
     """Weekly totals of the keywords that earned anything over all their rows.
 
-    The same as a semi-join with the earning keywords, without reading the event log a second time.
+    The same as a semi-join with the earning keywords, without reading the event log a second time. For totals
+    with few rows per keyword and week only: all of a keyword's rows meet in one task.
     """
     earned = F.sum("earned_cents").over(Window.partitionBy("keyword"))
     return totals.withColumn("__earned", earned).filter(F.col("__earned") > 0).drop("__earned")
 
 
-def earning_keywords_only(elog: DataFrame) -> DataFrame:
-    """Event-log rows of the keywords that earned anything; a NULL keyword counts as a keyword."""
+def earning_keywords_only(rows: DataFrame, elog: DataFrame | None = None) -> DataFrame:
+    """Rows of the keywords that earned anything in ``elog`` (by default in ``rows`` themselves).
+
+    A NULL keyword counts as a keyword.
+    """
     earning = (
-        elog.groupBy(F.col("keyword").alias("earning_keyword"))
+        (rows if elog is None else elog)
+        .groupBy(F.col("keyword").alias("earning_keyword"))
         .agg(sum_cents(F.col("money_in_the_bank_paid_to_us")).alias("earned_cents"))
         .filter(F.col("earned_cents") > 0)
         .select("earning_keyword")
     )
-    return elog.join(earning, F.col("keyword").eqNullSafe(F.col("earning_keyword")), "left_semi")
+    return rows.join(earning, F.col("keyword").eqNullSafe(F.col("earning_keyword")), "left_semi")
 
 
 def overall_performance_over_time(elog: DataFrame, margin: float = MARGIN) -> DataFrame:
@@ -98,9 +103,13 @@ def keywords_performance_over_time(elog: DataFrame) -> DataFrame:
 
 
 def keywords_campaign_performance_over_time(elog: DataFrame) -> DataFrame:
-    """The series of each earning keyword in each campaign."""
+    """The series of each earning keyword in each campaign.
+
+    A keyword may run in any number of campaigns, so its rows are not brought together: the earning keywords
+    are found in an aggregate of their own and joined to the totals.
+    """
     totals = sum_by_week(elog, "keyword", "campaign_name")
-    return cumulative(keep_earning_keywords(totals), "keyword", "campaign_name")
+    return cumulative(earning_keywords_only(totals, elog), "keyword", "campaign_name")
 
 
 def device_performance_over_time(

@@ -15,11 +15,11 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-    SparkSession.builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("staging")))
-    session = apply_settings(local_session())
+    folders = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("staging")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = apply_settings(local_session(**folders))
     yield session
     session.stop()
 
