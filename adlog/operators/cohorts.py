@@ -24,7 +24,8 @@ def week_ordinal(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     The numbering runs in one task, over one row per calendar week.
     """
     weeks = filter_keyword(elog, keyword).select("week").distinct()
-    return weeks.select("week", F.row_number().over(Window.orderBy(F.asc_nulls_last("week"))).cast("long").alias("week_number"))
+    number = F.row_number().over(Window.orderBy(F.asc_nulls_last("week"))).cast("long")
+    return weeks.select("week", number.alias("week_number"))
 
 
 def cohort_assignment(elog: DataFrame, keyword: str | None = None) -> DataFrame:
@@ -125,7 +126,9 @@ def breakeven_of(weeks: DataFrame) -> DataFrame:
     return flagged.withColumn("weeks_until_breakeven", first - F.min("week_number").over(whole) + 1)
 
 
-def cohort_views(elog: DataFrame, keyword: str, stage: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+def cohort_views(
+    elog: DataFrame, keyword: str, stage: Callable[[DataFrame], DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """All cohort frames of one keyword. With a ``stage`` for their common part the log is read once."""
     weeks = cohort_weeks(elog, keyword)
     if stage is not None:

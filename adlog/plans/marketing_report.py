@@ -33,7 +33,6 @@ from adlog.operators.series import (
 )
 from adlog.sources.sinks import materialize, write_report_csv
 
-
 LabelledStage = Callable[[DataFrame, str], DataFrame]
 
 # What the reports read of an event log; a staged log holds nothing else.
@@ -96,7 +95,8 @@ def marketing_report(
     """Every report by ``channel/name``, as lazy DataFrames.
 
     Each log is staged once, in columns. So is every summary of it that more than one report builds on: the
-    weekly totals (five series), the cohorts' weeks, the match-type summary and the weekly metrics. Pass ``stage=lambda rows, label: rows`` to stage nothing.
+    weekly totals (five series), the cohorts' weeks, the match-type summary and the weekly metrics. Pass
+    ``stage=lambda rows, label: rows`` to stage nothing.
     """
     reports: dict[str, DataFrame] = {}
 

@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of tables      (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores           (default: all)
-BENCH_REPEATS  timed runs per query  (default 3, the median counts; one run before them warms up)
+BENCH_REPEATS  timed runs per query  (default 2, the median counts; one run before them warms up)
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def measure(v: Views, job: Callable[[Views], None], repeats: int) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cores = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
-    repeats = int(os.environ.get("BENCH_REPEATS", 3))
+    repeats = int(os.environ.get("BENCH_REPEATS", 2))
     v = Views(apply_settings(local_session(cores, cores)), folder)
     seconds = {name: measure(v, lambda v, name=name: run(QUERIES[name](v)), repeats) for name in SINGLE}
     seconds["cohort_views"] = measure(v, cohorts, repeats)
