@@ -82,7 +82,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", rows_per_lang
     features = stage(features, "features")
     totals = features.groupBy("lang", "size").agg(F.sum("n").alias("total"))
     share = features.join(totals, ["lang", "size"]).withColumn("share", F.col("n") / F.col("total")).where(F.col("share") >= LEAST_SHARE)
-    found = share.select("lang", "size", "feature", "share").orderBy("size", "feature", "lang").toPandas()
+    found = share.select("lang", "size", "feature", "share").orderBy("size", "feature", "lang").toArrow().to_pandas()
     languages = sorted(found["lang"].unique())
     at = {name: i for i, name in enumerate(languages)}
     rows: dict[tuple[int, str], int] = {}
