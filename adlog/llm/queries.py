@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.llm import langid, pii, quality, urls
+from adlog.llm import decontam, langid, mixing, pii, quality, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,7 +48,19 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(ruled, found).select("page_id", "host", "path", "rule", "verdict", "difference")
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.amounts(table(spark, folder, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontam.matches(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", F.col("leak.item").alias("item_id"), "leak.first_word", "leak.words", "leak.bits", "leak.similarity"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op9_url_filters)
+    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op8_mixing, op9_url_filters, op10_decontamination)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
