@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.llm import decontam, langid, mixing, pii, quality, urls
+from adlog.llm import decontam, langid, mixing, neardup, pii, quality, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(ruled, found).select("page_id", "host", "path", "rule", "verdict", "difference")
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.amounts(table(spark, folder, "documents"))
 
@@ -61,6 +65,6 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op8_mixing, op9_url_filters, op10_decontamination)
+    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op6_minhash_near_dedup, op8_mixing, op9_url_filters, op10_decontamination)
 }
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
