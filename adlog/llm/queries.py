@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.llm import decontam, langid, mixing, neardup, pii, quality, urls
+from adlog.llm import decontam, langid, lines, mixing, neardup, pii, quality, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.removed(table(spark, folder, "documents"))
+    return found.select("doc_id", "lines", F.size("removed").alias("n_removed"), "removed")
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.amounts(table(spark, folder, "documents"))
 
@@ -65,6 +70,6 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op6_minhash_near_dedup, op8_mixing, op9_url_filters, op10_decontamination)
+    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination)
 }
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
