@@ -145,11 +145,11 @@ class Scorer:
         return self.model.languages[best], float(1.0 / np.exp(logs).sum())
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The same rows with ``lang_pred`` and ``score`` (a column of such a name is replaced).
+def judged(docs: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:
+    """The same rows with a struct (lang_pred, score).
 
     NULL, empty texts and texts without a letter: ``und``, 0. Ties go to the first language in order. Every row is judged
-    by its own text alone, so repeated rows agree; an empty table stays empty. Without anything learned: ``und``.
+    by its own text alone, so repeated rows agree; an empty table stays empty. Without anything learned: ``und``, 0.
     """
     spark: SparkSession = docs.sparkSession
     small_batches(spark)
@@ -163,9 +163,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         found = [scorers[0].text(x if isinstance(x, str) else None) for x in texts]
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
+    return docs.withColumn(into, judge(F.col(text)))
+
+
+def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """:func:`judged` with columns ``lang_pred`` and ``score``; columns of such names are replaced."""
     (name,) = free_name(docs, "judged")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.withColumn(name, judge(F.col(text))).select(*rest, F.col(f"{name}.lang_pred"), F.col(f"{name}.score"))
+    return judged(docs, model, text, name).select(*rest, F.col(f"{name}.lang_pred"), F.col(f"{name}.score"))
 
 
 def held_out(doc_id: str = "doc_id"):
