@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.llm import decontam, langid, lines, mixing, neardup, pii, quality, urls
+from adlog.llm import decontam, langid, lines, mixing, neardup, pii, quality, toolcalls, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "score", "expected_grade", F.col("tail").alias("tail_probability"), (F.col("tail") >= 0.5).alias("keep"))
 
 
+def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    calls, results = toolcalls.calls_of(table(spark, folder, "conversations"))
+    found = toolcalls.link(calls, results, toolcalls.tools(spark))
+    return found.withColumn("errors", F.array_join("errors", ","))
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
 
@@ -70,6 +76,6 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op4_pii, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination)
+    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op3_chat_formatting, op4_pii, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination)
 }
 ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
