@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.llm import decontam, langid, lines, mixing, neardup, pii, quality, toolcalls, urls
+from adlog.llm import decontam, langid, lines, mixing, neardup, pii, quality, search, toolcalls, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(ruled, found).select("page_id", "host", "path", "rule", "verdict", "difference")
 
 
+def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return search.top(docs, docs.where("doc_id % 100 = 0"), k=10)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.classes(table(spark, folder, "documents"))
 
@@ -76,6 +81,6 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op3_chat_formatting, op4_pii, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination)
+    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op3_chat_formatting, op4_pii, op5_topk_search, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination)
 }
-ORACLE: dict[str, str] = {"op8_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op5_topk_search": search.ORACLE, "op8_mixing": mixing.ORACLE}
