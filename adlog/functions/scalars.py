@@ -62,9 +62,21 @@ def month_label(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
+def whole_number(text: Column) -> Column:
+    """Text or a number as a whole number, fractions cut off: ``123``, ``123.0`` and ``1E5`` are numbers; else NULL."""
+    return F.trim(text.cast("string")).try_cast("decimal(38,6)").try_cast("long")
+
+
+def export_number(text: Column) -> Column:
+    """The text of an export's number without thousands separators; per cent as a fraction. Other text stays as it is."""
+    plain = F.replace(F.trim(text), F.lit(","), F.lit(""))
+    share = (F.rtrim(F.replace(plain, F.lit("%"), F.lit(""))).try_cast("decimal(30,10)") / 100).cast("string")
+    return F.when(plain.endswith("%"), share).otherwise(plain)
+
+
 def keyword_id_from_tag(tag: Column) -> Column:
     """``kwd-123`` to 123; NULL where no number is left."""
-    return F.replace(tag, F.lit("kwd-"), F.lit("")).try_cast("long")
+    return whole_number(F.replace(tag, F.lit("kwd-"), F.lit("")))
 
 
 def capped_share(share: Column) -> Column:

@@ -23,6 +23,11 @@ def date_filter(rows: DataFrame, start: DateLike | None = None, end: DateLike |
     return rows.filter(F.col("date").between(F.lit(first), F.lit(last)))
 
 
+def date_window(rows: DataFrame, start: DateLike | None, end: DateLike | None) -> DataFrame:
+    """Rows dated within the bounds, both included; all rows if both are None, as when files are loaded."""
+    return rows if start is None and end is None else date_filter(rows, start, end)
+
+
 def filter_keyword(elog: DataFrame, keyword: str | None) -> DataFrame:
     """Rows of exactly this keyword; all rows for None."""
     return elog if keyword is None else elog.filter(F.col("keyword") == keyword)

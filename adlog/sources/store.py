@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlog import schemas
-from adlog.functions.dates import DateLike, as_date
+from adlog.functions.dates import DateLike, as_date, within
 from adlog.functions.joins import left_join_spreading_nulls
 
 
@@ -62,7 +62,7 @@ def transactions_extract(store: Store, start: DateLike, end: DateLike, users: Da
     )
 
     sold = transactions.join(buyers, "app_user_id").join(items, "transaction_id")
-    sold = left_join_spreading_nulls(sold, discounts, "discount_id", ["transaction_id", "price"])
+    sold = left_join_spreading_nulls(sold, discounts, "discount_id")
 
     price, tax, discount = F.col("price"), F.col("sales_tax_amount"), F.col("discount_amount")
     is_card = F.col("discount_type") == GIFT_CARD
@@ -91,11 +91,14 @@ def transactions_extract(store: Store, start: DateLike, end: DateLike, users: Da
 
 
 def first_transactions(store: Store, start: DateLike, end: DateLike) -> DataFrame:
-    """Ids of users whose very first transaction, complete or not, falls within the dates, and its time."""
+    """Ids of users whose very first transaction, complete or not, falls within the bounds, and its time.
+
+    Bounds are whole days; a bound with a time of day counts to that time.
+    """
     return (
         store.transactions.groupBy(F.col("user_id").alias("id"))
         .agg(F.min("created_at").alias("first_transaction"))
-        .filter(F.col("first_transaction").cast("date").between(F.lit(as_date(start)), F.lit(as_date(end))))
+        .filter(within("first_transaction", start, end))
     )
 
 

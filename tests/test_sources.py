@@ -1,14 +1,19 @@
 """Report files, event files and the store extract."""
 
+import csv
 import datetime as dt
+import io
 import json
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlog import schemas
 from adlog.channels import SEARCH
+from adlog.functions import scalars
+from adlog.functions.dates import within
 from adlog.sources import events, reports, sinks, store
 from conftest import rows
 
@@ -266,3 +271,72 @@ def test_one_conversion_per_user_is_the_earliest(spark):
     tagged = conversions.select("*", *[F.lit("b").alias(f"latest_ad_{t}") for t in ("device", "awkeyword", "awadgroupid", "awmatchtype")])
     kept = clean_tags(one_conversion_per_user(tagged), SEARCH)
     assert rows(kept, "app_user_id", "orderId", "campaign_id", "match_type") == [(1, "a", 8, "Broad"), (2, "d", 10, "Broad")]
+
+
+def swapped(header, line, one, other):
+    """A header and a line with two columns changed about."""
+    fields = next(csv.reader([line]))
+    i, j = header.index(one), header.index(other)
+    header = list(header)
+    for values in (header, fields):
+        values[i], values[j] = values[j], values[i]
+    out = io.StringIO()
+    csv.writer(out).writerow(fields)
+    return ",".join(header), out.getvalue().strip()
+
+
+def test_files_with_another_column_order_are_not_misread(spark, tmp_path):
+    write(tmp_path / "a.csv", ",".join(KEYWORD_HEADERS), KEYWORD_LINES[0])
+    write(tmp_path / "b.csv", *swapped(KEYWORD_HEADERS, KEYWORD_LINES[0], "Impressions", "Clicks"))
+    with pytest.raises(Exception, match="CSV header"):
+        reports.read_search_keyword_report(spark, str(tmp_path), "2016-05-01", "2016-05-31").collect()
+
+
+def test_second_engine_files_with_another_column_order_are_not_misread(spark, tmp_path):
+    line = "5/1/2016,11,+Tea,Active,3,Camp,7,G,2.00,Tablet,10,2,1.5,6,Exact"
+    bing_file(tmp_path / "a.csv", line)
+    headers = [h.strip('"') for h in BING_HEADERS.split(",")]
+    header, other = swapped(headers, line, "Impressions", "Clicks")
+    write(tmp_path / "b.csv", *BING_PREAMBLE, header, other, BING_FOOTER)
+    with pytest.raises(ValueError, match="b.csv"):
+        reports.read_bing_keyword_report(spark, str(tmp_path), "2016-05-01", "2016-05-31")
+
+
+def test_number_formats_of_exports(spark, tmp_path):
+    header = ["Day", "Impressions", "Clicks", "Cost", "Search Impr. share", "Campaign ID"]
+    lines = ['2016-05-01,"1,234,567",12.0,"1,234.50",45.2%,1E5', "2016-05-01, 7 ,,--,0.5,x", '2016-05-01,"1,000",3,2,"1,000 %",12.7']
+    path = write(tmp_path / "n.csv", ",".join(header), *lines)
+    raw = reports.read_csv_report(spark, path)
+    report = reports.cast_columns(reports.rename_headers(raw, schemas.SEARCH_KEYWORD_COLUMNS), schemas.SEARCH_KEYWORD_COLUMNS)
+    names = ["impressions", "clicks", "cost", "est_search_impression_share", "campaign_id"]
+    assert [tuple(r) for r in report.select(names).collect()] == [
+        (1234567, 12, Decimal("1234.50"), 0.452, 100000),
+        (7, None, None, 0.5, None),
+        (1000, 3, Decimal("2.00"), 10.0, 12),
+    ]
+    lost = reports.unparsed_cells(raw, schemas.SEARCH_KEYWORD_COLUMNS).first().asDict()
+    assert {k: v for k, v in lost.items() if v} == {"cost": 1, "campaign_id": 1}
+
+
+def test_ids_written_as_decimals(spark):
+    frame = spark.createDataFrame([("123.0",), ("1E5",), (" 7 ",), ("x",), ("",), (None,), ("3000000000",)], "id string")
+    assert [r[0] for r in frame.select(scalars.whole_number(F.col("id"))).collect()] == [123, 100000, 7, None, None, None, 3000000000]
+    assert frame.select(scalars.keyword_id_from_tag(F.lit("kwd-55.0"))).first()[0] == 55
+
+
+def test_bounds_with_a_time_of_day(spark):
+    frame = spark.sql("SELECT timestamp'2016-05-01 03:00:00' AS t UNION ALL SELECT timestamp'2016-05-01 05:00:00' UNION ALL SELECT timestamp'2016-05-03 04:00:00'")
+    count = lambda start, end: frame.filter(within("t", start, end)).count()
+    assert count("2016-05-01", "2016-05-03") == 3
+    assert count("2016-05-01 04:00:00", "2016-05-03 03:59:59") == 1
+    assert count(dt.datetime(2016, 5, 1, 4), "2016-05-03") == 2
+
+
+def test_staged_folders_can_be_removed(spark):
+    run = sinks.new_folder(spark, "run")
+    table = sinks.materialize(spark.range(3), "part", run)
+    assert table.count() == 3
+    folder = Path(table.inputFiles()[0].removeprefix("file://")).parent.parent
+    assert folder.exists()
+    sinks.remove_folder(spark, run)
+    assert not folder.exists()

@@ -1,6 +1,7 @@
 """Report and event files are loaded once each, as they arrive."""
 
 from adlog.channels import SEARCH
+from adlog.operators.filters import date_filter
 from adlog.sources import events, reports
 from adlog.streaming import ingest
 from conftest import rows
@@ -12,8 +13,8 @@ def test_new_report_files_are_appended_once(spark, tmp_path):
     folder.mkdir()
 
     def load():
-        stream = ingest.stream_search_keyword_reports(spark, str(folder), KEYWORD_HEADERS, "2016-05-01", "2016-05-31")
-        ingest.append_new(stream, str(table), str(checkpoint), partition_by="date")
+        stream = ingest.stream_search_keyword_reports(spark, str(folder), KEYWORD_HEADERS)
+        ingest.append_new(stream, str(table), str(checkpoint), "date")
         return spark.read.parquet(str(table))
 
     header = ",".join(KEYWORD_HEADERS)
@@ -22,7 +23,7 @@ def test_new_report_files_are_appended_once(spark, tmp_path):
     assert load().count() == 1
     write(folder / "2.csv", header, KEYWORD_LINES[1], KEYWORD_LINES[2])
     loaded = load()
-    batch = reports.read_search_keyword_report(spark, str(folder), "2016-05-01", "2016-05-31")
+    batch = reports.read_search_keyword_report(spark, str(folder), "2016-01-01", "2016-12-31")
     assert rows(loaded, *batch.columns) == rows(batch)
 
 
@@ -31,8 +32,8 @@ def test_bing_files(spark, tmp_path):
     folder.mkdir()
     bing_file(folder / "b.csv", "5/1/2016,11,+Tea,Active,3,Camp,7,G,2.00,Tablet,10,2,1.5,6,Exact")
     headers = [header.strip('"') for header in BING_HEADERS.split(",")]
-    stream = ingest.stream_bing_keyword_reports(spark, str(folder), headers, "2016-05-01", "2016-05-31")
-    ingest.append_new(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"), partition_by="date")
+    stream = ingest.stream_bing_keyword_reports(spark, str(folder), headers)
+    ingest.append_new(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"), "date")
     batch = reports.read_bing_keyword_report(spark, str(folder), "2016-05-01", "2016-05-31")
     assert rows(spark.read.parquet(str(tmp_path / "table")), *batch.columns) == rows(batch)
 
@@ -42,8 +43,22 @@ def test_events_land_in_a_folder_per_event(spark, tmp_path):
     folder.mkdir()
     write(folder / "e.json", event(), event("Viewed", id="2"), event(id="3"))
     stream = ingest.stream_events(spark, str(folder))
-    ingest.append_new(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"), partition_by="event")
+    ingest.append_new(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"), "event", "event_day")
     table = spark.read.parquet(str(tmp_path / "table"))
     orders = events.channel_conversions(table, SEARCH, "2016-05-01", "2016-05-01")
     assert rows(orders, "app_user_id") == [(1,), (3,)]
     assert len([path for path in (tmp_path / "table").iterdir() if path.name.startswith("event=")]) == 2
+
+
+def test_rows_of_all_dates_are_loaded(spark, tmp_path):
+    """A window that is widened later finds its rows: the files are marked as loaded whole."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    may = KEYWORD_LINES[0]
+    write(folder / "1.csv", ",".join(KEYWORD_HEADERS), may, may.replace("2016-05-", "2019-11-"))
+    stream = ingest.stream_search_keyword_reports(spark, str(folder), KEYWORD_HEADERS)
+    ingest.append_new(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint"), "date")
+    table = spark.read.parquet(str(tmp_path / "table"))
+    assert table.count() == 2
+    assert date_filter(table, "2016-05-01", "2016-05-31").count() == 1
+    assert date_filter(table, "2016-05-01", "2019-12-31").count() == 2
