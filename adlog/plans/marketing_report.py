@@ -92,56 +92,54 @@ def marketing_report(
     focus: Focus,
     stage: LabelledStage = materialize,
 ) -> dict[str, DataFrame]:
-    """Every report by ``channel/name``, as lazy DataFrames.
+    """Every report by ``channel/name``: the DataFrames are lazy, the staged tables under them are written by this call.
 
-    Each log is staged once, in columns. So is every summary of it that more than one report builds on: the
+    The channels are worked on side by side. Each log is staged once, in columns. So is every summary of it that more than one report builds on: the
     weekly totals (five series), the cohorts' weeks, the match-type summary and the weekly metrics. Pass
     ``stage=lambda rows, label: rows`` to stage nothing.
     """
-    reports: dict[str, DataFrame] = {}
-
-    def add(channel: str, frames: dict[str, DataFrame]) -> None:
-        reports.update({f"{channel}/{name}": frame for name, frame in frames.items()})
 
     def staged(log: DataFrame, label: str) -> DataFrame:
         return stage(log.select(*[name for name in REPORT_COLUMNS if name in log.columns]), label)
 
-    if search is not None:
-        search = staged(search, "search-log")
-        weekly = stage(weekly_totals(search), "search-weekly")
-        metrics = stage(weekly_metrics(search, focus.campaign, channel=SEARCH), "search-metrics")
-        metrics = by_keyword_campaign_week(metrics)
-        add("search", _keyword_reports(search, weekly, focus, SEARCH, focus.campaign, stage))
-        add("search", {"impression_share_over_time": metrics, "click_through_rate_over_time": metrics})
-    if bing is not None:
-        bing = staged(bing, "bing-log")
-        weekly = stage(weekly_totals(bing), "bing-weekly")
-        add("bing", _keyword_reports(bing, weekly, focus, BING, None, stage))
-    if display is not None:
-        display = staged(display, "display-log")
-        weekly = stage(weekly_totals(display), "display-weekly")
+    def of_search() -> dict[str, DataFrame]:
+        log = staged(search, "search-log")
+        weekly = stage(weekly_totals(log), "search-weekly")
+        metrics = by_keyword_campaign_week(stage(weekly_metrics(log, focus.campaign, channel=SEARCH), "search-metrics"))
+        found = _keyword_reports(log, weekly, focus, SEARCH, focus.campaign, stage)
+        return found | {"impression_share_over_time": metrics, "click_through_rate_over_time": metrics}
+
+    def of_bing() -> dict[str, DataFrame]:
+        log = staged(bing, "bing-log")
+        return _keyword_reports(log, stage(weekly_totals(log), "bing-weekly"), focus, BING, None, stage)
+
+    def of_display() -> dict[str, DataFrame]:
+        log = staged(display, "display-log")
+        weekly = stage(weekly_totals(log), "display-weekly")
         devices = display_device_performance(weekly)
-        add(
-            "display",
-            {
-                "overall_performance_over_time": overall_performance_over_time(weekly),
-                "desktop_performance_over_time": devices,
-                "mobile_performance_over_time": devices,
-                "orders_per_week": orders_per_week(display, campaign=REMARKETING_PATTERN),
-            },
-        )
+        return {
+            "overall_performance_over_time": overall_performance_over_time(weekly),
+            "desktop_performance_over_time": devices,
+            "mobile_performance_over_time": devices,
+            "orders_per_week": orders_per_week(log, campaign=REMARKETING_PATTERN),
+        }
+
+    channels = {"search": (search, of_search), "bing": (bing, of_bing), "display": (display, of_display)}
+    with ThreadPoolExecutor(len(channels)) as pool:
+        running = {name: pool.submit(build) for name, (log, build) in channels.items() if log is not None}
+        reports = {f"{channel}/{name}": frame for channel, made in running.items() for name, frame in made.result().items()}
     if search is not None and bing is not None:
-        total = total_customers_per_month(
+        reports["total_customers_per_month"] = total_customers_per_month(
             reports["search/customers_per_month"], reports["bing/customers_per_month"]
         )
-        reports["total_customers_per_month"] = total
     return reports
 
 
 def chart_frames(reports: dict[str, DataFrame], weekly_logs: dict[str, DataFrame], focus: Focus, as_of: DateLike):
     """The rows each chart of the report shows, where that is less than the report itself.
 
-    ``weekly_logs`` are event logs, or their weekly totals, by channel. Desktop charts, and both of the second
+    ``weekly_logs`` are event logs, or their weekly totals, by channel. The second engine's click-through chart needs its weekly
+    conversion metrics among the reports, as ``bing/click_through_rate_over_time``. Desktop charts, and both of the second
     engine's, show earning keywords only.
     """
     charts: dict[str, DataFrame] = {}
@@ -158,6 +156,9 @@ def chart_frames(reports: dict[str, DataFrame], weekly_logs: dict[str, DataFrame
             charts[f"{channel}/desktop_performance_over_time"] = device_performance_over_time(
                 log, focus.keyword, device=DESKTOP, earning_only=True
             )
+    if "bing" in weekly_logs and "bing/click_through_rate_over_time" in reports:
+        metrics = reports["bing/click_through_rate_over_time"]
+        charts["bing/click_through_rate_over_time"] = recent_weeks(metrics, as_of, focus.keyword)
     if "display" in weekly_logs:
         for device, name in ((MOBILE, "mobile"), (DESKTOP, "desktop")):
             whole = reports[f"display/{name}_performance_over_time"]
