@@ -23,12 +23,14 @@ ACQUISITION_COLUMNS = ["keyword", "campaign_name", "campaign_id", "device", "mat
 
 
 def one_conversion_per_user(conversions: DataFrame) -> DataFrame:
-    """The first conversion of each user, by time and then by order.
+    """The first conversion of each user, by time, then by order, then by all its other columns, so that an order that
+    was sent twice makes no random choice. Rows without a user are one user, as in a group.
 
     Spark cuts each map task down to one row per user before the shuffle (``WindowGroupLimit``), so a user
     with very many conversions costs no more than another.
     """
-    by_time = Window.partitionBy("app_user_id").orderBy(F.asc_nulls_last("time"), F.asc_nulls_last("orderId"))
+    rest = sorted(set(conversions.columns) - {"app_user_id", "time", "orderId"})
+    by_time = Window.partitionBy("app_user_id").orderBy(*[F.asc_nulls_last(name) for name in ("time", "orderId", *rest)])
     ranked = conversions.withColumn("__rank", F.row_number().over(by_time))
     return ranked.filter(F.col("__rank") == 1).drop("__rank")
 
@@ -52,15 +54,13 @@ def keyword_lookup(spend: DataFrame) -> DataFrame:
 
 def attach_campaign_name(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     """Rows with their campaign's name; rows without a known campaign stay, with a NULL name."""
-    return left_join_spreading_nulls(rows, lookup, "campaign_id", ["app_user_id"])
+    return left_join_spreading_nulls(rows, lookup, "campaign_id")
 
 
 def attach_keyword_name(conversions: DataFrame, lookup: DataFrame) -> DataFrame:
     """Conversions with the keyword their ``kwd-`` tag stands for, in place of the tag."""
     tagged = conversions.withColumn("keyword_id", scalars.keyword_id_from_tag(F.col("latest_ad_awkeyword")))
-    return left_join_spreading_nulls(
-        tagged.drop("latest_ad_awkeyword"), lookup, "keyword_id", ["app_user_id"]
-    )
+    return left_join_spreading_nulls(tagged.drop("latest_ad_awkeyword"), lookup, "keyword_id")
 
 
 def clean_tags(rows: DataFrame, channel: Channel) -> DataFrame:
@@ -79,8 +79,8 @@ def clean_tags(rows: DataFrame, channel: Channel) -> DataFrame:
     )
     return renamed.withColumns(
         {
-            "campaign_id": F.col("campaign_id").try_cast("long"),
-            "ad_group_id": F.col("ad_group_id").try_cast("long"),
+            "campaign_id": scalars.whole_number(F.col("campaign_id")),
+            "ad_group_id": scalars.whole_number(F.col("ad_group_id")),
             "match_type": scalars.normalize_match_type(F.col("match_type")),
             "keyword": channel.keyword(F.col("keyword")),
         }
@@ -91,7 +91,7 @@ def date_transactions(rows: DataFrame, start: DateLike, end: DateLike) -> DataFr
     """Transactions with ``user_id``, ``date`` and weekday, cut to the dates."""
     dated = rows.withColumnRenamed("app_user_id", "user_id").withColumns(
         {
-            "user_id": F.col("user_id").try_cast("long"),
+            "user_id": scalars.whole_number(F.col("user_id")),
             "date": F.col("transaction_date").cast("date"),
         }
     )

@@ -19,10 +19,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from adlog.channels import BING, SEARCH, Channel
 from adlog.functions.dates import DateLike
 from adlog.operators.attribution import (
+    ACQUISITION_COLUMNS,
     add_week,
     attach_campaign_name,
     attach_keyword_name,
@@ -53,8 +55,11 @@ def acquisitions(
     end: DateLike,
     keywords: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per new customer with the click that brought them, ad tags cleaned and names attached."""
-    conversions = one_conversion_per_user(channel_conversions(events, channel, start, end))
+    """One row per new customer with the click that brought them, ad tags cleaned and names attached.
+
+    Tracking and personal columns go once the first conversion is chosen, so none of them meets the items or is staged.
+    """
+    conversions = drop_tracking_columns(one_conversion_per_user(channel_conversions(events, channel, start, end)))
     if keywords is not None:
         conversions = attach_keyword_name(conversions, keywords)
     named = attach_campaign_name(clean_tags(conversions, channel), campaigns)
@@ -64,7 +69,7 @@ def acquisitions(
 def transaction_rows(store: Store, acquired: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
     """The sold items of new customers, with the click that brought each customer."""
     buyers = store.users.select("id", "name").join(acquired.withColumnRenamed("app_user_id", "id"), "id")
-    return add_week(date_transactions(transactions_extract(store, start, end, buyers), start, end))
+    return drop_tracking_columns(add_week(date_transactions(transactions_extract(store, start, end, buyers), start, end)))
 
 
 def _sold(store: Store, acquired: DataFrame, start: DateLike, end: DateLike, stage: Stage | None) -> DataFrame:
@@ -72,9 +77,22 @@ def _sold(store: Store, acquired: DataFrame, start: DateLike, end: DateLike, sta
     return bought if stage is None else stage(bought)
 
 
-def assemble(spend: DataFrame, bought: DataFrame, store: Store, start: DateLike, end: DateLike) -> DataFrame:
-    """Transaction rows, spend rows and the referrals of the buyers, as one log."""
-    referred = attribute_referrals(referrals(store), first_acquisition(bought), start, end)
+def assemble(
+    spend: DataFrame, bought: DataFrame, store: Store, start: DateLike, end: DateLike, acquired: DataFrame | None = None
+) -> DataFrame:
+    """Transaction rows, spend rows and the referrals of the buyers, as one log.
+
+    With ``acquired``, the new customers, what first brought a buyer is taken from there: every transaction of a user carries
+    the same click, so the transaction rows need only say who bought, and that second pass over the items is a narrow one.
+    Without it the rows themselves are asked, which is best when they are a staged table.
+    """
+    if acquired is None:
+        brought = first_acquisition(bought)
+    else:
+        buyers = bought.select("user_id").distinct()
+        clicks = acquired.select(F.col("app_user_id").alias("user_id"), *ACQUISITION_COLUMNS)
+        brought = clicks.join(buyers, "user_id", "left_semi")
+    referred = attribute_referrals(referrals(store), brought, start, end)
     return drop_tracking_columns(event_log_union(bought, add_week(spend), referred))
 
 
@@ -89,7 +107,8 @@ def search_event_log(
 ) -> DataFrame:
     """Event log of the search engine's keywords."""
     acquired = acquisitions(events, store, SEARCH, campaign_lookup(campaign_report), start, end)
-    return assemble(keyword_report, _sold(store, acquired, start, end, stage), store, start, end)
+    bought = _sold(store, acquired, start, end, stage)
+    return assemble(keyword_report, bought, store, start, end, acquired if stage is None else None)
 
 
 def bing_event_log(
@@ -104,7 +123,8 @@ def bing_event_log(
     acquired = acquisitions(
         events, store, BING, campaign_lookup(keyword_report), start, end, keyword_lookup(keyword_report)
     )
-    return assemble(keyword_report, _sold(store, acquired, start, end, stage), store, start, end)
+    bought = _sold(store, acquired, start, end, stage)
+    return assemble(keyword_report, bought, store, start, end, acquired if stage is None else None)
 
 
 def display_event_log(
@@ -122,7 +142,8 @@ def display_event_log(
     """
     acquired = acquisitions(events, store, SEARCH, campaign_lookup(campaign_report), start, end)
     bought = _sold(store, acquired, start, end, stage)
-    return filter_display_remarketing(assemble(campaign_report, bought, store, start, end))
+    log = assemble(campaign_report, bought, store, start, end, acquired if stage is None else None)
+    return filter_display_remarketing(log)
 
 
 @dataclass(frozen=True)
@@ -148,8 +169,9 @@ def event_logs(sources: Sources, start: DateLike, end: DateLike, stage: Stage |
     store, events = sources.store, sources.events
     acquired = acquisitions(events, store, SEARCH, campaign_lookup(sources.campaigns), start, end)
     bought = _sold(store, acquired, start, end, stage)
+    known = acquired if stage is None else None
     return EventLogs(
-        search=assemble(sources.search_keywords, bought, store, start, end),
+        search=assemble(sources.search_keywords, bought, store, start, end, known),
         bing=bing_event_log(sources.bing_keywords, events, store, start, end, stage),
-        display=filter_display_remarketing(assemble(sources.campaigns, bought, store, start, end)),
+        display=filter_display_remarketing(assemble(sources.campaigns, bought, store, start, end, known)),
     )

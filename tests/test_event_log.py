@@ -157,3 +157,15 @@ def test_staged_log_is_the_same(spark, tables):
     columns = ["user_id", "week", "keyword", "campaign_name", "cost", "money_in_the_bank_paid_to_us", "new_referred_users"]
     staged = search_log(spark, tables, lambda frame: materialize(frame, "sold"))
     assert rows(staged, *columns) == rows(search_log(spark, tables), *columns)
+
+
+def test_nothing_personal_is_staged(spark, tables):
+    staged = []
+
+    def stage(frame):
+        staged.append(frame.columns)
+        return materialize(frame, "sold")
+
+    log = search_log(spark, tables, stage)
+    assert len(staged) == 1 and not set(staged[0]) & set(schemas.TRACKING_COLUMNS)
+    assert rows(log, *sorted(log.columns)) == rows(search_log(spark, tables), *sorted(log.columns))

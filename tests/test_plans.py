@@ -136,7 +136,7 @@ def test_null_keys_are_spread_over_the_tasks(spark):
     left = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 50).alias("key"))
     right = spark.range(50).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
     with settings(spark, autoBroadcastJoinThreshold=-1, adaptive__enabled="false", shuffle__partitions=8):
-        joined = left_join_spreading_nulls(left, right, "key", ["id"])
+        joined = left_join_spreading_nulls(left, right, "key")
         plain = left.join(right, "key", "left")
         assert "__null_spread" in plan_of(joined).split("SortMergeJoin")[1].splitlines()[0]
         sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
