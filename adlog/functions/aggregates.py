@@ -3,9 +3,10 @@
 Sums of nothing are 0 and a division by zero is NULL, whatever the session's ANSI mode.
 
 Money is ``DECIMAL(18,2)`` in every table, but Spark adds decimals of that width row by row through
-``BigDecimal``, several times slower than doubles. All sums here therefore add *whole numbers held in
-doubles* (cents, or a fixed fraction): such sums are exact up to 2**53 units, so the result does not
-depend on the order in which tasks finish or are retried, and the hash aggregate keeps a primitive buffer.
+``BigDecimal``, several times slower than doubles. Sums of money therefore add *whole cents held in doubles*, which is exact
+up to 2**53 cents (9e13 of the currency), and sums of other numbers add whole parts and decimals as integers
+(:func:`exact_sum`). So no result depends on the order in which tasks finish or are retried, and the hash aggregate keeps
+primitive buffers.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CENTS = 100.0
-_POSITION_UNITS = 1e4
-_IMPRESSION_UNITS = 1e6
 
 
 def zero_if_null(value: Column) -> Column:
@@ -47,18 +46,26 @@ def sum_count(value: Column) -> Column:
     return zero_if_null(F.sum(value))
 
 
+def exact_sum(value: Column, digits: int) -> Column:
+    """Sum of a number column, each row taken to so many decimals; NULL when there is nothing to add.
+
+    Whole parts and decimals are added apart, as 64-bit integers: exact up to 9e18 in total and, for six digits, 9e12 rows of a
+    group. Beyond that Spark fails rather than lose a digit.
+    """
+    whole = F.floor(value)
+    decimals = F.rint((value - whole) * 10.0**digits).cast("long")
+    parts = F.sum(whole.cast("long")).cast("decimal(20,0)"), F.sum(decimals).cast("decimal(20,0)")
+    return (parts[0] + parts[1] / F.lit(10**digits).cast("decimal(10,0)")).cast("double")
+
+
 def weighted_mean(value: Column, weight: Column) -> Column:
     """Mean of ``value`` weighted by ``weight``; rows without a value do not count.
 
-    Values are taken to four decimals.
+    Products are taken to four decimals.
     """
-    weighted = F.sum(F.rint(value * weight * _POSITION_UNITS)) / _POSITION_UNITS
-    return ratio(weighted, F.sum(F.when(value.isNotNull(), weight)))
+    return ratio(exact_sum(value * weight, 4), F.sum(F.when(value.isNotNull(), weight)))
 
 
 def sum_available(impressions: Column, share: Column) -> Column:
-    """Sum of impressions / share over the rows, to six decimals; a share of 0 or NULL is skipped."""
-    return F.coalesce(
-        F.sum(F.rint(ratio(impressions, share) * _IMPRESSION_UNITS)) / _IMPRESSION_UNITS,
-        F.lit(0.0),
-    )
+    """Sum of impressions / share over the rows, each to six decimals; a share of 0 or NULL is skipped."""
+    return F.coalesce(exact_sum(ratio(impressions, share), 6), F.lit(0.0))

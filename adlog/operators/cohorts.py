@@ -35,17 +35,15 @@ def cohort_assignment(elog: DataFrame, keyword: str | None = None) -> DataFrame:
     numbered weeks are broadcast: they are at most one row per week of the calendar.
     """
     rows = filter_keyword(elog, keyword)
-    weeks = F.broadcast(week_ordinal(rows))
-    cohorts = (
-        monetary_rows(rows)
-        .groupBy("user_id")
-        .agg(F.min("week").alias("week"))
-        .join(weeks, "week")
-        .select("user_id", F.col("week_number").alias("cohort_week"))
-    )
-    numbered = rows.join(weeks, "week")
-    told_apart_by = [name for name in ("date", "campaign_name", "device", "cost", "impressions") if name in rows.columns]
-    placed = left_join_spreading_nulls(numbered, cohorts, "user_id", told_apart_by)
+    weeks = F.broadcast(week_ordinal(rows).withColumnRenamed("week", "numbered_week"))
+
+    def numbered(frame: DataFrame) -> DataFrame:
+        """With the week's number; rows without a week are of the last one, as in :func:`cohort_weeks`."""
+        return frame.join(weeks, F.col("week").eqNullSafe(F.col("numbered_week"))).drop("numbered_week")
+
+    first = monetary_rows(rows).groupBy("user_id").agg(F.min("week").alias("week"))
+    cohorts = numbered(first).select("user_id", F.col("week_number").alias("cohort_week"))
+    placed = left_join_spreading_nulls(numbered(rows), cohorts, "user_id")
     cohort_week = F.coalesce("cohort_week", "week_number")
     return placed.withColumn("cohort_week", cohort_week).withColumn("cohort", scalars.cohort_label(F.col("cohort_week")))
 

@@ -105,11 +105,18 @@ def keywords_performance_over_time(elog: DataFrame) -> DataFrame:
 def keywords_campaign_performance_over_time(elog: DataFrame) -> DataFrame:
     """The series of each earning keyword in each campaign.
 
-    A keyword may run in any number of campaigns, so its rows are not brought together: the earning keywords
-    are found in an aggregate of their own and joined to the totals.
+    A keyword may run in any number of campaigns, so its rows are not brought together: the earning keywords are found by
+    adding up the totals, and joined to them. The log is read once: both uses of the totals have the same columns, so that
+    Spark shares their shuffle.
     """
     totals = sum_by_week(elog, "keyword", "campaign_name")
-    return cumulative(earning_keywords_only(totals, elog), "keyword", "campaign_name")
+    by_keyword = totals.groupBy(F.col("keyword").alias("earning_keyword")).agg(
+        F.sum("earned_cents").alias("earned_cents"), F.sum("cost_cents").alias("cost_cents")
+    )
+    # Spent cents are never NULL; naming them keeps the column in this use as well.
+    earning = by_keyword.filter((F.col("earned_cents") > 0) & F.col("cost_cents").isNotNull()).select("earning_keyword")
+    earned = totals.join(earning, F.col("keyword").eqNullSafe(F.col("earning_keyword")), "left_semi")
+    return cumulative(earned, "keyword", "campaign_name")
 
 
 def device_performance_over_time(

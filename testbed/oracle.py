@@ -98,19 +98,26 @@ TABLES = {
         SELECT MIN(t.created_at) AS first_transaction, c.c_custkey AS id, c.c_name AS name
         FROM customer c JOIN tx t ON t.user_id = c.c_custkey GROUP BY c.c_custkey, c.c_name
         HAVING CAST(MIN(t.created_at) AS DATE) {WINDOW}""",
-    "extract": f"""
-        SELECT t.created_at AS transaction_date, u.c_name AS user_name, u.c_custkey AS app_user_id,
-            t.discount_amount, t.credit, t.sales_tax_amount,
-            CASE WHEN t.refunded THEN i.price ELSE 0 END AS refund_amount,
-            CASE WHEN d.type = 'GiftCard' THEN d.amount
-                ELSE i.price - t.sales_tax_amount + t.discount_amount END AS retail_price,
-            CASE WHEN t.refunded THEN 0 WHEN t.credit > 0 THEN i.price - t.credit ELSE i.price END
-                AS money_in_the_bank_paid_to_us,
-            CASE WHEN d.type = 'GiftCard' THEN 'Gift Card' WHEN i.recurring THEN 'Recurring Food Purchase'
-                ELSE 'One-Time Meal Purchase' END AS purchase_type
-        FROM tx t JOIN items i ON t.id = i.transaction_id LEFT JOIN disc d ON i.discount_id = d.id
-            JOIN customer u ON t.user_id = u.c_custkey
-        WHERE t.created_at BETWEEN DATE '{START}' AND DATE '{END}' + 1 AND t.complete""",
+    "paid_orders": f"""
+        SELECT id AS order_key, user_id AS buyer, created_at AS placed, refunded AS given_back, COALESCE(credit, 0) AS own_credit,
+            credit, discount_amount, sales_tax_amount
+        FROM tx WHERE complete AND created_at >= DATE '{START}' AND created_at <= DATE '{END}' + 1""",
+    "gift_cards": "SELECT id AS card, amount AS card_value FROM disc WHERE type = 'GiftCard'",
+    "order_lines": """
+        SELECT o.*, card IS NOT NULL AS is_gift, card_value, price AS charged, recurring AS repeats
+        FROM items JOIN paid_orders o ON order_key = transaction_id LEFT JOIN gift_cards ON card = discount_id""",
+    "extract": """
+        WITH before_refund AS (
+            SELECT *, charged - greatest(own_credit, 0) AS received, charged + discount_amount - sales_tax_amount AS listed
+            FROM order_lines
+        ), kinds AS (
+            SELECT true AS is_gift, repeats, 'Gift Card' AS purchase_type FROM (VALUES (true), (false)) r(repeats)
+            UNION ALL VALUES (false, true, 'Recurring Food Purchase'), (false, false, 'One-Time Meal Purchase')
+        )
+        SELECT placed AS transaction_date, c_name AS user_name, buyer AS app_user_id, discount_amount, credit, sales_tax_amount,
+            if(given_back, charged, 0) AS refund_amount, if(is_gift, card_value, listed) AS retail_price,
+            if(given_back, 0, received) AS money_in_the_bank_paid_to_us, purchase_type
+        FROM before_refund JOIN kinds USING (is_gift, repeats) JOIN customer ON c_custkey = buyer""",
     "camp_names": "SELECT campaign_id, MIN(campaign_name) AS campaign_name FROM camp GROUP BY campaign_id",
     "bing_names": "SELECT campaign_id, MIN(campaign_name) AS campaign_name FROM bing_kw GROUP BY campaign_id",
     "bing_words": "SELECT keyword_id, MIN(keyword) AS keyword FROM bing_kw GROUP BY keyword_id",

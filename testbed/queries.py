@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -94,37 +93,33 @@ CAMPAIGN_REPORT_COLUMNS = [name for name, _ in schemas.CAMPAIGN_COLUMNS.values()
 BING_KW_COLUMNS = [name for name, _ in schemas.BING_KEYWORD_COLUMNS.values()] + ["day_of_week"]
 
 
-def through_csv(raw: DataFrame) -> DataFrame:
-    """The export as CSV lines, parsed again into text fields under the same headers."""
-    fields = [f"f{i}" for i in range(len(raw.columns))]
-    lines = raw.toDF(*fields).select(F.to_csv(F.struct(*fields)).alias("value"))
-    schema = ", ".join(f"{field} STRING" for field in fields)
-    return lines.select(F.from_csv("value", schema).alias("row")).select("row.*").toDF(*raw.columns)
+def exported(raw: DataFrame, label: str) -> str:
+    """The export as CSV files with headers, in a staged folder."""
+    path = sinks.new_folder(raw.sparkSession, label)
+    raw.write.option("header", True).option("escape", '"').csv(path)
+    return path
 
 
 @query("ingest_search_keyword_report", shown(KW_COLUMNS, "kw"))
 def _(v):
-    rows = report_source.clean_search_keyword_report(through_csv(v.raw_search_keywords()), START, END)
-    return rows.select(KW_COLUMNS)
+    path = exported(v.raw_search_keywords(), "keywords")
+    return report_source.read_search_keyword_report(v.spark, path, START, END).select(KW_COLUMNS)
 
 
 @query("ingest_campaign_report", shown(CAMPAIGN_REPORT_COLUMNS, "camp"))
 def _(v):
-    rows = report_source.clean_campaign_report(through_csv(v.raw_campaigns()), START, END)
-    return rows.select(CAMPAIGN_REPORT_COLUMNS)
+    path = exported(v.raw_campaigns(), "campaigns")
+    return report_source.read_campaign_report(v.spark, path, START, END).select(CAMPAIGN_REPORT_COLUMNS)
 
 
 @query("ingest_bing_keyword_report", shown(BING_KW_COLUMNS, "bing_kw"))
 def _(v):
     raw = v.raw_bing_keywords()
-    headers = raw.columns
-    fields = [f"f{i}" for i in range(len(headers))]
-    day = F.date_format("f0", report_source.BING_DATE_PATTERN)
-    data = raw.toDF(*fields).select(F.to_csv(F.struct(day.alias("f0"), *fields[1:])).alias("value"))
-    frame = ['"Report Name: Keyword performance"'] * 9 + [",".join(headers), "(c) All rights reserved. "]
-    lines = data.unionByName(v.spark.createDataFrame([(line,) for line in frame], "value STRING"))
-    split = report_source.split_bing_lines(lines, headers)
-    return report_source.clean_bing_keyword_report(split, START, END).select(BING_KW_COLUMNS)
+    day = F.date_format("Gregorian date", report_source.BING_DATE_PATTERN)
+    path = exported(raw.withColumn("Gregorian date", day), "second-engine")
+    frame = ['"Report Name: Keyword performance"'] * 9 + ["(c) All rights reserved. "]
+    v.spark.createDataFrame([(line,) for line in frame], "value STRING").write.mode("append").text(path)
+    return report_source.read_bing_keyword_report(v.spark, path, START, END).select(BING_KW_COLUMNS)
 
 
 @query(
@@ -738,9 +733,9 @@ def _(v):
     return reports.orders_per_week(v.search_log())
 
 
-@query("orders_per_week_bing", dated(_orders_sql("log_bing", f"keyword = '{COHORT_KEYWORD}'")))
+@query("orders_per_week_bing", dated(_orders_sql("log_bing")))
 def _(v):
-    return reports.orders_per_week(v.bing_log(), COHORT_KEYWORD)
+    return reports.orders_per_week(v.bing_log())
 
 
 @query("weekly_conversion_metrics", dated(METRICS_SQL))
@@ -927,7 +922,7 @@ def _(v):
 @query("write_report_csv", kpi("log_search", ["keyword"]))
 def _(v):
     report = reports.keywords_report(v.search_log())
-    path = f"{sinks.staging_root(v.spark)}/adlog/csv-{uuid.uuid4().hex}"
+    path = sinks.new_folder(v.spark, "csv")
     sinks.write_report_csv(report, path)
     return sinks.read_report_csv(v.spark, path, report.schema)
 
@@ -997,19 +992,28 @@ def _(v):
                 DEVICE_KEYS,
                 where=f"keyword = '{COHORT_KEYWORD}' AND device = 'dt' AND {earning('log_search')}",
             ),
+            "bing/click_through_rate_over_time": f"""SELECT * FROM ({BING_METRICS_SQL}) WHERE keyword = '{COHORT_KEYWORD}'
+                AND week BETWEEN DATE '{AS_OF}' - 28 AND DATE '{AS_OF}'""",
+            "bing/mobile_performance_over_time": sql.series(
+                "log_bing", DEVICE_KEYS, where=f"keyword = '{COHORT_KEYWORD}' AND device = 'mb' AND {earning('log_bing')}"
+            ),
+            "bing/desktop_performance_over_time": sql.series(
+                "log_bing", DEVICE_KEYS, where=f"keyword = '{COHORT_KEYWORD}' AND device = 'dt' AND {earning('log_bing')}"
+            ),
             "display/mobile_performance_over_time": sql.series("log_display", ["device"], where="device = 'mb'"),
             "display/desktop_performance_over_time": sql.series("log_display", ["device"], where="device = 'dt'"),
         }.items()
     ),
 )
 def _(v):
-    search, display = v.search_log(), v.display_log()
+    search, bing, display = v.search_log(), v.bing_log(), v.display_log()
     whole = {
+        "bing/click_through_rate_over_time": reports.weekly_conversion_metrics(bing, channel=BING),
         "search/click_through_rate_over_time": reports.weekly_conversion_metrics(search, CAMPAIGN_PATTERN),
         "display/mobile_performance_over_time": series.display_device_performance(display),
         "display/desktop_performance_over_time": series.display_device_performance(display),
     }
-    charts = chart_frames(whole, {"search": search, "display": display}, FOCUS, AS_OF)
+    charts = chart_frames(whole, {"search": search, "bing": bing, "display": display}, FOCUS, AS_OF)
     counts = [
         chart.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("chart"), "n_rows")
         for name, chart in charts.items()

@@ -184,3 +184,20 @@ def test_date_filter_defaults_to_today(spark):
     today = dt.date.today()
     log = elog(spark, dict(date=today), dict(date=today - dt.timedelta(days=400)), dict(date=today + dt.timedelta(days=400)))
     assert [row.date for row in filters.date_filter(log).collect()] == [today]
+
+
+def test_large_sums_do_not_depend_on_tasks(spark):
+    """Beyond 1e10 available impressions every digit stays the same, however the rows are dealt out."""
+    rows_ = spark.range(30_000).selectExpr(
+        "cast(null AS date) AS date", "'k' AS keyword", "cast(id % 7 + 1 AS double) / 3 AS average_position",
+        "(id * 7919 % 1000003) * 1000 AS impressions", "(id % 97 + 1) / 100D AS est_search_impression_share", "1L AS clicks",
+        "cast(1 AS decimal(18,2)) AS cost", "cast(null AS bigint) AS user_id", "cast(null AS decimal(18,2)) AS money_in_the_bank_paid_to_us",
+    )
+    found = {
+        tuple(summarize_elog(rows_.repartition(n), "keyword").select("estimated_available_impressions", "average_position").first())
+        for n in (1, 3, 7)
+    }
+    assert len(found) == 1
+    available = found.pop()[0]
+    exact = sum(round((i * 7919 % 1000003) * 1000 / ((i % 97 + 1) / 100), 6) for i in range(30_000))
+    assert available > 1e10 and available == pytest.approx(exact, rel=1e-12)

@@ -6,7 +6,8 @@ import __spark_entry__ as driver
 from conftest import MEDIUM, SMALL
 from testbed.compare import connect, difference, rows_of_duckdb, rows_of_spark
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+ORACLE = driver.registry.ORACLE
+QUERIES = {name: driver.queries()[name] for name in driver.registry.QUERIES}
 # Cohorts are thin at the smallest scale.
 MEDIUM_QUERIES = ["cohort_totals", "cohort_breakeven", "cohort_breakeven_bing", "search_event_log", "display_event_log"]
 
