@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -134,8 +133,3 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
         out = mixed(out) + hashes[i : n - size + 1 + i]
     return mixed(out + _U(size))
 
-
-def frames(batches: Iterator, column: str) -> Iterator[tuple]:
-    """Batches of pandas with the column's values, NULL as None."""
-    for pdf in batches:
-        yield pdf, [None if not isinstance(x, str) else x for x in pdf[column]]

@@ -165,6 +165,8 @@ def query_terms(queries: DataFrame, text: str = "text") -> DataFrame:
         for pdf in batches:
             for key, value in zip(pdf["query"], pdf["text"]):
                 counts = Counter(hashed(words_of(value), memory).tolist())
+                if not counts:
+                    continue
                 yield pd.DataFrame({"query": [key] * len(counts), "term": np.array(list(counts), dtype=np.uint64).astype(np.int64), "times": list(counts.values())})
 
     rows = queries.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("query"), F.col(text).alias("text"))
