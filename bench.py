@@ -12,7 +12,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -25,7 +24,7 @@ from adlog.operators.cohorts import cohort_views  # noqa: E402
 from adlog.plans.event_logs import event_logs  # noqa: E402
 from adlog.plans.marketing_report import marketing_report, write_marketing_report  # noqa: E402
 from adlog.session import apply_settings  # noqa: E402
-from adlog.sources.sinks import materialize  # noqa: E402
+from adlog.sources.sinks import materialize, new_folder  # noqa: E402
 from testbed.compare import local_session  # noqa: E402
 from testbed.queries import FOCUS, QUERIES  # noqa: E402
 from testbed.views import COHORT_KEYWORD, END, START, Views  # noqa: E402
@@ -61,7 +60,7 @@ def whole_report(v: Views) -> None:
     """All event logs, all reports, all written as CSV."""
     logs = event_logs(v.sources(), START, END, lambda rows: materialize(rows, "sold"))
     reports = marketing_report(logs.search, logs.bing, logs.display, focus=FOCUS)
-    write_marketing_report(reports, tempfile.mkdtemp(prefix="adlog-report-"))
+    write_marketing_report(reports, new_folder(v.spark, "report"))
 
 
 def run(frame: DataFrame) -> None:

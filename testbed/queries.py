@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -927,6 +928,32 @@ def _(v):
     return sinks.read_report_csv(v.spark, path, report.schema)
 
 
+# Columns of the reports that are no numbers.
+WORDS = ["campaign_name", "device", "first_transaction_month", "keyword", "match_type", "name", "type", "week"]
+
+
+def values_sql(label: str, bodies: dict[str, str]) -> str:
+    """Rows of each frame, and the sum of all its numbers, each in whole hundredths."""
+    words = ", ".join(f"'{word}'" for word in WORDS)
+    hundredths = f"list_transform([*COLUMNS(lambda c: c NOT IN ({words}))], lambda x: CAST(round(x * 100) AS HUGEINT))"
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS {label}, COUNT(*) AS n_rows, CAST(COALESCE(SUM(list_sum({hundredths})), 0) AS DOUBLE) AS hundredths
+        FROM (SELECT * FROM ({body}))"""
+        for name, body in bodies.items()
+    )
+
+
+def values_of(label: str, frames: dict[str, DataFrame]) -> DataFrame:
+    def one(name: str, frame: DataFrame) -> DataFrame:
+        numbers = [F.col(f.name) for f in frame.schema if isinstance(f.dataType, T.NumericType)]
+        cells = [F.coalesce(F.round(number.cast("double") * 100).cast("decimal(38,0)"), F.lit(0)) for number in numbers]
+        sums = [F.coalesce(F.sum(cell), F.lit(0)) for cell in cells]
+        total = reduce(lambda a, b: a + b, sums).cast("double")
+        return frame.agg(F.count("*").alias("n_rows"), total.alias("hundredths")).select(F.lit(name).alias(label), "n_rows", "hundredths")
+
+    return attribution.event_log_union(*[one(name, frame) for name, frame in frames.items()])
+
+
 def _report_counts_sql() -> str:
     word = f"keyword = '{COHORT_KEYWORD}'"
     counts: dict[str, str] = {"total_customers_per_month": TOTAL_CUSTOMERS_SQL}
@@ -961,27 +988,21 @@ def _report_counts_sql() -> str:
         "display/mobile_performance_over_time": sql.series("log_display", ["device"]),
         "display/orders_per_week": _orders_sql("log_display"),
     }
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS report, COUNT(*) AS n_rows FROM ({body})" for name, body in counts.items()
-    )
+    return values_sql("report", counts)
 
 
 @query("marketing_report", _report_counts_sql())
 def _(v):
     logs = event_logs(v.sources(), START, END, lambda rows: sinks.materialize(rows, "sold"))
     found = marketing_report(logs.search, logs.bing, logs.display, focus=FOCUS)
-    counts = [
-        report.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows")
-        for name, report in found.items()
-    ]
-    return attribution.event_log_union(*counts)
+    return values_of("report", found)
 
 
 @query(
     "chart_frames",
-    " UNION ALL ".join(
-        f"SELECT '{name}' AS chart, COUNT(*) AS n_rows FROM ({body})"
-        for name, body in {
+    values_sql(
+        "chart",
+        {
             "search/click_through_rate_over_time": RECENT_SQL,
             "search/impression_share_over_time": RECENT_SQL,
             "search/mobile_performance_over_time": sql.series(
@@ -1002,7 +1023,7 @@ def _(v):
             ),
             "display/mobile_performance_over_time": sql.series("log_display", ["device"], where="device = 'mb'"),
             "display/desktop_performance_over_time": sql.series("log_display", ["device"], where="device = 'dt'"),
-        }.items()
+        },
     ),
 )
 def _(v):
@@ -1014,8 +1035,4 @@ def _(v):
         "display/desktop_performance_over_time": series.display_device_performance(display),
     }
     charts = chart_frames(whole, {"search": search, "bing": bing, "display": display}, FOCUS, AS_OF)
-    counts = [
-        chart.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("chart"), "n_rows")
-        for name, chart in charts.items()
-    ]
-    return attribution.event_log_union(*counts)
+    return values_of("chart", charts)
