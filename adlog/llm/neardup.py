@@ -29,6 +29,9 @@ CHUNK = 1 << 14
 #: Of BANDS * DRAWS draws, pairs that agree in fewer are not verified: at the least similarity, 30 draws agree in
 #: fewer than 13 with probability 3e-6.
 LEAST_DRAWS = 13
+PACKED = ("d0", "d1", "d2", "d3")
+#: Texts of a bucket that its others are compared with, in each round.
+HUBS = (1, 4, 8)
 #: Different random numbers for draws; a shingle's come from the table by its hash.
 RANDOM = 1 << 16
 _U = np.uint64
@@ -105,9 +108,9 @@ def inverse(counts: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, idf, text: str, doc_id: str) -> DataFrame:
-    """doc_id, key (of the text; NULL for NULL), weight, bands, draws (their lower halves)."""
+    """doc_id, key (of the text; NULL for NULL), weight, bands, d0 .. d3: the lowest bytes of all draws, eight to a number."""
     small_batches(docs.sparkSession)
-    fields = "weight double, bands array<long>, draws array<int>"
+    fields = "weight double, bands array<long>, " + ", ".join(f"{d} long" for d in PACKED)
     memory: list = []
 
     @F.pandas_udf(fields)
@@ -118,7 +121,7 @@ def _signatures(docs: DataFrame, idf, text: str, doc_id: str) -> DataFrame:
         for x in texts:
             keys, times = counted(x if isinstance(x, str) else None, memory[0])
             if not len(keys):
-                out.append((0.0, [], []))
+                out.append((0.0, [], 0, 0, 0, 0))
                 continue
             weights = times * idf.value[slot(keys)]
             found = memory[1].of(keys, weights)
@@ -126,8 +129,10 @@ def _signatures(docs: DataFrame, idf, text: str, doc_id: str) -> DataFrame:
             for i in range(1, DRAWS):
                 bands = mixed(bands) + found[i::DRAWS]
             bands = mixed(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
-            out.append((float(weights.sum(dtype=float)), bands.astype(np.int64).tolist(), found.astype(np.uint32).astype(np.int32).tolist()))
-        return pd.DataFrame(out, columns=["weight", "bands", "draws"])
+            low = np.zeros(8 * len(PACKED), dtype=np.uint8)
+            low[: len(found)] = found.astype(np.uint8)
+            out.append((float(weights.sum(dtype=float)), bands.astype(np.int64).tolist(), *low.view("<i8").tolist()))
+        return pd.DataFrame(out, columns=["weight", "bands", *PACKED])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("key"), sign("text").alias("s"))
@@ -140,20 +145,31 @@ def _weights_close(a: str, b: str):
 
 
 def _draws_close(a: str, b: str):
-    same = F.expr(" + ".join(f"int({a}[{i}] = {b}[{i}])" for i in range(BANDS * DRAWS)))
-    return same >= LEAST_DRAWS
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, idf, doc_id: str, text: str) -> DataFrame:
-    """Pairs (a, b) of keys whose texts have the similarity, with it. ``first`` names a row for each key."""
-    needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    needed = first.join(needed, "key", "left_semi").select(F.col("key").alias("k"), F.col("doc_id").alias("d"))
+    """Enough bytes of the packed draws agree. Draws that agree have equal bytes; the unused bytes always are."""
+    apart = []
+    for d in PACKED:
+        x = F.col(f"{d}{a}").bitwiseXOR(F.col(f"{d}{b}"))
+        for shift in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        # what comes over from the next byte can only reach bits that this byte's own are folded out of
+        apart.append(x)
+    different = sum((F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101))) for x in apart), F.lit(0))
+    return different <= BANDS * DRAWS - LEAST_DRAWS
+
+
+def _texts(keys: DataFrame, docs: DataFrame, first: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """key, text of the keys, each from one row: ``first`` names it. Copies of a text are not brought together."""
+    needed = first.join(keys, "key", "left_semi").select(F.col("key").alias("k"), F.col("doc_id").alias("d"))
     rows = docs.select(F.unhex(F.md5(F.col(text).cast("binary"))).alias("key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     on = (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d"))
-    texts = stage(rows.join(needed, on, "left_semi").select("key", "text").dropDuplicates(["key"]), "texts")
+    return stage(rows.join(needed, on, "left_semi").select("key", "text").dropDuplicates(["key"]), "texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """Pairs (a, b) of keys whose texts have the similarity, with it."""
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    small_batches(docs.sparkSession)
+    small_batches(pairs.sparkSession)
 
     def verify(batches):
         memory, known = WordHashes(), {}
@@ -189,44 +205,56 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     """(members, links). members: ``doc_id, key, root``, a row for each document: the key of its text and of its group's
     smallest text, both NULL for a NULL text. links: ``a, b, similarity`` between keys.
 
-    First, every text of a bucket (a band's value) is compared with the bucket's smallest: one comparison for each text, which
-    settles buckets of copies of any size. Buckets that still hold several groups then compare all pairs across groups whose
-    weights and draws can reach the similarity. Nothing is capped.
+    In a few rounds, every text of a bucket (a band's value) is compared with some of the bucket's texts, chosen by a hash, that
+    are in other groups so far: first one, then more. That takes a number of comparisons in proportion to the texts, and joins
+    large groups of copies and near copies. Buckets that still hold several groups then compare all pairs across groups
+    whose weights and draws can reach the similarity: whatever the rounds missed. Nothing is capped.
     """
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse(frequencies(docs, text)))
     members = stage(_signatures(docs, idf, text, doc_id), "members")
-    texts = members.where("weight > 0")
-    first = texts.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    one = stage(texts.select("key", "weight", "bands", "draws").dropDuplicates(["key"]), "different")
-    in_band = one.select("key", F.explode("bands").alias("band"))
-    hubs = in_band.groupBy("band").agg(F.min("key").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = stage(in_band.join(hubs, "band"), "buckets")
-
-    def signed(pairs: DataFrame) -> DataFrame:
-        for side in "ab":
-            pairs = pairs.join(one.select(F.col("key").alias(side), F.col("weight").alias(f"w{side}"), F.col("draws").alias(f"d{side}")), side)
-        return pairs.where(_weights_close("wa", "wb") & _draws_close("da", "db")).select("a", "b")
-
-    stars = buckets.where("key > hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    links = _verified(stage(signed(stars), "stars"), docs, first, idf, doc_id, text)
-    found = connected(links)
-
-    # buckets with texts of several groups
-    rooted = buckets.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    mixed_ = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-    left = rooted.join(mixed_, "band", "left_semi").join(one.select("key", "weight", "draws"), "key")
-    size = F.floor(F.log("weight") / F.lit(-math.log(SIMILARITY - 1e-6))).cast("int")
-    left = stage(left.select("band", "key", "hub", "root", "weight", "draws", size.alias("size")), "left")
-    one_side = left.select("band", F.col("key").alias("a"), F.col("root").alias("ra"), F.col("weight").alias("wa"), F.col("draws").alias("da"), "size")
-    near = F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1))
-    other = left.select("band", F.col("key").alias("b"), F.col("root").alias("rb"), F.col("weight").alias("wb"), F.col("draws").alias("db"), "hub", near.alias("size"))
-    across = one_side.join(other, ["band", "size"]).where("a < b and ra <> rb and hub <> a")
-    across = across.where(_weights_close("wa", "wb") & _draws_close("da", "db")).select("a", "b").distinct()
-    across = stage(across, "across")
-    if not across.isEmpty():
-        links = links.union(_verified(across, docs, first, idf, doc_id, text))
+    different = members.where("weight > 0")
+    first = different.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    one = stage(different.select("key", "weight", "bands", *PACKED).dropDuplicates(["key"]), "different")
+    in_band = one.select("key", "weight", *PACKED, F.explode("bands").alias("band"))
+    several = in_band.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    buckets = stage(in_band.join(several, "band", "left_semi"), "buckets")
+    texts = _texts(buckets.select("key").distinct(), docs, first, doc_id, text)
+    rooted = buckets.withColumn("root", F.col("key"))
+    links, found = None, None
+
+    def add(pairs: DataFrame) -> None:
+        """Verify pairs, and put the groups that they join together."""
+        nonlocal links, found, rooted
+        more = _verified(pairs, texts, idf)
+        links = more if links is None else links.union(more)
         found = connected(links)
+        roots = found.withColumnRenamed("node", "key")
+        rooted = buckets.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        split = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+        rooted = stage(rooted.join(split, "band", "left_semi"), "rooted")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        """Rows of buckets with names for one side of a pair."""
+        named = {"key": name, "root": f"r{name}", "weight": f"w{name}"} | {d: f"{d}{name}" for d in PACKED}
+        return rows.select("band", *[F.col(old).alias(new) for old, new in named.items()], *[c for c in rows.columns if c == "size"])
+
+    # Joins make only pairs that can reach the similarity.
+    can_match = _weights_close("wa", "wb") & _draws_close("a", "b") & (F.col("ra") != F.col("rb"))
+    for turn, n in enumerate(HUBS):
+        chosen = [F.min(F.struct(F.xxhash64("key", F.lit(f"{turn}.{i}")).alias("h"), "key", "root", "weight", *PACKED)) for i in range(n)]
+        hubs = rooted.groupBy("band").agg(F.array_distinct(F.array(*chosen)).alias("hubs")).select("band", F.explode("hubs").alias("hub"))
+        against = side(hubs.select("band", "hub.*"), "a").join(side(rooted, "b").withColumnRenamed("band", "of"), (F.col("band") == F.col("of")) & can_match)
+        add(stage(against.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+
+    # buckets that still hold several groups
+    left = rooted.withColumn("size", F.floor(F.log("weight") / F.lit(-math.log(SIMILARITY - 1e-6))).cast("int"))
+    near = left.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
+    other = side(near, "b").withColumnsRenamed({"band": "of", "size": "as"})
+    on = (F.col("band") == F.col("of")) & (F.col("size") == F.col("as")) & (F.col("a") < F.col("b")) & can_match
+    across = stage(side(left, "a").join(other, on).select("a", "b").distinct(), "across")
+    if not across.isEmpty():
+        add(across)
     rooted = members.select("doc_id", "key").join(found.withColumnRenamed("node", "key"), "key", "left")
     return rooted.select("doc_id", "key", F.coalesce("root", "key").alias("root")), links
 
