@@ -38,11 +38,11 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(rows: DataFrame, label: str = "rows") -> DataFrame:
+def stage(rows: DataFrame, label: str = "rows", **options: str) -> DataFrame:
     """Write rows as Parquet to the shared folder and read them back: lineage ends there, lost executors cost a re-read."""
     spark = rows.sparkSession
     path = f"{staging_folder(spark)}/{label}"
-    rows.write.parquet(path)
+    rows.write.parquet(path, **options)
     return spark.read.schema(rows.schema).parquet(path)
 
 

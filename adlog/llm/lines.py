@@ -17,11 +17,15 @@ from adlog.llm.common import connected, free_name, stage
 
 BITS, RADIUS = 64, 3
 SIMILARITY = 0.8
-#: Words of equal lines are counted in this many groups, so that a count stays below 2^31.
+#: Lines of fewer words have counts of 15 bits at most, so that a number holds four.
+SHORT = 1 << 15
+#: Words of equal longer lines are counted in this many groups, so that a count stays below 2^31.
 SPREAD = 16
 #: Lines beyond this many characters are verified in pieces of it; the sum of their edit distances bounds that of the whole.
 PIECE = 1000
 #: Lines up to which one equal block of four is a key; beyond, two of five, then three of six. All find the same pairs.
+#: Places of lines whose text is asked for that are sent to every task, at most; more are shuffled.
+SENT = 100_000
 FEW_LINES, MANY_LINES = 4_000_000, 4_000_000_000
 
 _OTHER = r"[^\p{L}\p{N}]+"
@@ -48,10 +52,17 @@ def masks(blocks: int, equal: int) -> list[int]:
 
 
 def _occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, doc (key of the text), lines (of the text), pos, line (normal form); NULL texts as one row without a line."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.col(text).cast("binary")).alias("doc"), F.split(F.col(text), "\n", -1).alias("all"))
-    rows = rows.select("doc_id", F.unhex("doc").alias("doc"), F.coalesce(F.size("all"), F.lit(0)).alias("lines"), F.posexplode_outer("all").alias("pos", "raw"))
-    return rows.select("doc_id", "doc", "lines", "pos", normal(F.col("raw")).alias("line"))
+    """doc_id, doc (hash of the text), lines (of the text), pos, line (normal form), key of the line; NULL texts as one row
+    without a line."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _doc(F.col(text)).alias("doc"), F.split(F.col(text), "\n", -1).alias("all"))
+    rows = rows.select("doc_id", "doc", F.coalesce(F.size("all"), F.lit(0)).alias("lines"), F.posexplode_outer("all").alias("pos", "raw"))
+    rows = rows.select("doc_id", "doc", "lines", "pos", normal(F.col("raw")).alias("line"))
+    return rows.select("doc_id", "doc", "lines", "pos", "line", _key(F.col("line")).alias("key"))
+
+
+def _doc(text: Column) -> Column:
+    """What tells documents of one id apart; NULL for NULL."""
+    return F.when(text.isNotNull(), F.xxhash64(text, F.lit("doc")))
 
 
 def _key(line: Column) -> Column:
@@ -59,20 +70,27 @@ def _key(line: Column) -> Column:
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """key, print: the SimHash of every different line, of rows ``key, line, salt``.
+    """key, print: the SimHash of every different line, of rows ``key, line, row`` (a number of its own for each).
 
-    A bit is set where more than half of the words' hashes have it. Two counts share a number, 32 bits apart, so that 32 sums
-    in generated code give all 64; counts of equal lines scale alike and leave the majority as it is.
+    A bit is set where more than half of the words' hashes have it. Counts share numbers, so that few sums in generated code give
+    all 64: four counts of 16 bits where a line has fewer words than that, each line by itself; two of 32 bits for longer
+    ones, for which equal lines are counted together in a few groups, as counts of equal lines scale alike.
     """
-    words = lines.select("key", "salt", F.explode(F.split("line", " ")).alias("word")).select("key", "salt", F.xxhash64("word").alias("h"))
-    pair = 0x0000000100000001
-    sums = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(pair))).alias(f"s{j}") for j in range(32)]
-    counts = words.groupBy("key", "salt").agg(F.count("*").alias("n"), *sums)
-    low = lambda j: F.col(f"s{j}").bitwiseAND(F.lit(0xFFFFFFFF))
-    high = lambda j: F.shiftrightunsigned(f"s{j}", 32)
-    bits = [F.when(2 * low(j) > F.col("n"), F.lit(1 << j)).otherwise(F.lit(0).cast("long")) for j in range(32)]
-    bits += [F.when(2 * high(j) > F.col("n"), F.lit(_mask([j + 32]))).otherwise(F.lit(0).cast("long")) for j in range(32)]
-    return counts.select("key", reduce(lambda a, b: a.bitwiseOR(b), bits).alias("print")).distinct()
+    short = F.length("line") < 2 * SHORT  # words have a character at least and a blank between them
+    rows = lines.where(short).select("key", F.col("row").alias("group"), "line")
+    more = lines.where(~short).select("key", F.pmod("row", F.lit(SPREAD)).alias("group"), "line")
+    return _prints(rows, 4).union(_prints(more, 2)).distinct()
+
+
+def _prints(lines: DataFrame, lanes: int) -> DataFrame:
+    width = BITS // lanes
+    ones = sum(1 << i * width for i in range(lanes))
+    words = lines.select("key", "group", F.explode(F.split("line", " ")).alias("word")).select("key", "group", F.xxhash64("word").alias("h"))
+    sums = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(ones))).alias(f"s{j}") for j in range(width)]
+    counts = words.groupBy("key", "group").agg(F.count("*").alias("n"), *sums)
+    count = lambda j, i: F.shiftrightunsigned(f"s{j}", i * width).bitwiseAND(F.lit((1 << width) - 1))
+    bits = [F.when(2 * count(j, i) > F.col("n"), F.lit(_mask([j + i * width]))).otherwise(F.lit(0)) for i in range(lanes) for j in range(width)]
+    return counts.select("key", reduce(lambda a, b: a.bitwiseOR(b), [bit.cast("long") for bit in bits]).alias("print"))
 
 
 def _near(a: str, b: str) -> Column:
@@ -80,7 +98,11 @@ def _near(a: str, b: str) -> Column:
 
 
 def edit_similar(a: str, b: str) -> Column:
-    """Whether two texts have the edit similarity: 1 - distance / longer length. Long ones are compared in pieces."""
+    """Whether two texts have the edit similarity: 1 - distance / longer length. Long ones are compared in pieces.
+
+    Words that differ at one place, counted from the beginning or from the end, bound the distance from above, which settles
+    most pairs before the distance itself is worked out.
+    """
     most = f"cast(floor({1 - SIMILARITY:.6f} * greatest(length({a}), length({b})) + 1e-9) as int)"
     short = f"levenshtein({a}, {b}, {most}) >= 0"
     piece = f"substring({{0}}, 1 + i * {PIECE}, {PIECE})"
@@ -88,8 +110,14 @@ def edit_similar(a: str, b: str) -> Column:
         f"aggregate(sequence(0, cast((greatest(length({a}), length({b})) - 1) div {PIECE} as int)), 0L, "
         f"(sum, i) -> sum + levenshtein({piece.format(a)}, {piece.format(b)})) <= {most}"
     )
+    words_a, words_b = f"split({a}, ' ')", f"split({b}, ' ')"
+    # a word that stands against none costs its length and a blank
+    apart = "(x, y) -> if(x <=> y, 0, greatest(coalesce(length(x), 0), coalesce(length(y), 0)) + int(x is null or y is null))"
+    by_place = f"aggregate(zip_with({words_a}, {words_b}, {apart}), 0, (sum, n) -> sum + n) <= {most}"
+    from_end = f"aggregate(zip_with(reverse({words_a}), reverse({words_b}), {apart}), 0, (sum, n) -> sum + n) <= {most}"
     close = f"least(length({a}), length({b})) >= {SIMILARITY - 1e-9} * greatest(length({a}), length({b}))"
-    return F.expr(f"{close} and case when greatest(length({a}), length({b})) <= {PIECE} then {short} else {total} end")
+    exact = f"case when greatest(length({a}), length({b})) <= {PIECE} then {short} else {total} end"
+    return F.expr(f"{close} and ({by_place} or {from_end} or {exact})")
 
 
 def _verified(pairs: DataFrame, texts) -> DataFrame:
@@ -109,54 +137,76 @@ def linked(prints: DataFrame, texts) -> DataFrame:
     within the radius are compared. No bucket is capped, and both steps together find every pair within the radius that is
     not in one group already.
     """
-    prints = stage(prints, "prints")
+    # Joins work on numbers: a line's key stands behind a hash of it and is looked up for the pairs that are found. Keys that
+    # share a hash would only add pairs, which are verified like all others.
+    prints = stage(prints.select("key", "print", F.xxhash64("key").alias("kid")), "prints")
+    n = prints.count()
+
+    def keys_of(pairs: DataFrame) -> DataFrame:
+        """Pairs (ka, kb) of numbers as pairs (a, b) of keys, the smaller first."""
+        pairs = stage(pairs.distinct(), "numbers")
+        sides = pairs.select(F.col("ka").alias("kid")).union(pairs.select("kb")).distinct()
+        sides = F.broadcast(sides) if pairs.count() <= SENT else sides
+        known = stage(prints.select("kid", "key").join(sides, "kid", "left_semi"), "keys")
+        for side in "ab":
+            pairs = pairs.join(known.select(F.col("kid").alias(f"k{side}"), F.col("key").alias(side)), f"k{side}")
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+
     parts = _blocks(4)
-    rest = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("print").bitwiseAND(F.lit(~_mask(parts[i]))).alias("value")) for i in range(4)]))
-    dense = prints.select("key", "print", rest.alias("bucket"))
-    hubs = dense.groupBy("bucket").agg(F.min(F.struct("key", "print")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    stars = dense.join(hubs, "bucket").where("key > hub.key").select(F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.print").alias("pa"), F.col("print").alias("pb"))
-    links = _verified(stars.where(_near("pa", "pb")).select("a", "b").distinct(), texts)
+    rest = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(~_mask(parts[i])))) for i in range(4)]
+    dense = prints.select("kid", "print", F.explode(F.array(*rest)).alias("bucket"))
+    hubs = dense.groupBy("bucket").agg(F.min("kid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
+    hubs = stage(hubs, "hubs")
+    hubs = F.broadcast(hubs) if hubs.count() <= SENT else hubs
+    held = stage(dense.join(hubs, "bucket"), "dense")
+    at_hub = held.where("kid = hub").select("bucket", F.col("print").alias("pa")).distinct()
+    stars = held.where("kid <> hub").join(at_hub, "bucket").where(_near("pa", "print"))
+    links = _verified(keys_of(stars.select(F.col("hub").alias("ka"), F.col("kid").alias("kb"))), texts)
     found = connected(links)
 
-    n = prints.count()
     blocks, equal = (4, 1) if n <= FEW_LINES else (5, 2) if n <= MANY_LINES else (6, 3)
-    rooted = prints.join(found.withColumnRenamed("node", "key"), "key", "left").select("key", "print", F.coalesce("root", "key").alias("root"))
-    choose = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("print").bitwiseAND(F.lit(m)).alias("value")) for i, m in enumerate(masks(blocks, equal))]))
-    keyed = stage(rooted.select("key", "print", "root", choose.alias("block")).select("key", "print", "root", F.xxhash64("block.i", "block.value").alias("block")), "blocks")
-    one = keyed.select("block", F.col("key").alias("a"), F.col("print").alias("pa"), F.col("root").alias("ra"))
-    other = keyed.select("block", F.col("key").alias("b"), F.col("print").alias("pb"), F.col("root").alias("rb"))
-    across = one.join(other, (one["block"] == other["block"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _near("pa", "pb"))
-    more = _verified(across.select("a", "b").distinct(), texts)
+    roots = F.broadcast(found) if found.count() <= SENT else found
+    rooted = prints.join(roots.withColumnRenamed("node", "key"), "key", "left")
+    rooted = rooted.select("kid", "print", F.xxhash64(F.coalesce("root", "key")).alias("rid"))
+    choose = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, equal))]
+    keyed = rooted.select("kid", "print", "rid", F.explode(F.array(*choose)).alias("block"))
+    one = keyed.select("block", F.col("kid").alias("ka"), F.col("print").alias("pa"), F.col("rid").alias("ra"))
+    other = keyed.select("block", F.col("kid").alias("kb"), F.col("print").alias("pb"), F.col("rid").alias("rb"))
+    close = _near("pa", "pb") & (F.col("ka") < F.col("kb")) & (F.col("ra") != F.col("rb"))
+    across = one.join(other, (one["block"] == other["block"]) & close).select("ka", "kb")
+    more = _verified(keys_of(across), texts)
     return found if more.isEmpty() else connected(links.union(more))
 
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, doc, lines, removed``: for each document the number of its lines and the places (from 0) of those to remove.
+    """``doc_id, doc, lines, removed`` (doc a hash of the text): for each document the number of its lines and the places (from 0) of those to remove.
 
-    Of each group of similar lines the occurrence stays that has the smallest id (NULL last), key of text and place. NULL
+    Of each group of similar lines the occurrence stays that has the smallest id (NULL last), hash of text and place. NULL
     texts have no lines; empty and wordless lines stay. Rows equal in id and text are one document. Whole texts count, lines of
     any length. An empty table stays empty.
     """
-    rows = _occurrences(docs, doc_id, text).withColumn("key", _key(F.col("line")))
-    seen = stage(rows.select("doc_id", "doc", "lines", "pos", "key"), "lines")
-    salted = rows.where("key is not null").select("key", "line", F.pmod(F.xxhash64("doc"), F.lit(SPREAD)).alias("salt"))
+    seen = _occurrences(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
+    seen = stage(seen, "lines", compression="zstd")
+    known = seen.where("key is not null").select("key", "line", "row")
+    places = seen.select("doc_id", "doc", "lines", "pos", "key")
+    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "pos")
+    first = places.where("key is not null").groupBy("key").agg(F.min(at).alias("first"), F.count("*").alias("n"))
+    first = stage(first, "first")
 
     def texts(keys: DataFrame) -> DataFrame:
-        """Lines of keys, each from its first document only."""
-        first = seen.join(keys, "key", "left_semi").groupBy("key").agg(F.min(F.struct("doc", "doc_id")).alias("at"))
-        wanted = stage(first.select("key", F.col("at.doc").alias("d"), F.col("at.doc_id").alias("i")), "wanted")
-        source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(F.col(text).cast("binary"))).alias("doc"))
-        source = source.join(wanted.select("d", "i").distinct(), (F.col("doc") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i")), "left_semi")
-        lines = source.select(F.explode(F.split("text", "\n", -1)).alias("raw")).select(normal(F.col("raw")).alias("line"))
-        return stage(lines.withColumn("key", _key(F.col("line"))).join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "texts")
-
-    groups = linked(fingerprints(salted), texts)
-    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "pos")
-    first = seen.where("key is not null").groupBy("key").agg(F.min(at).alias("first"), F.count("*").alias("n"))
+        """Lines of keys, each from its first place only."""
+        wanted = first.join(keys, "key", "left_semi").select(F.col("key").alias("k"), F.col("first.doc").alias("d"), F.col("first.pos").alias("p"))
+        wanted = stage(wanted, "wanted")
+        if wanted.count() <= SENT:
+            wanted = F.broadcast(wanted)
+        on = (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("pos") == F.col("p"))
+        return stage(seen.select("key", "doc", "pos", "line").join(wanted, on, "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
+
+    groups = linked(fingerprints(known), texts)
     rooted = first.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("n").alias("n")).where("n > 1").select("root", "kept")
     kept = stage(rooted.select("key", "root").join(kept, "root").select("key", "kept"), "kept")
-    out = seen.join(kept, "key", "left")
+    out = places.join(kept, "key", "left")
     gone = F.col("kept").isNotNull() & (F.col("kept") != at)
     return out.groupBy("doc_id", "doc", "lines").agg(F.sort_array(F.collect_set(F.when(gone, F.col("pos")))).alias("removed"))
 
@@ -166,11 +216,11 @@ def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     they had none; of rows equal in id and text one stays."""
     key, gone, left = free_name(docs, "key", "gone", "left")
     found = removed(docs, doc_id, text).where(F.size("removed") > 0).select(F.col("doc").alias("d"), F.col("doc_id").alias("i"), F.col("removed").alias(gone))
-    rows = docs.withColumn(key, F.coalesce(F.unhex(F.md5(F.col(text).cast("binary"))), F.lit(b"")))
+    rows = docs.withColumn(key, _doc(F.col(text)))
     on = (F.col(key) == F.col("d")) & F.col(f"`{doc_id}`").eqNullSafe(F.col("i"))
     rows = rows.join(found, on, "left").drop("d", "i")
     lines = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.array_contains(F.col(gone), i))
     rows = rows.withColumn(left, F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(lines, "\n")))
     rows = rows.where(F.col(gone).isNull() | F.col(left).rlike(r"[\p{L}\p{N}]"))
-    once = rows.where(F.col(key) != b"").dropDuplicates([key, doc_id]).unionByName(rows.where(F.col(key) == b""))
+    once = rows.where(F.col(key).isNotNull()).dropDuplicates([key, doc_id]).unionByName(rows.where(F.col(key).isNull()))
     return once.select(*[F.col(left).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
