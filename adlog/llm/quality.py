@@ -106,11 +106,13 @@ def fit(rated: DataFrame, text: str = "text", grade: str = "grade", rows: int =
     def cut(batches):
         memory = Slots()
         for pdf in batches:
+            if not len(pdf):
+                continue
             found = [features(x, memory) for x in pdf["text"]]
             yield pd.DataFrame({"grade": pdf["grade"], "at": [a.astype(np.int32) for a, _ in found], "x": [x.astype(np.float32) for _, x in found]})
 
     cuts = known.where(part < share).mapInPandas(cut, "grade int, at array<int>, x array<float>")
-    cuts = stage(cuts.repartition(FIT_TASKS, F.xxhash64("at", "grade")), "rated")
+    cuts = stage(cuts.repartition(FIT_TASKS), "rated")
 
     above = [sum(n for g, n in sizes.items() if g > k) / total for k in range(top)]
     t = np.array([-np.log(max(p, 1e-6) / max(1 - p, 1e-6)) for p in above]) + 1e-6 * np.arange(top)
@@ -178,9 +180,17 @@ def grade(docs: DataFrame, model: Model, at_least: int, text: str = "text") -> D
     return docs.withColumn(name, judge(F.col(text))).select(*rest, *[F.col(f"{name}.{c}") for c in names])
 
 
-def ratings(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rated texts: 0 for toxic ones, 1 for those of low quality, 2 for the others. Labels without a document, and
-    documents without both labels, are left out; of repeated labels of a document each counts."""
+def ratings(docs: DataFrame, labels: DataFrame, rows: int = RATED_ROWS) -> DataFrame:
+    """Rated texts: 0 for toxic ones, 1 for those of low quality, 2 for the others; of about ``rows`` labels.
+
+    Labels are chosen by a hash of their document before they meet the texts, so their number is bounded and no text is moved.
+    Labels without a document, and documents without both labels, are left out; of repeated labels of a document each counts.
+    """
     value = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
-    rated = labels.select("doc_id", value.alias("grade")).where("grade is not null")
-    return docs.select("doc_id", "text").join(rated, "doc_id")
+    rated = labels.select("doc_id", value.alias("grade")).where("grade is not null and doc_id is not null")
+    share = min(1.0, rows / max(1, rated.count()))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("rated")), F.lit(1_000_000)) / 1_000_000
+    chosen = stage(rated.where(part < share), "labels")
+    if chosen.count() <= 2 * rows:
+        chosen = F.broadcast(chosen)
+    return docs.select("doc_id", "text").join(chosen, "doc_id")
