@@ -20,7 +20,7 @@ from adlog.llm.common import free_name, small_batches
 ORDER = 5
 #: Least share of a string among those of its length that a model keeps, so 1 / share bounds their number; the contexts
 #: that fall below are predicted by shorter ones.
-LEAST_SHARE = 2e-6
+LEAST_SHARE = 5e-6
 ALPHABET = 256
 START, END = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -119,7 +119,8 @@ def count_strings(known: DataFrame) -> DataFrame:
             if len(held) > HELD_STRINGS:
                 yield out()
                 held.clear()
-        yield out()
+        if held:
+            yield out()
 
     rows = known.select("ruled", "address").mapInPandas(count, "ruled string, string string, n long")
     return rows.groupBy("ruled", "string").agg(F.sum("n").alias("n")).withColumn("size", F.length("string"))
