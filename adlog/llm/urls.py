@@ -1,7 +1,7 @@
 """URL filter: rules by host and path, and for the rest a ratio of two character language models.
 
-Each model is a Markov model of variable order: the next character is predicted from the longest context that was seen
-often enough, smoothed by all shorter ones (Witten and Bell). A URL's evidence is the difference of its mean
+Each model is a Markov model of variable order: the next character is predicted from the longest context that was seen,
+smoothed by all shorter ones (Witten and Bell). Every string counts, however rare; the models are tables that stay on the cluster. A URL's evidence is the difference of its mean
 log-likelihood per character under accepted and under rejected URLs; the threshold is calibrated on held-out URLs.
 """
 
@@ -15,17 +15,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlog.llm.common import free_name, small_batches
+from adlog.llm.common import free_name, small_batches, stage
 
 ORDER = 5
-#: Least share of a string among those of its length that a model keeps, so 1 / share bounds their number; the contexts
-#: that fall below are predicted by shorter ones.
-LEAST_SHARE = 5e-6
 ALPHABET = 256
 START, END = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Strings counted in a task before they are handed on.
 HELD_STRINGS = 500_000
+#: Different addresses that are scored together: they ask for each of their strings once.
+BLOCK = 512
 STEPS = 2000
 
 
@@ -88,10 +87,9 @@ class Model:
 
 
 def _models(counted: DataFrame) -> dict[str, Model]:
-    totals = counted.groupBy("ruled", "size").agg(F.sum("n").alias("total"))
-    kept = counted.join(F.broadcast(totals), ["ruled", "size"]).where(F.col("n") >= F.col("total") * LEAST_SHARE)
+    """Both models whole and in one place, for small tables only; :func:`scores` gives the same from the cluster."""
     out = {v: Model({}, {}) for v in ("allow", "block")}
-    for row in kept.select("ruled", "string", "n").orderBy("ruled", "string").toLocalIterator():
+    for row in counted.select("ruled", "string", "n").orderBy("ruled", "string").toLocalIterator():
         out[row[0]].counts[row[1]] = row[2]
     for model in out.values():
         times, kinds = Counter(), Counter()
@@ -126,25 +124,55 @@ def count_strings(known: DataFrame) -> DataFrame:
     return rows.groupBy("ruled", "string").agg(F.sum("n").alias("n")).withColumn("size", F.length("string"))
 
 
+def seen_strings(counted: DataFrame) -> DataFrame:
+    """Both models as a table: for each string that is one or a context, and each verdict, n, times and kinds."""
+    zero = F.lit(0).cast("long")
+    one = F.lit(1).cast("long")
+    itself = counted.select("ruled", "string", "n", zero.alias("times"), zero.alias("kinds"))
+    context = counted.select("ruled", F.expr("left(string, size - 1)").alias("string"), zero.alias("n"), F.col("n").alias("times"), one.alias("kinds"))
+    sums = [F.sum(F.when(F.col("ruled") == v, F.col(c)).otherwise(0)).alias(f"{c}_{v}") for v in ("allow", "block") for c in ("n", "times", "kinds")]
+    return itself.union(context).groupBy("string").agg(*sums)
+
+
 @dataclass
 class Filter:
-    models: dict[str, Model]
+    #: The models as :func:`seen_strings` gives them.
+    seen: DataFrame
     threshold: float
 
 
-def _differences(rows: DataFrame, models: dict[str, Model], address: str) -> Column:
-    shared = rows.sparkSession.sparkContext.broadcast(models)
-    small_batches(rows.sparkSession)
+def _needed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The strings and contexts of a block's addresses, each once."""
+    found = {""} | {START * n for n in range(1, ORDER + 1)}
+    for address in pdf["address"]:
+        found.update(strings(address))
+    return pd.DataFrame({"block": pdf["block"].iloc[0], "string": list(found)})
+
 
-    @F.pandas_udf("double")
-    def difference(texts: pd.Series) -> pd.Series:
-        m, known = shared.value, {}
-        for x in texts:
-            if x is not None and x not in known:
-                known[x] = m["allow"].mean_log(x) - m["block"].mean_log(x) if x else 0.0
-        return pd.Series([known.get(x, 0.0) for x in texts])
+def _scored(pdf: pd.DataFrame, seen: pd.DataFrame) -> pd.DataFrame:
+    models = []
+    for v in ("allow", "block"):
+        counts = {s: n for s, n in zip(seen["string"], seen[f"n_{v}"]) if n}
+        followers = {s: (times, kinds) for s, times, kinds in zip(seen["string"], seen[f"times_{v}"], seen[f"kinds_{v}"]) if times}
+        models.append(Model(counts, followers))
+    good, bad = models
+    return pd.DataFrame({"address": pdf["address"], "score": [good.mean_log(x) - bad.mean_log(x) for x in pdf["address"]]})
 
-    return difference(F.col(address))
+
+def scores(addresses: DataFrame, seen: DataFrame) -> DataFrame:
+    """address, score (the difference of the mean log-likelihoods) of every different address of ``address`` but the empty.
+
+    Addresses are dealt into blocks by a hash. A block's different strings meet the models in a join, and what is found comes
+    back to the block: a string that all addresses have is asked for once a block, and no task holds more of the models than that.
+    """
+    small_batches(addresses.sparkSession)
+    addresses = stage(addresses.where("address <> ''").distinct(), "addresses")
+    blocks = addresses.count() // BLOCK + 1
+    dealt = addresses.select(F.pmod(F.xxhash64("address"), F.lit(blocks)).alias("block"), "address")
+    needed = dealt.groupBy("block").applyInPandas(_needed, "block long, string string")
+    found = needed.join(seen, "string")
+    out = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(_scored, "address string, score double")
+    return stage(out, "scores")
 
 
 def fit(ruled: DataFrame, key: Column) -> Filter:
@@ -156,14 +184,15 @@ def fit(ruled: DataFrame, key: Column) -> Filter:
     known = ruled.where("ruled is not null and host <> ''").select(
         "ruled", F.concat("host", "path").alias("address"), (F.pmod(F.xxhash64(key, F.lit("url")), F.lit(5)) == 0).alias("held")
     )
-    models = _models(count_strings(known.where("not held")))
-    held = known.where("held").select("ruled", _differences(known, models, "address").alias("d"))
+    seen = stage(seen_strings(count_strings(known.where("not held"))), "seen")
+    held = known.where("held").groupBy("ruled", "address").agg(F.count("*").alias("n"))
+    held = held.join(scores(held.select("address"), seen), "address").withColumnRenamed("score", "d")
     step = F.least(F.lit(STEPS), F.greatest(F.lit(0), F.floor((F.col("d") + 5) * (STEPS / 10)))).cast("int")
-    found = held.groupBy("ruled", step.alias("step")).count().collect()
+    found = held.groupBy("ruled", step.alias("step")).agg(F.sum("n").alias("count")).collect()
     by = {v: Counter({r["step"]: r["count"] for r in found if r["ruled"] == v}) for v in ("allow", "block")}
     sums = {v: sum(c.values()) for v, c in by.items()}
     if not all(sums.values()):
-        return Filter(models, 0.0)
+        return Filter(seen, 0.0)
     best, at, below = -1.0, [], {"allow": 0, "block": 0}
     for step in range(STEPS + 2):
         right = (sums["allow"] - below["allow"]) / sums["allow"] + below["block"] / sums["block"]
@@ -173,17 +202,22 @@ def fit(ruled: DataFrame, key: Column) -> Filter:
             at.append(step)
         for v in below:
             below[v] += by[v][step]
-    return Filter(models, (at[0] + at[-1]) / 2 / (STEPS / 10) - 5)
+    return Filter(seen, (at[0] + at[-1]) / 2 / (STEPS / 10) - 5)
 
 
-def judge(ruled: DataFrame, found: Filter) -> DataFrame:
+def judge(ruled: DataFrame, fitted: Filter) -> DataFrame:
     """Adds ``difference`` and ``verdict``: the rule's, else allow where the difference reaches the threshold.
 
     NULL URLs and such without ``://`` have no address: no rule, difference 0, and the verdict block. Repeated rows agree.
     """
-    (name,) = free_name(ruled, "address")
+    name, score = free_name(ruled, "address", "score")
     rows = ruled.withColumn(name, F.concat("host", "path"))
-    rows = rows.withColumn("difference", F.when(F.col("ruled").isNull(), _differences(rows, found.models, name)))
-    good = (F.col(name) != "") & (F.col("difference") >= found.threshold)
+    asked = F.col("ruled").isNull() & (F.col(name) != "")
+    found = scores(rows.where(asked).select(F.col(name).alias("address")), fitted.seen)
+    scored = rows.where(asked).join(found.select(F.col("address").alias(name), F.col("score").alias(score)), name, "left")
+    others = rows.where(~asked).withColumn(score, F.when(F.col("ruled").isNull(), F.lit(0.0)))
+    rows = scored.unionByName(others).withColumn("difference", F.col(score))
+    good = (F.col(name) != "") & (F.col("difference") >= fitted.threshold)
     verdict = F.coalesce(F.col("ruled"), F.when(good, F.lit("allow")).otherwise(F.lit("block")))
-    return rows.withColumn("verdict", verdict).drop(name)
+    columns = [f"`{c}`" for c in ruled.columns if c not in ("difference", "verdict")]
+    return rows.withColumn("verdict", verdict).select(*columns, "difference", "verdict")

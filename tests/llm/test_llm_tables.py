@@ -428,6 +428,20 @@ def test_character_models(spark):
     assert model.mean_log("abc") == pytest.approx(want)
 
 
+def test_url_models_keep_rare_strings(spark):
+    """On a table of more than 200,000 strings of a length, and scores from blocks are those of the whole models."""
+    random = np.random.default_rng(9)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz./-"))
+    texts = [("allow", "".join(random.choice(letters, 30))) for _ in range(8000)] + [("allow", "once.seen/Qx~7")]
+    texts += [("block", "".join(random.choice(letters[:9], 12))) for _ in range(300)]
+    counted = urls.count_strings(spark.createDataFrame(texts, "ruled string, address string"))
+    models = urls._models(counted)
+    assert models["allow"].counts["/Qx~7"] == models["allow"].counts["x~7" + urls.END] == 1
+    asked = ["once.seen/Qx~7", "seen/Qx~", "abc.é/1", "A", *[x for _, x in texts[::40]]]
+    found = urls.scores(spark.createDataFrame([(x,) for x in [*asked, asked[0], ""]], "address string"), urls.seen_strings(counted))
+    assert dict(rows(found)) == {x: models["allow"].mean_log(x) - models["block"].mean_log(x) for x in asked}
+
+
 def test_url_verdicts(spark):
     good = [f"http://good{i % 9}.site.com/news/{i}" for i in range(80)]
     bad = [f"http://pills{i % 9}.cheap.net/es/buy{i}" for i in range(80)]
