@@ -21,7 +21,8 @@ SIMILARITY = 0.8
 SHORT = 1 << 15
 #: Words of equal longer lines are counted in this many groups, so that a count stays below 2^31.
 SPREAD = 16
-#: Lines beyond this many characters are verified in pieces of it; the sum of their edit distances bounds that of the whole.
+#: Lines beyond this many characters are first compared in pieces of it; the sum of their edit distances bounds that of the whole,
+#: which is worked out where the bound does not settle a pair.
 PIECE = 1000
 #: Lines up to which one equal block of four is a key; beyond, two of five, then three of six. All find the same pairs.
 #: Places of lines whose text is asked for that are sent to every task, at most; more are shuffled.
@@ -98,15 +99,16 @@ def _near(a: str, b: str) -> Column:
 
 
 def edit_similar(a: str, b: str) -> Column:
-    """Whether two texts have the edit similarity: 1 - distance / longer length. Long ones are compared in pieces.
+    """Whether two texts have the edit similarity: 1 - distance / longer length.
 
     Words that differ at one place, counted from the beginning or from the end, bound the distance from above, which settles
-    most pairs before the distance itself is worked out.
+    most pairs before the distance itself is worked out. So do pieces of long texts; what no bound settles gets the distance
+    of the whole texts, of any length.
     """
     most = f"cast(floor({1 - SIMILARITY:.6f} * greatest(length({a}), length({b})) + 1e-9) as int)"
-    short = f"levenshtein({a}, {b}, {most}) >= 0"
+    whole = f"levenshtein({a}, {b}, {most}) >= 0"
     piece = f"substring({{0}}, 1 + i * {PIECE}, {PIECE})"
-    total = (
+    pieces = (
         f"aggregate(sequence(0, cast((greatest(length({a}), length({b})) - 1) div {PIECE} as int)), 0L, "
         f"(sum, i) -> sum + levenshtein({piece.format(a)}, {piece.format(b)})) <= {most}"
     )
@@ -116,8 +118,8 @@ def edit_similar(a: str, b: str) -> Column:
     by_place = f"aggregate(zip_with({words_a}, {words_b}, {apart}), 0, (sum, n) -> sum + n) <= {most}"
     from_end = f"aggregate(zip_with(reverse({words_a}), reverse({words_b}), {apart}), 0, (sum, n) -> sum + n) <= {most}"
     close = f"least(length({a}), length({b})) >= {SIMILARITY - 1e-9} * greatest(length({a}), length({b}))"
-    exact = f"case when greatest(length({a}), length({b})) <= {PIECE} then {short} else {total} end"
-    return F.expr(f"{close} and ({by_place} or {from_end} or {exact})")
+    in_pieces = f"greatest(length({a}), length({b})) > {PIECE} and {pieces}"
+    return F.expr(f"{close} and ({by_place} or {from_end} or ({in_pieces}) or {whole})")
 
 
 def _verified(pairs: DataFrame, texts) -> DataFrame:

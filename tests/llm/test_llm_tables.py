@@ -196,6 +196,24 @@ def test_edit_similarity(spark):
     assert [r["x"] for r in found] == [True, False, True, True, False, False, False, False]
 
 
+def test_edit_similarity_of_long_lines_is_exact(spark):
+    """Words inserted or left out in the middle of lines over 1,000 characters, on both sides of the limit."""
+    random = np.random.default_rng(3)
+    words = lambda n: ["".join(random.choice(list("abcdefghij"), random.integers(2, 9))) for _ in range(n)]
+    pairs = []
+    for n, more in ((1600, (35, 200, 400)), (300, (20, 60, 90))):
+        base = words(n)
+        for k in more:
+            at = n * 3 // 10
+            pairs.append((" ".join(base), " ".join(base[:at] + words(k) + base[at:])))
+            pairs.append((" ".join(base[: n // 2] + base[n // 2 + k // 2 :]), " ".join(base[:at] + words(k // 2) + base[at:])))
+    con = duckdb.connect()
+    want = [con.execute("SELECT levenshtein(?, ?)", [a, b]).fetchone()[0] <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in pairs]
+    assert want[0] and not all(want)
+    found = spark.createDataFrame(pairs, "a string, b string").select(lines.edit_similar("a", "b").alias("x")).collect()
+    assert [r["x"] for r in found] == want
+
+
 def test_fingerprints(spark):
     """Repeated lines, short ones and one that is longer than the narrow counts hold."""
     texts = ["some words that stand in a line of words", "one", " ".join(f"w{i % 777}" for i in range(70_000))]
