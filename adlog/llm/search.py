@@ -1,8 +1,10 @@
-"""Exact top-k search: BM25 over an inverted index in shards, with block-max WAND pruning, merged exactly.
+"""Exact top-k search: BM25 over an inverted index in shards, blocks in falling order of their bounds, merged exactly.
 
 Every shard is a row of a Parquet table: the postings of its documents by term. A query keeps the k-th best score so far. For a
 block of documents, the sum of the largest contributions that the query's terms have in this block bounds the score of
-every document in it; blocks whose bound stays below the k-th best are never scored. Frequencies, the number of documents
+every document in it; blocks whose bound stays below the k-th best are never scored. This takes the place of block-max WAND: there are no cursors in
+document order, no pivot and no skipping, as the bounds of all blocks are one array operation in numpy where cursors would be a
+Python loop. So every run of every query term in a shard is read for its bound, and only scoring is pruned. Frequencies, the number of documents
 and the mean length are global, so scores of different shards compare.
 """
 
