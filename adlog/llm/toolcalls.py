@@ -164,7 +164,7 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results made of plain conversations: each turn of the assistant becomes a call whose tool and arguments
     follow from its text, each other turn the result of the turn before.
 
-    By the length of the text, some arguments lack a field, have a wrong type or are cut off. In every fifth conversation a
+    By the length of the text, some arguments lack a field, have a wrong type or end in a wrong bracket; all hold the whole text. In every fifth conversation a
     call needs the one after it, in the others the one before.
     """
     said = conversations.withColumn("n", F.length("text"))
@@ -174,7 +174,7 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     translate = F.to_json(F.struct(F.when(F.col("n") % 11 != 0, F.lit("en")).alias("to"), F.col("text")))
     note = F.to_json(F.struct((F.col("n") % 2 == 0).alias("pinned"), F.col("text").alias("body")))
     made = F.when(name == "lookup", F.when(F.col("n") % 7 == 0, lookup).otherwise(lookup_good)).when(name == "translate", translate).otherwise(note)
-    made = F.when(F.col("n") % 13 == 0, F.substring(made, 1, 20)).otherwise(made)
+    made = F.when(F.col("n") % 13 == 0, F.regexp_replace(made, r"\}\z", "]")).otherwise(made)
     ident = lambda turn: F.concat_ws("_", F.lit("call"), turn.cast("string"))
     after = F.when(F.col("conv_id") % 5 == 0, F.col("turn") + 2).otherwise(F.col("turn") - 2)
     calls = said.where("role = 'assistant'").select(

@@ -400,6 +400,18 @@ def test_query_of_tool_calls(spark):
             assert row["text"] in value["arguments"].values()
 
 
+def test_bad_arguments_hold_whole_texts(spark):
+    text = 'say "x" ' + "word " * 49  # 253 characters, not a multiple of 13
+    texts = [text + "y" * k for k in range(40)]
+    frame = spark.createDataFrame([(i, 1, "assistant", x) for i, x in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    calls, results = toolcalls.calls_of(frame)
+    found = toolcalls.link(calls, results, toolcalls.tools(spark)).collect()
+    bad = {r["conv_id"]: json.loads(r["json"])["arguments"] for r in found if "not_json" in r["errors"]}
+    assert set(bad) == {i for i, x in enumerate(texts) if len(x) % 13 == 0} and len(bad) > 2
+    for i, arguments in bad.items():
+        assert json.dumps(texts[i]) in arguments
+
+
 # ---- URLs
 
 
