@@ -7,6 +7,7 @@ one row per user, before the transactions are touched.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,8 @@ from adlog.functions.joins import left_join_spreading_nulls
 from adlog.operators.filters import date_filter, monetary_rows, referral_window
 
 ACQUISITION_COLUMNS = ["keyword", "campaign_name", "campaign_id", "device", "match_type"]
+# Narrow columns that tell conversions apart, also once there is one for each user.
+CONVERSION_ROWS = ("app_user_id", "orderId")
 
 
 def one_conversion_per_user(conversions: DataFrame) -> DataFrame:
@@ -52,15 +55,22 @@ def keyword_lookup(spend: DataFrame) -> DataFrame:
     return name_lookup(spend, "keyword_id", "keyword")
 
 
-def attach_campaign_name(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Rows with their campaign's name; rows without a known campaign stay, with a NULL name."""
-    return left_join_spreading_nulls(rows, lookup, "campaign_id")
+def attach_campaign_name(
+    rows: DataFrame, lookup: DataFrame, spread_by: Sequence[str] = CONVERSION_ROWS
+) -> DataFrame:
+    """Rows with their campaign's name; rows without a known campaign stay, with a NULL name.
+
+    ``spread_by`` names narrow columns that tell the rows apart; by default those of conversions.
+    """
+    return left_join_spreading_nulls(rows, lookup, "campaign_id", spread_by)
 
 
-def attach_keyword_name(conversions: DataFrame, lookup: DataFrame) -> DataFrame:
+def attach_keyword_name(
+    conversions: DataFrame, lookup: DataFrame, spread_by: Sequence[str] = CONVERSION_ROWS
+) -> DataFrame:
     """Conversions with the keyword their ``kwd-`` tag stands for, in place of the tag."""
     tagged = conversions.withColumn("keyword_id", scalars.keyword_id_from_tag(F.col("latest_ad_awkeyword")))
-    return left_join_spreading_nulls(tagged.drop("latest_ad_awkeyword"), lookup, "keyword_id")
+    return left_join_spreading_nulls(tagged.drop("latest_ad_awkeyword"), lookup, "keyword_id", spread_by)
 
 
 def clean_tags(rows: DataFrame, channel: Channel) -> DataFrame:

@@ -117,6 +117,34 @@ def test_window_and_columns_reach_the_scan(spark, views, tmp_path):
     assert "ReadSchema: struct<transaction_id:bigint,discount_id:bigint,price:decimal(18,2)>" in items
 
 
+def read_columns(frame, column: str) -> set[str]:
+    """The columns that the scan with ``column`` reads."""
+    with settings(frame.sparkSession, maxMetadataStringLength=4000):
+        scans = [line for line in plan_of(frame).splitlines() if "FileScan" in line and f"{column}#" in line]
+    (schema,) = {re.search(r"ReadSchema: struct<(.*)>", line)[1] for line in scans}
+    return set(re.findall(r"(\w+):", schema))
+
+
+def test_joins_that_spread_nulls_read_only_what_is_asked_for(spark, views, tmp_path):
+    conversions = event_source.channel_conversions(views.events(), SEARCH, START, END)
+    attribution.clean_tags(conversions, SEARCH).write.parquet(f"{tmp_path}/clean")
+    clean = spark.read.parquet(f"{tmp_path}/clean")
+    named = attribution.attach_campaign_name(clean, attribution.campaign_lookup(views.campaigns()))
+    assert read_columns(named.select("orderId", "campaign_name"), "orderId") == {"campaign_id", "app_user_id", "orderId"}
+
+    conversions.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    worded = attribution.attach_keyword_name(raw, attribution.keyword_lookup(views.bing_keywords()))
+    assert read_columns(worded.select("orderId", "keyword"), "orderId") == {"latest_ad_awkeyword", "app_user_id", "orderId"}
+
+    views.search_log().write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    with settings(spark, autoBroadcastJoinThreshold=-1):
+        placed = cohorts.cohort_assignment(log, COHORT_KEYWORD).select("cohort", "cost")
+        scans = [set(re.findall(r"(\w+):", found)) for found in re.findall(r"ReadSchema: struct<(.*)>", plan_of(placed))]
+    assert max(scans, key=len) == {"keyword", "week", "user_id", "cost", "date", "campaign_id"}
+
+
 def test_bucketed_items_are_not_shuffled(spark, views, tmp_path):
     """The layout the README recommends: items and transactions in buckets of the transaction."""
     tables = views.store()
@@ -136,7 +164,7 @@ def test_null_keys_are_spread_over_the_tasks(spark):
     left = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 50).alias("key"))
     right = spark.range(50).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
     with settings(spark, autoBroadcastJoinThreshold=-1, adaptive__enabled="false", shuffle__partitions=8):
-        joined = left_join_spreading_nulls(left, right, "key")
+        joined = left_join_spreading_nulls(left, right, "key", ["id"])
         plain = left.join(right, "key", "left")
         assert "__null_spread" in plan_of(joined).split("SortMergeJoin")[1].splitlines()[0]
         sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
