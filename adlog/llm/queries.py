@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlog.llm import decontam, langid, lines, mixing, neardup, pii, quality, search, toolcalls, urls
+from adlog.llm import clusters, decontam, divergence, langid, lines, maintext, mixing, neardup, pii, quality, search, toolcalls, urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,7 +80,20 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clusters.clustered(table(spark, folder, "embeddings"))
+
+
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = maintext.extracted(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op3_chat_formatting, op4_pii, op5_topk_search, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination)
+    f.__name__: f for f in (op1_language_id, op2_quality_classifier, op3_chat_formatting, op4_pii, op5_topk_search, op6_minhash_near_dedup, op7_line_dedup, op8_mixing, op9_url_filters, op10_decontamination, op11_centroid_clustering, op12_html_extraction, op13_source_divergence)
 }
-ORACLE: dict[str, str] = {"op5_topk_search": search.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op5_topk_search": search.ORACLE, "op8_mixing": mixing.ORACLE, "op11_centroid_clustering": clusters.ORACLE, "op13_source_divergence": divergence.ORACLE}
