@@ -29,6 +29,8 @@ SCALE = 256
 #: Integer components are held within this, so that every squared distance of 64 of them is below 2^60.
 MOST = 1 << 26
 BATCH = 4096
+#: Bounds are doubles and distances whole numbers: a centroid is ruled out if its bound is beyond the best distance by this much.
+SLACK = 0.5
 
 
 class Centroids:
@@ -62,14 +64,14 @@ class Centroids:
             known = best[active] < none
             near = gap < none
             squared = gap[near].astype(np.float64) ** 2
-            near[near] = ~known[near] | (squared * (1 - 1e-9) <= size * best[active[near]].astype(np.float64))
+            near[near] = ~known[near] | (squared * (1 - 1e-9) <= size * (best[active[near]] + SLACK))
             active, at, gap = active[near], np.where(down, low, high)[near], gap[near]
             down = down[near]
             left[active[down]] -= 1
             right[active[~down]] += 1
             # by the deviations: this one is worse
             bound = gap.astype(np.float64) ** 2 / size + (spread[active] - self.spread[at]) ** 2
-            tried = (best[active] == none) | (bound * (1 - 1e-9) <= best[active].astype(np.float64))
+            tried = (best[active] == none) | (bound * (1 - 1e-9) <= best[active] + SLACK)
             some, at = active[tried], at[tried]
             worked += len(some)
             apart = rows[some] - self.vectors[at]
@@ -122,7 +124,8 @@ def _sums(rows: DataFrame, centroids: Centroids, size: int) -> DataFrame:
                 sums[own] += np.add.reduceat(values[order], start, axis=0)
                 counts += np.bincount(cluster, minlength=k)
         some = np.flatnonzero(counts)
-        yield pd.DataFrame({"cluster": some.astype(np.int32), "n": counts[some]} | {name: sums[some, j] for j, name in enumerate(names)})
+        if len(some):
+            yield pd.DataFrame({"cluster": some.astype(np.int32), "n": counts[some]} | {name: sums[some, j] for j, name in enumerate(names)})
 
     parts = rows.select("v").mapInPandas(add, "cluster int, n long, " + ", ".join(f"{name} long" for name in names))
     return parts.groupBy("cluster").agg(*[F.sum(name).alias(name) for name in ("n", *names)])
@@ -144,15 +147,15 @@ def fit(rows: DataFrame, clusters: int = 40, rounds: int = 5, size: int = 64) ->
 def assign(rows: DataFrame, vectors: np.ndarray) -> DataFrame:
     """``vec_id, cluster, distance``: the nearest centroid of each vector and the squared distance."""
     centroids = Centroids(vectors)
-    kind = rows.schema["vec_id"].dataType.simpleString()
 
-    def place(batches):
-        for pdf in batches:
-            if len(pdf):
-                cluster, distance, _ = centroids.nearest(_matrix(pdf["v"]))
-                yield pd.DataFrame({"vec_id": pdf["vec_id"], "cluster": cluster.astype(np.int32), "distance": distance})
+    @F.pandas_udf("cluster int, distance long")
+    def place(values: pd.Series) -> pd.DataFrame:
+        if not len(values):
+            return pd.DataFrame({"cluster": np.zeros(0, dtype=np.int32), "distance": np.zeros(0, dtype=np.int64)})
+        cluster, distance, _ = centroids.nearest(_matrix(values))
+        return pd.DataFrame({"cluster": cluster.astype(np.int32), "distance": distance})
 
-    return rows.mapInPandas(place, f"vec_id {kind}, cluster int, distance long")
+    return rows.select("vec_id", place("v").alias("placed")).select("vec_id", "placed.*")
 
 
 def clustered(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", clusters: int = 40, rounds: int = 5, size: int = 64) -> DataFrame:
