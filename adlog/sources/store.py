@@ -25,6 +25,13 @@ class Store:
     referrals: DataFrame
 
 
+@dataclass(frozen=True)
+class KeptStore(Store):
+    """A store with each user's first order at hand (``id, first_transaction``), see :mod:`adlog.sources.snapshot`."""
+
+    first_orders: DataFrame
+
+
 # Labels of the kinds of purchase.
 GIFT_CARD = "GiftCard"
 GIFT_CARD_PURCHASE = "Gift Card"
@@ -93,13 +100,14 @@ def transactions_extract(store: Store, start: DateLike, end: DateLike, users: Da
 def first_transactions(store: Store, start: DateLike, end: DateLike) -> DataFrame:
     """Ids of users whose very first transaction, complete or not, falls within the bounds, and its time.
 
-    Bounds are whole days; a bound with a time of day counts to that time.
+    Bounds are whole days; a bound with a time of day counts to that time. A :class:`KeptStore` is not asked for its
+    transactions.
     """
-    return (
-        store.transactions.groupBy(F.col("user_id").alias("id"))
-        .agg(F.min("created_at").alias("first_transaction"))
-        .filter(within("first_transaction", start, end))
-    )
+    if isinstance(store, KeptStore):
+        first = store.first_orders
+    else:
+        first = store.transactions.groupBy(F.col("user_id").alias("id")).agg(F.min("created_at").alias("first_transaction"))
+    return first.filter(within("first_transaction", start, end))
 
 
 def first_transaction_dates(store: Store, start: DateLike, end: DateLike) -> DataFrame:

@@ -20,6 +20,7 @@ from adlog.sources import events as event_source
 from adlog.sources import reports as report_source
 from adlog.sources import sinks
 from adlog.sources import store as store_source
+from adlog.sources.snapshot import FirstOrders
 from testbed import oracle as sql
 from testbed.oracle import BING_LOG_COLUMNS, LOG_COLUMNS, WINDOW, dated, earning, kpi, shown
 from testbed.views import CAMPAIGN_PATTERN, COHORT_KEYWORD, END, START, Views
@@ -170,6 +171,26 @@ def _(v):
     return store_source.first_transaction_dates(v.store(), START, END)
 
 
+def order_batches(rows: DataFrame, key: str, day: str) -> list[DataFrame]:
+    """All rows in three batches: early ones, later ones, and those of every tenth key, which come last whatever their day."""
+    late = F.col(key) % 10 == 0
+    early = F.col(day).cast("date") < F.lit("1998-01-01").cast("date")
+    return [rows.filter(~late & early), rows.filter(~late & ~early), rows.filter(late)]
+
+
+@query(
+    "first_transaction_snapshot",
+    "SELECT CAST(first_transaction AS VARCHAR) AS first_transaction, id, name FROM first_tx",
+)
+def _(v):
+    store = v.store()
+    kept = FirstOrders(v.spark, sinks.new_folder(v.spark, "first-orders"), buckets=8)
+    for batch in order_batches(store.transactions, "id", "created_at"):
+        kept.add(batch)
+    tables = {name: getattr(store, name) for name in store.__dataclass_fields__}
+    return store_source.first_transaction_dates(store_source.KeptStore(**tables, first_orders=kept.rows()), START, END)
+
+
 STAGED = ["date", "campaign_id", "campaign_name", "device", "cost", "impressions", "clicks"]
 
 
