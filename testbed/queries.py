@@ -15,6 +15,7 @@ from adlog.channels import BING, BING_DEVICES, SEARCH, SEARCH_DEVICES
 from adlog.functions import scalars
 from adlog.operators import attribution, cohorts, filters, kpis, reports, series
 from adlog.plans.event_logs import acquisitions, event_logs, transaction_rows
+from adlog.plans.kept_log import Increment, KeptLog
 from adlog.plans.marketing_report import Focus, chart_frames, marketing_report
 from adlog.sources import events as event_source
 from adlog.sources import reports as report_source
@@ -46,6 +47,7 @@ GAPS = {
     "first_acquisition": ["campaign_id"],
     "attribute_referrals": ["campaign_id"],
     "search_event_log": LOG_GAPS,
+    "event_log_refresh": LOG_GAPS,
     "bing_event_log": LOG_GAPS,
     "display_event_log": LOG_GAPS,
     "cohort_assignment": ["user_id"],
@@ -628,6 +630,32 @@ def _(v):
     return v.display_log().select(DISPLAY_LOG_COLUMNS)
 
 
+def increments(v: Views) -> list[Increment]:
+    """All rows in three increments, the last of which brings early rows late."""
+    store = v.store()
+    orders = order_batches(store.transactions, "id", "created_at")
+    referrals = order_batches(store.referrals, "influencer_id", "week_start")
+    spend = order_batches(v.search_keywords(), "ad_group_id", "date")
+    campaigns = order_batches(v.campaigns(), "campaign_id", "date")
+    day = F.timestamp_seconds("time")
+    number = F.regexp_extract("orderId", "([0-9]+)", 1).cast("long")
+    events = [e.drop("__day", "__number") for e in order_batches(v.events().withColumns({"__day": day, "__number": number}), "__number", "__day")]
+    found = []
+    for transactions, referred, spent, named, happened in zip(orders, referrals, spend, campaigns, events, strict=True):
+        items = store.transaction_items.join(transactions.select(F.col("id").alias("transaction_id")), "transaction_id", "left_semi")
+        part = store_source.Store(transactions, items, store.discounts, store.users, referred)
+        found.append(Increment(spent, named, happened, part))
+    return found
+
+
+@query("event_log_refresh", shown(LOG_COLUMNS, "log_search"))
+def _(v):
+    kept = KeptLog(v.spark, sinks.new_folder(v.spark, "kept-log"), START, END, buckets=8)
+    for i, increment in enumerate(increments(v)):
+        kept.refresh(f"increment-{i}", increment)
+    return kept.log().select(LOG_COLUMNS)
+
+
 # KPI reports -----------------------------------------------------------------------------------------------
 
 

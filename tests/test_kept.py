@@ -1,12 +1,16 @@
 """Kept tables: versions, first orders, the refreshed event log, published reports."""
 
 import datetime as dt
+from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
+from adlog.plans.event_logs import search_event_log
+from adlog.plans.kept_log import Increment, KeptLog, Refreshed, bucket_of
 from adlog.sources.snapshot import FirstOrders
-from adlog.sources.store import KeptStore, first_transactions
+from adlog.sources.store import KeptStore, Store, first_transactions
 from adlog.sources.versions import Versions
 from conftest import plan_of, rows
 
@@ -85,3 +89,125 @@ def test_only_the_batch_and_the_snapshot_are_read(spark, views, tmp_path):
     # joined with a table in the same buckets, without a shuffle
     spark.range(50).select(F.col("id")).write.bucketBy(4, "id").sortBy("id").option("path", f"{tmp_path}/users").saveAsTable("kept_users")
     assert "Exchange" not in plan_of(found.join(spark.table("kept_users").hint("merge"), "id"))
+
+
+# ---- the refreshed event log
+
+START, END = "2016-01-01", "2016-03-31"
+USERS = range(1, 9)
+EVENT = "event string, app int, id string, time long, orderId string, latest_ad_utm_source string, latest_ad_utm_medium string, latest_ad_device string, latest_ad_utm_campaign string, latest_ad_awkeyword string, latest_ad_awadgroupid string, latest_ad_awmatchtype string"
+
+
+def increment(spark, orders=(), clicks=(), campaigns=(), spend=(), referrals=()):
+    """orders: (id, user, day, complete); clicks: (user, day, campaign, keyword); days are strings."""
+    store = Store(
+        spark.createDataFrame(
+            [(i, u, dt.datetime.fromisoformat(day), ok, False, None, Decimal(0), Decimal(0)) for i, u, day, ok in orders],
+            "id long, user_id long, created_at timestamp_ntz, complete boolean, refunded boolean, credit decimal(18,2), discount_amount decimal(18,2), sales_tax_amount decimal(18,2)",
+        ),
+        spark.createDataFrame([(i, None, Decimal(10 + j), False) for i, *_ in orders for j in range(2)], "transaction_id long, discount_id long, price decimal(18,2), recurring boolean"),
+        spark.createDataFrame([], "id long, type string, amount decimal(18,2)"),
+        spark.createDataFrame([(u, f"user {u}") for u in USERS], "id long, name string"),
+        spark.createDataFrame(
+            [(u, dt.date.fromisoformat(day), n, Decimal(5)) for u, day, n in referrals],
+            "influencer_id long, week_start date, new_referred_users long, referred_users_transaction_amount decimal(18,2)",
+        ),
+    )
+    seconds = [int(dt.datetime.fromisoformat(day).replace(tzinfo=dt.UTC).timestamp()) for _, day, *_ in clicks]
+    events = spark.createDataFrame(
+        [("Completed Order", 1, str(u), t, f"o{u}-{t}", "Google", "cpc", "dt", str(c), k, "3", "e") for (u, _, c, k), t in zip(clicks, seconds)], EVENT
+    )
+    named = spark.createDataFrame(list(campaigns), "campaign_id long, campaign_name string")
+    paid = spark.createDataFrame(
+        [(dt.date.fromisoformat(day), k, Decimal(7)) for day, k in spend], "date date, keyword string, cost decimal(18,2)"
+    )
+    return Increment(paid, named, events, store)
+
+
+def at_once(spark, increments):
+    """The same log, built from everything that has come in."""
+    join = lambda get: reduce(lambda a, b: a.unionByName(b), [get(i) for i in increments])
+    names = ("transactions", "transaction_items", "referrals")
+    store = Store(**{n: join(lambda i, n=n: getattr(i.store, n)) for n in names}, users=increments[0].store.users, discounts=increments[0].store.discounts)
+    return search_event_log(join(lambda i: i.spend), join(lambda i: i.campaigns), join(lambda i: i.events), store, START, END)
+
+
+SHOWN = ["user_id", "date", "week", "keyword", "campaign_id", "campaign_name", "device", "match_type", "ad_group_id", "money_in_the_bank_paid_to_us", "cost", "new_referred_users"]
+
+
+def test_refreshed_log_is_that_built_at_once(spark, tmp_path):
+    kept = KeptLog(spark, str(tmp_path), START, END, buckets=5, parts=3)
+    with pytest.raises(ValueError, match="no log"):
+        kept.log()
+    bucket = {row["user"]: row["bucket"] for row in spark.createDataFrame([(u,) for u in USERS], "user long").select("user", bucket_of("user", 5)).collect()}
+    first = increment(
+        spark,
+        orders=[(1, 1, "2016-01-05", True), (2, 2, "2016-01-06", True), (3, 3, "2016-02-01", False), (4, 4, "2015-12-01", True), (5, 4, "2016-01-09", True), (6, 5, "2016-01-07", True)],
+        clicks=[(1, "2016-01-04", 7, "tea"), (2, "2016-01-05", 8, "mate"), (3, "2016-01-30", 7, "tea"), (4, "2016-01-08", 7, "tea")],
+        campaigns=[(7, "Seven")],
+        spend=[("2016-01-04", "tea"), ("2016-01-11", "mate")],
+        referrals=[(1, "2016-01-11", 2), (3, "2016-02-08", 1), (9, "2016-01-11", 1)],
+    )
+    steps = [
+        (first, None, None),
+        # an order of a customer: appended; spend, also of an early week
+        (increment(spark, orders=[(7, 1, "2016-02-05", True)], spend=[("2016-02-08", "tea"), ("2016-01-04", "mate")]), set(), {1}),
+        # a click that came before the known one, and the first one of a buyer
+        (increment(spark, clicks=[(2, "2016-01-02", 7, "green"), (5, "2016-01-06", 8, "black")]), {2, 5}, set()),
+        # a click later than the known one changes nothing
+        (increment(spark, clicks=[(1, "2016-03-01", 8, "black")]), set(), set()),
+        # the first order that counts: weekly metrics of before come in with it
+        (increment(spark, orders=[(8, 3, "2016-02-03", True)]), {3}, set()),
+        # an order from before the window, late: no new customer after all
+        (increment(spark, orders=[(9, 1, "2015-11-01", True)]), {1}, set()),
+        # a campaign gets a name, another one a smaller name
+        (increment(spark, campaigns=[(8, "Eight"), (7, "Sept")], referrals=[(2, "2016-02-01", 4)]), {2, 3, 5}, set()),
+        (increment(spark, campaigns=[(7, "A name")]), {2, 3}, set()),
+        (increment(spark), set(), set()),
+    ]
+    for i, (step, anew, added) in enumerate(steps):
+        done = kept.refresh(str(i), step)
+        if anew is not None:
+            assert set(done.rewritten) == {bucket[u] for u in anew}
+            assert set(done.appended) == {bucket[u] for u in added} - set(done.rewritten)
+        want = at_once(spark, [step for step, *_ in steps[: i + 1]])
+        assert rows(kept.log(), *SHOWN) == rows(want, *SHOWN)
+        assert not set(kept.log().columns) & {"time", "transaction_date"}
+    assert kept.refresh("0", first) == Refreshed()
+    assert rows(KeptLog(spark, str(tmp_path), START, END).log(), *SHOWN) == rows(want, *SHOWN)
+    with pytest.raises(ValueError, match="is the log of"):
+        KeptLog(spark, str(tmp_path), START, "2016-04-30").log()
+
+
+def test_a_refresh_reads_the_buckets_it_writes(spark, tmp_path):
+    kept = KeptLog(spark, str(tmp_path), START, END, buckets=4)
+    users = list(USERS)
+    kept.refresh("a", increment(spark, orders=[(u, u, "2016-01-05", True) for u in users], clicks=[(u, "2016-01-04", 7, "tea") for u in users]))
+    before = kept.versions.current()[1]["tables"]["log"]["parts"]
+    done = kept.refresh("b", increment(spark, clicks=[(1, "2016-01-02", 7, "green")]))
+    (changed,) = done.rewritten
+    files = kept.sold(done.rewritten).inputFiles()
+    assert files and all(f"/bucket={changed}/" in path for path in files)
+    assert f"/bucket={changed}/" not in "".join(set(kept.sold([0, 1, 2, 3]).inputFiles()) - set(files))
+    after = kept.versions.current()[1]["tables"]["log"]["parts"]
+    assert {k for k in before if before[k] != after[k]} == {str(changed)}
+
+
+def test_a_refresh_that_fails_leaves_the_log(spark, tmp_path, monkeypatch):
+    kept = KeptLog(spark, str(tmp_path), START, END, buckets=2)
+    a = increment(spark, orders=[(1, 1, "2016-01-05", True)], clicks=[(1, "2016-01-04", 7, "tea")])
+    b = increment(spark, orders=[(2, 2, "2016-01-05", True)], clicks=[(2, "2016-01-04", 7, "tea")], spend=[("2016-01-04", "tea")])
+    kept.refresh("a", a)
+    for broken_at in ("spend", "log", "acquired"):
+        with monkeypatch.context() as broken:
+            write = KeptLog._write
+
+            def fail(self, now, name, *rest, _at=broken_at):
+                return 1 / 0 if name == _at else write(self, now, name, *rest)
+
+            broken.setattr(KeptLog, "_write", fail)
+            with pytest.raises(ZeroDivisionError):
+                kept.refresh("b", b)
+        assert rows(kept.log(), *SHOWN) == rows(at_once(spark, [a]), *SHOWN)
+    kept.refresh("b", b)
+    assert rows(kept.log(), *SHOWN) == rows(at_once(spark, [a, b]), *SHOWN)
