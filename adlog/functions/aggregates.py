@@ -52,9 +52,18 @@ def exact_sum(value: Column, digits: int) -> Column:
     Whole parts and decimals are added apart, as 64-bit integers: exact up to 9e18 in total and, for six digits, 9e12 rows of a
     group. Beyond that Spark fails rather than lose a digit.
     """
+    whole, decimals = exact_parts(value, digits)
+    return exact_total(F.sum(whole), F.sum(decimals), digits)
+
+
+def exact_parts(value: Column, digits: int) -> tuple[Column, Column]:
+    """Whole part and decimals of a number as integers; sums of each make :func:`exact_total`, in one step or in several."""
     whole = F.floor(value)
-    decimals = F.rint((value - whole) * 10.0**digits).cast("long")
-    parts = F.sum(whole.cast("long")).cast("decimal(20,0)"), F.sum(decimals).cast("decimal(20,0)")
+    return whole.cast("long"), F.rint((value - whole) * 10.0**digits).cast("long")
+
+
+def exact_total(whole: Column, decimals: Column, digits: int) -> Column:
+    parts = whole.cast("decimal(20,0)"), decimals.cast("decimal(20,0)")
     return (parts[0] + parts[1] / F.lit(10**digits).cast("decimal(10,0)")).cast("double")
 
 

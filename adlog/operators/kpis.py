@@ -46,7 +46,18 @@ def summarize_elog(
     if "referred_users_transaction_amount" in elog.columns:
         sums["referred_earnings"] = sum_money(F.col("referred_users_transaction_amount"))
     totals = elog.groupBy(*keys).agg(*[value.alias(name) for name, value in sums.items()])
+    return kpi_figures(totals, *keys, channel=channel, margin=margin, orders_in_lifetime=orders_in_lifetime, value_per_order=value_per_order)
 
+
+def kpi_figures(
+    totals: DataFrame,
+    *keys: str,
+    channel: Channel = SEARCH,
+    margin: float = MARGIN,
+    orders_in_lifetime: float = ORDERS_IN_LIFETIME,
+    value_per_order: float = VALUE_PER_ORDER,
+) -> DataFrame:
+    """The figures of a summary from its sums: a projection."""
     cost, clicks, impressions = F.col("cost"), F.col("clicks"), F.col("impressions")
     acquired, earnings = F.col("num_acquisitions"), F.col("earnings")
     contribution = earnings * margin

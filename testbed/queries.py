@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from adlog import schemas
 from adlog.channels import BING, BING_DEVICES, SEARCH, SEARCH_DEVICES
 from adlog.functions import scalars
-from adlog.operators import attribution, cohorts, filters, kpis, reports, series
+from adlog.operators import attribution, cohorts, filters, kpis, reports, rollups, series
 from adlog.plans.event_logs import acquisitions, event_logs, transaction_rows
 from adlog.plans.kept_log import Increment, KeptLog
 from adlog.plans.marketing_report import Focus, chart_frames, marketing_report
@@ -815,6 +815,52 @@ def _(v):
     return reports.keywords_with_earnings(v.bing_log(), channel=BING)
 
 
+# Several grains from one pass ------------------------------------------------------------------------------
+
+USER_GRAINS = {"total": [], "keyword": ["keyword"], "campaign": ["campaign_name"], "keyword_week": ["keyword", "campaign_name", "week"]}
+KPI_GRAINS = {
+    "total": [],
+    "keyword": ["keyword"],
+    "match_type": MATCHTYPE_KEYS,
+    "week": ["keyword", "campaign_name", "week"],
+}
+
+
+def _grains_sql(grains: dict[str, list[str]], body: Callable[[list[str]], str]) -> str:
+    """All grains below each other; keys that a grain lacks are NULL."""
+    every = list(dict.fromkeys(key for keys in grains.values() for key in keys))
+
+    def cell(key: str, keys: list[str]) -> str:
+        value = f"CAST({key} AS VARCHAR)" if key in keys else "CAST(NULL AS VARCHAR)"
+        return f"{value} AS {key}"
+
+    return " UNION ALL ".join(
+        f"""SELECT '{grain}' AS grain, {", ".join(cell(key, keys) for key in every)}, x.* {f"EXCLUDE ({', '.join(keys)})" if keys else ""}
+        FROM ({body(keys)}) x"""
+        for grain, keys in grains.items()
+    )
+
+
+def _users_by(keys: list[str]) -> str:
+    lead = "".join(f"{key}, " for key in keys)
+    return f"SELECT {lead}COUNT(DISTINCT user_id) AS num_acquisitions FROM log_search {f'GROUP BY {lead[:-2]}' if keys else ''}"
+
+
+@query("acquisitions_rollup", _grains_sql(USER_GRAINS, _users_by))
+def _(v):
+    return rollups.acquisitions_rollup(v.search_log(), USER_GRAINS)
+
+
+@query("kpi_grouping_sets", _grains_sql(KPI_GRAINS, lambda keys: kpi("log_search", keys)))
+def _(v):
+    return rollups.kpi_rollup(v.search_log(), KPI_GRAINS)
+
+
+@query("kpi_grouping_sets_bing", _grains_sql(KPI_GRAINS, lambda keys: kpi("log_bing", keys, share=False)))
+def _(v):
+    return rollups.kpi_rollup(v.bing_log(), KPI_GRAINS, channel=BING)
+
+
 # Series ----------------------------------------------------------------------------------------------------
 
 
