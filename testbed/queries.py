@@ -16,12 +16,15 @@ from adlog.functions import scalars
 from adlog.operators import attribution, cohorts, filters, kpis, reports, rollups, series
 from adlog.plans.event_logs import acquisitions, event_logs, transaction_rows
 from adlog.plans.kept_log import Increment, KeptLog
+from adlog.plans.kept_series import KeptSeries
 from adlog.plans.marketing_report import Focus, chart_frames, marketing_report
+from adlog.plans.published import publish_reports, published_reports
 from adlog.sources import events as event_source
 from adlog.sources import reports as report_source
-from adlog.sources import sinks
+from adlog.sources import quarantine, sinks
 from adlog.sources import store as store_source
 from adlog.sources.snapshot import FirstOrders
+from adlog.streaming import firsts
 from testbed import oracle as sql
 from testbed.oracle import BING_LOG_COLUMNS, LOG_COLUMNS, WINDOW, dated, earning, kpi, shown
 from testbed.views import CAMPAIGN_PATTERN, COHORT_KEYWORD, END, START, Views
@@ -40,6 +43,7 @@ LOG_GAPS = ["campaign_id", "ad_group_id", "impressions", "clicks", "user_id", "n
 GAPS = {
     "order_conversion_events": ["app_user_id"],
     "one_conversion_per_user": ["app_user_id"],
+    "conversions_streamed": ["app_user_id"],
     "keyword_id_from_tag": ["keyword_id"],
     "attach_campaign_name": ["campaign_id"],
     "clean_transactions": ["campaign_id"],
@@ -142,6 +146,33 @@ def _(v):
     return attribution.event_log_union(*parts)
 
 
+#: Faults planted in the search keyword export: a cost that is no number, a day that is no date, a line cut off.
+NO_COST, NO_DAY, CUT = "l_linenumber = 1 AND l_quantity = 13", "l_linenumber = 2 AND l_quantity = 17", "l_linenumber = 3 AND l_quantity = 19"
+
+
+@query(
+    "rejected_report_rows",
+    f"""SELECT campaign_id, reason, COUNT(*) AS n_rows FROM (
+        SELECT CASE WHEN {CUT} THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END AS campaign_id,
+            CASE WHEN {NO_COST} THEN 'cost: 12 EUR' WHEN {NO_DAY} THEN 'date: soon' ELSE 'number of fields' END AS reason
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+        WHERE ({NO_COST}) OR ({NO_DAY}) OR ({CUT})) GROUP BY campaign_id, reason""",
+)
+def _(v):
+    raw = v.raw_search_keywords("l_linenumber", "l_quantity")
+    raw = raw.withColumns(
+        {
+            "Cost": F.expr(f"CASE WHEN {NO_COST} THEN '12 EUR' ELSE cast(Cost AS string) END"),
+            "Day": F.expr(f"CASE WHEN {NO_DAY} THEN 'soon' ELSE cast(Day AS string) END"),
+        }
+    )
+    path = exported(raw.filter(f"NOT ({CUT})").drop("l_linenumber", "l_quantity"), "faulty-keywords")
+    raw.filter(CUT).select(F.concat_ws(",", "Day", "`Day of week`")).write.mode("append").text(path)
+    found = quarantine.checked_search_keyword_report(v.spark, path).rejected
+    cell = F.when(F.col("reason") != quarantine.WRONG_FIELDS, F.col("campaign_id")).alias("campaign_id")
+    return counted(found.withColumn("reason", F.explode("reasons")), cell, F.col("reason"))
+
+
 # Store extracts --------------------------------------------------------------------------------------------
 
 
@@ -452,6 +483,29 @@ def _(v):
     return attribution.one_conversion_per_user(conversions).select("app_user_id", "time", "orderId")
 
 
+def streamed(v: Views, rows: DataFrame, late: Column, early: Column) -> str:
+    """A folder of Parquet files that come in one after the other; the last one brings early rows late."""
+    folder = sinks.new_folder(v.spark, "stream")
+    for part in (~late & early, ~late & ~early, late):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+@query(
+    "conversions_streamed",
+    """SELECT app_user_id, time, order_id AS "orderId" FROM conv_one WHERE source = 'Google'""",
+)
+def _(v):
+    events = v.events()
+    number = F.regexp_extract("orderId", "([0-9]+)", 1).cast("long")
+    folder = streamed(v, events, number % 10 == 0, F.timestamp_seconds("time") < F.lit("1998-01-01").cast("timestamp"))
+    table, checkpoint = sinks.new_folder(v.spark, "firsts"), sinks.new_folder(v.spark, "firsts-checkpoint")
+    for _ in range(2):  # the second run finds nothing new
+        stream = v.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        firsts.keep_up(firsts.first_conversions(stream, SEARCH, START, END), table, checkpoint)
+    return firsts.kept(v.spark, table, "app_user_id", ["time", "orderId"]).select("app_user_id", "time", "orderId")
+
+
 @query(
     "join_conversions",
     """SELECT e.app_user_id, c.order_id AS "orderId", COUNT(*) AS n_rows,
@@ -891,6 +945,20 @@ def _(v):
     return series.keywords_performance_over_time(v.search_log())
 
 
+@query(
+    "series_resumed",
+    dated(sql.series("log_search", ["keyword"], where=earning("log_search"))),
+)
+def _(v):
+    log = sinks.materialize(v.search_log(), "series-log")
+    kept = KeptSeries(v.spark, sinks.new_folder(v.spark, "series"), ["keyword"])
+    week = F.coalesce(F.col("week").cast("string"), F.lit("9999"))
+    late = (week >= "2000-01-01") & (F.coalesce("campaign_id", F.lit(0)) % 10 == 0)
+    for part in (~late & (week < "2001-06-01"), ~late & (week >= "2001-06-01"), late):
+        kept.add(log.filter(part))
+    return kept.rows()
+
+
 @query(
     "keywords_performance_over_time_bing",
     dated(sql.series("log_bing", ["keyword"], where=earning("log_bing"))),
@@ -1093,6 +1161,23 @@ def _(v):
     return values_of("report", found)
 
 
+DISPLAY_REPORTS = {
+    "display/overall_performance_over_time": _overall_sql("log_display"),
+    "display/desktop_performance_over_time": sql.series("log_display", ["device"]),
+    "display/mobile_performance_over_time": sql.series("log_display", ["device"]),
+    "display/orders_per_week": _orders_sql("log_display"),
+}
+
+
+@query("published_reports", values_sql("report", DISPLAY_REPORTS))
+def _(v):
+    root = sinks.new_folder(v.spark, "published")
+    found = marketing_report(display=v.display_log(), focus=FOCUS)
+    publish_reports({name: frame.limit(1) for name, frame in found.items()}, root)  # an older version, which is replaced
+    publish_reports(found, root)
+    return values_of("report", published_reports(v.spark, root))
+
+
 @query(
     "chart_frames",
     values_sql(

@@ -35,8 +35,8 @@ class Views:
 
     # Spend ---------------------------------------------------------------------------------------------
 
-    def raw_search_keywords(self) -> DataFrame:
-        """The search keyword export: its own headers, device names, ``+`` and doubled blanks."""
+    def raw_search_keywords(self, *more: str) -> DataFrame:
+        """The search keyword export: its own headers, device names, ``+`` and doubled blanks; with ``more`` columns behind."""
         rows = (
             self.table("lineitem")
             .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -63,6 +63,7 @@ class Views:
             "CASE WHEN l_linenumber = 7 THEN '--' ELSE cast(l_linenumber AS string) END AS `Quality score`",
             "'Average' AS `Landing page experience`",
             "CASE l_linenumber % 3 WHEN 0 THEN 'Broad' WHEN 1 THEN 'Exact' ELSE 'Phrase' END AS `Match type`",
+            *more,
         )
 
     def raw_campaigns(self) -> DataFrame:

@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlog.plans.event_logs import search_event_log
+from adlog.operators.series import cumulative, keywords_performance_over_time, sum_by_week
+from adlog.plans import published
 from adlog.plans.kept_log import Increment, KeptLog, Refreshed, bucket_of
+from adlog.plans.kept_series import KeptSeries
 from adlog.sources.snapshot import FirstOrders
 from adlog.sources.store import KeptStore, Store, first_transactions
 from adlog.sources.versions import Versions
@@ -211,3 +214,80 @@ def test_a_refresh_that_fails_leaves_the_log(spark, tmp_path, monkeypatch):
         assert rows(kept.log(), *SHOWN) == rows(at_once(spark, [a]), *SHOWN)
     kept.refresh("b", b)
     assert rows(kept.log(), *SHOWN) == rows(at_once(spark, [a, b]), *SHOWN)
+
+
+# ---- resumed series
+
+
+def series_rows(spark, *found):
+    made = [(k, c, week and dt.date.fromisoformat(week), Decimal(cost), Decimal(paid)) for k, c, week, cost, paid in found]
+    return spark.createDataFrame(made, "keyword string, campaign_name string, week date, cost decimal(18,2), money_in_the_bank_paid_to_us decimal(18,2)")
+
+
+def test_series_are_resumed(spark, tmp_path):
+    kept = KeptSeries(spark, str(tmp_path))
+    parts = [
+        (("tea", "a", "2016-01-04", "1.10", "0"), ("tea", "a", "2016-01-11", "2.05", "30"), ("mate", "b", "2016-01-11", "3", "0"), (None, "a", "2016-01-11", "1", "4")),
+        (("tea", "b", "2016-01-18", "5", "0"), ("mate", "b", "2016-01-25", "1", "0"), ("new", "b", "2016-01-25", "1", "2"), ("tea", "b", None, "7", "1")),
+        (("mate", "a", "2016-01-18", "0", "9"), ("tea", "a", "2016-01-18", "0.01", "0")),  # late
+        (),
+        (("tea", "a", "2015-12-28", "4", "0"),),  # before all others
+    ]
+    written = [["2016-01-04", "2016-01-11"], ["2016-01-18", "2016-01-25", "none"], ["2016-01-18", "2016-01-25", "none"], [], None]
+    for i, (part, weeks) in enumerate(zip(parts, written, strict=True)):
+        done = kept.add(series_rows(spark, *part))
+        assert weeks is None or done == weeks
+        log = series_rows(spark, *[row for p in parts[: i + 1] for row in p])
+        want = keywords_performance_over_time(log)
+        assert rows(kept.rows(), *want.columns) == rows(want)
+        whole = cumulative(sum_by_week(log, "keyword"), "keyword")
+        assert rows(kept.rows(earning_only=False), *whole.columns) == rows(whole)
+    assert len(done) == 6
+
+
+def test_only_changed_weeks_are_read(spark, tmp_path):
+    kept = KeptSeries(spark, str(tmp_path), ["keyword", "campaign_name"])
+    kept.add(series_rows(spark, *[("tea", "a", f"2016-0{m}-04", "1", "1") for m in range(1, 9)]))
+    kept.add(series_rows(spark, ("tea", "a", "2016-07-04", "1", "1"), ("tea", "b", "2016-08-04", "1", "1")))
+    _, now = kept.versions.current()
+    assert {path.split("part=")[1].split("/")[0] for path in kept.weeks_from(now, "2016-07-04").inputFiles()} == {"2016-07-04", "2016-08-04"}
+    early = [path for week, path in now["weeks"].items() if week < "2016-07"]
+    assert len({path.rsplit("/weeks", 1)[0] for path in early}) == 1 and len(early) == 6  # left as they were
+    found = [row for row in rows(kept.rows(), "campaign_name", "week", "type", "value") if row[2] == "cum_cost"]
+    assert found[-2:] == [("a", dt.date(2016, 8, 4), "cum_cost", 9.0), ("b", dt.date(2016, 8, 4), "cum_cost", 1.0)]
+
+
+# ---- published reports
+
+
+def test_reports_are_published_as_a_whole(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert published.published_reports(spark, root) == {}
+    first = {name: spark.range(n).withColumn("name", F.lit(name)) for n, name in ((2, "a/x"), (3, "b"))}
+    assert published.publish_reports(first, root) == 1
+
+    def now():
+        return {name: sorted(frame.collect()) for name, frame in published.published_reports(spark, root).items()}
+
+    old = now()
+    assert {name: len(found) for name, found in old.items()} == {"a/x": 2, "b": 3}
+    second = {name: spark.range(5).withColumn("name", F.lit("new")) for name in ("a/x", "b", "c")}
+    write, done = published.write_report_csv, []
+
+    def fail(report, path):
+        done.append(path)
+        if len(done) == 2:
+            raise OSError("disk full")
+        write(report, path)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(published, "write_report_csv", fail)
+        with pytest.raises(OSError, match="disk full"):
+            published.publish_reports(second, root, jobs=1)
+    assert now() == old
+    assert published.publish_reports(second, root) == 2
+    assert {name: len(found) for name, found in now().items()} == {"a/x": 5, "b": 5, "c": 5}
+    Versions(spark, root).prune(keep=1)
+    assert len(list((tmp_path / "data").iterdir())) == 1 and len(now()) == 3
+    with pytest.raises(ValueError, match="no reports"):
+        published.publish_reports({}, root)

@@ -16,7 +16,7 @@ from conftest import plan_of, rows
 from testbed.queries import QUERIES, search_transactions
 from testbed.views import COHORT_KEYWORD, END, START
 
-ACTIONS = {"marketing_report", "write_report_csv", "first_transaction_snapshot", "event_log_refresh", "acquisitions_rollup", "kpi_grouping_sets", "kpi_grouping_sets_bing"}
+ACTIONS = {"marketing_report", "write_report_csv", "first_transaction_snapshot", "event_log_refresh", "acquisitions_rollup", "kpi_grouping_sets", "kpi_grouping_sets_bing", "rejected_report_rows", "conversions_streamed", "series_resumed", "published_reports"}
 # These broadcast the numbered weeks of the calendar.
 BROADCAST_CALENDAR = {"cohort_assignment", "cohort_label"}
 

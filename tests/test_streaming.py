@@ -1,9 +1,11 @@
 """Report and event files are loaded once each, as they arrive."""
 
+from adlog import schemas
 from adlog.channels import SEARCH
+from adlog.operators import attribution
 from adlog.operators.filters import date_filter
 from adlog.sources import events, reports
-from adlog.streaming import ingest
+from adlog.streaming import firsts, ingest
 from conftest import rows
 from test_sources import BING_HEADERS, KEYWORD_HEADERS, KEYWORD_LINES, bing_file, event, write
 
@@ -62,3 +64,45 @@ def test_rows_of_all_dates_are_loaded(spark, tmp_path):
     assert table.count() == 2
     assert date_filter(table, "2016-05-01", "2016-05-31").count() == 1
     assert date_filter(table, "2016-05-01", "2019-12-31").count() == 2
+
+
+def test_first_conversions_are_kept_up(spark, tmp_path):
+    """Files out of order, a late earlier row, a repeated run, and a restart."""
+    folder, table, checkpoint = (tmp_path / name for name in ("in", "table", "checkpoint"))
+    folder.mkdir()
+    order = ["time", "orderId"]
+
+    def run():
+        stream = events.flatten_events(spark.readStream.schema(schemas.EVENT).json(str(folder)))
+        firsts.keep_up(firsts.first_conversions(stream, SEARCH, "2016-01-01", "2016-12-31"), str(table), str(checkpoint))
+        return rows(firsts.kept(spark, str(table), "app_user_id", order), "app_user_id", "time", "orderId")
+
+    def at_once():
+        flat = events.read_events(spark, str(folder))
+        found = attribution.one_conversion_per_user(events.channel_conversions(flat, SEARCH, "2016-01-01", "2016-12-31"))
+        return rows(found, "app_user_id", "time", "orderId")
+
+    day = 1462060800  # 2016-05-01
+    write(folder / "1.json", event(id="1", time=day + 5, orderId="a"), event(id="2", time=day, orderId="b"), event("Viewed", id="3"))
+    assert run() == at_once() == [(1, day + 5, "a"), (2, day, "b")]
+    write(folder / "2.json", event(id="1", time=day + 9, orderId="c"), event(id="4", time=day, orderId="e"), event(id="4", time=day, orderId="d"))
+    assert run() == at_once() == [(1, day + 5, "a"), (2, day, "b"), (4, day, "d")]
+    write(folder / "3.json", event(id="1", time=day - 99, orderId="z"), event(id="none", time=day, orderId="n"))
+    found = run()
+    assert found == at_once() and (1, day - 99, "z") in found and (None, day, "n") in found
+    batches = sorted(path.name for path in table.iterdir())
+    assert run() == found and sorted(path.name for path in table.iterdir()) == batches
+    # only users with an earlier row come out again
+    assert [row["app_user_id"] for row in spark.read.parquet(f"{table}/{batches[-1]}").orderBy("app_user_id").collect()] == [None, 1]
+
+
+def test_first_clicks_of_a_stream_are_those_of_the_log(spark, views, tmp_path):
+    log = views.search_log().select("user_id", "week", *attribution.ACQUISITION_COLUMNS)
+    for part in ("week >= '1998-01-01'", "week < '1998-01-01' OR week IS NULL"):
+        log.filter(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
+    firsts.keep_up(firsts.first_clicks(stream), f"{tmp_path}/table", f"{tmp_path}/checkpoint")
+    found = firsts.kept(spark, f"{tmp_path}/table", "user_id", ["week", *attribution.ACQUISITION_COLUMNS])
+    assert len(list((tmp_path / "table").iterdir())) == 2
+    want = attribution.first_acquisition(log)
+    assert rows(found, *want.columns) == rows(want)
