@@ -98,26 +98,16 @@ TABLES = {
         SELECT MIN(t.created_at) AS first_transaction, c.c_custkey AS id, c.c_name AS name
         FROM customer c JOIN tx t ON t.user_id = c.c_custkey GROUP BY c.c_custkey, c.c_name
         HAVING CAST(MIN(t.created_at) AS DATE) {WINDOW}""",
-    "paid_orders": f"""
-        SELECT id AS order_key, user_id AS buyer, created_at AS placed, refunded AS given_back, COALESCE(credit, 0) AS own_credit,
-            credit, discount_amount, sales_tax_amount
-        FROM tx WHERE complete AND created_at >= DATE '{START}' AND created_at <= DATE '{END}' + 1""",
-    "gift_cards": "SELECT id AS card, amount AS card_value FROM disc WHERE type = 'GiftCard'",
-    "order_lines": """
-        SELECT o.*, card IS NOT NULL AS is_gift, card_value, price AS charged, recurring AS repeats
-        FROM items JOIN paid_orders o ON order_key = transaction_id LEFT JOIN gift_cards ON card = discount_id""",
-    "extract": """
-        WITH before_refund AS (
-            SELECT *, charged - greatest(own_credit, 0) AS received, charged + discount_amount - sales_tax_amount AS listed
-            FROM order_lines
-        ), kinds AS (
-            SELECT true AS is_gift, repeats, 'Gift Card' AS purchase_type FROM (VALUES (true), (false)) r(repeats)
-            UNION ALL VALUES (false, true, 'Recurring Food Purchase'), (false, false, 'One-Time Meal Purchase')
-        )
-        SELECT placed AS transaction_date, c_name AS user_name, buyer AS app_user_id, discount_amount, credit, sales_tax_amount,
-            if(given_back, charged, 0) AS refund_amount, if(is_gift, card_value, listed) AS retail_price,
-            if(given_back, 0, received) AS money_in_the_bank_paid_to_us, purchase_type
-        FROM before_refund JOIN kinds USING (is_gift, repeats) JOIN customer ON c_custkey = buyer""",
+    # Refunded items pay nothing; else a credit above 0 is taken off. A gift card is worth its discount row's amount.
+    "extract": f"""
+        SELECT created_at AS transaction_date, c_name AS user_name, user_id AS app_user_id,
+            discount_amount, credit, sales_tax_amount, if(refunded, price, 0) AS refund_amount,
+            if(cards.id IS NULL, price + discount_amount - sales_tax_amount, amount) AS retail_price,
+            if(refunded, 0, price - greatest(coalesce(credit, 0), 0)) AS money_in_the_bank_paid_to_us,
+            if(cards.id IS NOT NULL, 'Gift Card', if(recurring, 'Recurring Food Purchase', 'One-Time Meal Purchase')) AS purchase_type
+        FROM items JOIN tx ON tx.id = transaction_id JOIN customer ON c_custkey = user_id
+            LEFT JOIN (SELECT id, amount FROM disc WHERE type = 'GiftCard') cards ON cards.id = discount_id
+        WHERE complete AND created_at >= DATE '{START}' AND created_at <= DATE '{END}' + 1""",
     "camp_names": "SELECT campaign_id, MIN(campaign_name) AS campaign_name FROM camp GROUP BY campaign_id",
     "bing_names": "SELECT campaign_id, MIN(campaign_name) AS campaign_name FROM bing_kw GROUP BY campaign_id",
     "bing_words": "SELECT keyword_id, MIN(keyword) AS keyword FROM bing_kw GROUP BY keyword_id",

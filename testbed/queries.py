@@ -710,6 +710,33 @@ def _(v):
     return kept.log().select(LOG_COLUMNS)
 
 
+SOLD_ONLY = ["orderId", "latest_ad_utm_source", "latest_ad_utm_medium", "x_city"]
+SPEND_ONLY = ["network", "est_search_impression_share_lost_rank"]
+LOG_NAMES = {
+    "search": LOG_COLUMNS + SOLD_ONLY + SPEND_ONLY + ["ad_group_name", "keyword_state", "landing_page_experience", "quality_score"],
+    "bing": BING_LOG_COLUMNS + SOLD_ONLY + ["ad_group_name", "keyword_id", "keyword_state", "quality_score"],
+    "display": LOG_COLUMNS + SOLD_ONLY + SPEND_ONLY + ["budget", "campaign_state", "est_search_impression_share_lost_budget"],
+}
+
+
+@query(
+    "drop_tracking_columns",
+    " UNION ALL ".join(
+        f"""SELECT '{log}' AS log, unnest({sorted(names)}) AS column_name, n_rows FROM (SELECT COUNT(*) AS n_rows FROM log_{log})"""
+        for log, names in LOG_NAMES.items()
+    ),
+)
+def _(v):
+    logs = {"search": v.search_log(), "bing": v.bing_log(), "display": v.display_log()}
+    counts = [
+        log.agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("log"), F.explode(F.array(*[F.lit(column) for column in log.columns])).alias("column_name"), "n_rows"
+        )
+        for name, log in logs.items()
+    ]
+    return attribution.event_log_union(*counts)
+
+
 # KPI reports -----------------------------------------------------------------------------------------------
 
 
