@@ -133,3 +133,9 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
         out = mixed(out) + hashes[i : n - size + 1 + i]
     return mixed(out + _U(size))
 
+
+def spans(starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, one after the other, each with its range's value."""
+    sizes = ends - starts
+    shift = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+    return np.arange(sizes.sum()) + shift, np.repeat(values, sizes)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlog.llm.common import WordHashes, hashed, small_batches, stage, words_of
+from adlog.llm.common import WordHashes, hashed, small_batches, spans, stage, words_of
 
 K1, B = 1.2, 0.75
 BLOCK = 64
@@ -115,7 +115,7 @@ class Shard:
         at, weights = at[known], weights[known]
         if not len(at):
             return [], 0
-        runs, weight = _spans(self.term_runs[at], self.term_runs[at + 1], weights)
+        runs, weight = spans(self.term_runs[at], self.term_runs[at + 1], weights)
         block = self.run_block[runs]
         bound = np.bincount(block, weight * self.run_most[runs], self.blocks)
         order = np.argsort(-bound, kind="stable")
@@ -135,7 +135,7 @@ class Shard:
         mine = np.zeros(self.blocks, dtype=bool)
         mine[chosen] = True
         mine = mine[block]
-        postings, w = _spans(self.run_start[runs[mine]], self.run_end[runs[mine]], weight[mine])
+        postings, w = spans(self.run_start[runs[mine]], self.run_end[runs[mine]], weight[mine])
         dense = np.cumsum(np.bincount(chosen, minlength=self.blocks)) - 1
         place = self.places[postings].astype(np.int64)
         local = dense[place // BLOCK] * BLOCK + place % BLOCK
@@ -151,13 +151,6 @@ class Shard:
         return sorted(pool, key=lambda x: (-x[1], x[0] == NO_ID, x[0]))[:k]
 
 
-def _spans(starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers of the ranges, one after the other, each with its range's value."""
-    sizes = ends - starts
-    shift = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-    return np.arange(sizes.sum()) + shift, np.repeat(values, sizes)
-
-
 def query_terms(queries: DataFrame, text: str = "text") -> DataFrame:
     """query (key of the text), term, times: the terms of every different text of the queries."""
     small_batches(queries.sparkSession)

@@ -45,8 +45,9 @@ def test_language_model_by_hand(documents):
                 for i in range(len(padded) - n + 1):
                     counts[n, padded[i : i + n]][lang] += 1
                     totals[n, lang] += 1
-    least = math.log(langid.LEAST_SHARE / langid.PENALTY)
-    log = lambda key, lang: math.log(counts[key][lang] / totals[key[0], lang]) if counts[key][lang] else least
+    most = {n: max(total for (size, _), total in totals.items() if size == n) for n in range(langid.LONGEST + 1)}
+    least = lambda n: -math.log(langid.PENALTY * most[n])
+    log = lambda key, lang: math.log(counts[key][lang] / totals[key[0], lang]) if counts[key][lang] else least(key[0])
 
     def word_scores(word, lang):
         if (0, word) in counts:
