@@ -43,7 +43,18 @@ def stage(rows: DataFrame, label: str = "rows", **options: str) -> DataFrame:
     spark = rows.sparkSession
     path = f"{staging_folder(spark)}/{label}"
     rows.write.parquet(path, **options)
-    return spark.read.schema(rows.schema).parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def unstage(*tables: DataFrame | None) -> None:
+    """Remove staged tables that nothing reads any more: what was made of them is staged itself."""
+    for table in tables:
+        if table is not None and (at := getattr(table, "staged_at", None)):
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(at).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -85,7 +96,8 @@ def connected(edges: DataFrame) -> DataFrame:
     now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
     mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     while mark[0]:
-        now = stage(_star(now), "edges")
+        old, now = now, stage(_star(now), "edges")
+        unstage(old)
         before, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if before == mark:
             break

@@ -3,6 +3,10 @@
 Everything is DataFrame operations. Lines are compared in normal form: lower-case runs of letters and digits, joined by
 blanks; lines without any are left alone. Equal normal forms are one node from the start. Two nodes are linked if their
 SimHashes over words are at most three bits apart and their normal forms have an edit similarity of 0.8 or more.
+
+Long lines of one language may be within three bits for their frequent words alone, and such pairs grow with the square of the lines.
+So every line has a second SimHash, over pairs of neighbouring words, in which lines without common passages are some 32 bits apart:
+pairs beyond 26 bits there are not candidates.
 """
 
 from __future__ import annotations
@@ -13,9 +17,11 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlog.llm.common import connected, free_name, stage
+from adlog.llm.common import connected, free_name, stage, unstage
 
 BITS, RADIUS = 64, 3
+#: Most bits apart of the SimHashes over pairs of words. Lines of which a fifth of the words differ are about 19 apart.
+PAIR_RADIUS = 26
 SIMILARITY = 0.8
 #: Lines of fewer words have counts of 15 bits at most, so that a number holds four.
 SHORT = 1 << 15
@@ -24,9 +30,11 @@ SPREAD = 16
 #: Lines beyond this many characters are first compared in pieces of it; the sum of their edit distances bounds that of the whole,
 #: which is worked out where the bound does not settle a pair.
 PIECE = 1000
-#: Lines up to which one equal block of four is a key; beyond, two of five, then three of six. All find the same pairs.
 #: Places of lines whose text is asked for that are sent to every task, at most; more are shuffled.
 SENT = 100_000
+#: Rounds of comparisons with one line of a bucket, at most; what they leave is compared pair by pair.
+ROUNDS = 4
+#: Lines up to which one equal block of four is a key; beyond, two of five, then three of six. All find the same pairs.
 FEW_LINES, MANY_LINES = 4_000_000, 4_000_000_000
 
 _OTHER = r"[^\p{L}\p{N}]+"
@@ -71,7 +79,7 @@ def _key(line: Column) -> Column:
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """key, print: the SimHash of every different line, of rows ``key, line, row`` (a number of its own for each).
+    """key, size, print, pairs: length and SimHashes, over words and over pairs of them, of every different line, of rows ``key, line, row`` (a number of its own for each).
 
     A bit is set where more than half of the words' hashes have it. Counts share numbers, so that few sums in generated code give
     all 64: four counts of 16 bits where a line has fewer words than that, each line by itself; two of 32 bits for longer
@@ -86,16 +94,27 @@ def fingerprints(lines: DataFrame) -> DataFrame:
 def _prints(lines: DataFrame, lanes: int) -> DataFrame:
     width = BITS // lanes
     ones = sum(1 << i * width for i in range(lanes))
-    words = lines.select("key", "group", F.explode(F.split("line", " ")).alias("word")).select("key", "group", F.xxhash64("word").alias("h"))
-    sums = [F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(ones))).alias(f"s{j}") for j in range(width)]
-    counts = words.groupBy("key", "group").agg(F.count("*").alias("n"), *sums)
-    count = lambda j, i: F.shiftrightunsigned(f"s{j}", i * width).bitwiseAND(F.lit((1 << width) - 1))
-    bits = [F.when(2 * count(j, i) > F.col("n"), F.lit(_mask([j + i * width]))).otherwise(F.lit(0)) for i in range(lanes) for j in range(width)]
-    return counts.select("key", reduce(lambda a, b: a.bitwiseOR(b), [bit.cast("long") for bit in bits]).alias("print"))
+    split = F.split("line", " ")
+    words = lines.select("key", "group", F.length("line").alias("size"), split.alias("words"))
+    after = F.concat(F.slice("words", 2, F.size("words")), F.array(F.lit("")))
+    words = words.select("key", "group", "size", F.explode(F.arrays_zip("words", after.alias("after"))).alias("word"))
+    words = words.select("key", "group", "size", F.xxhash64("word.words").alias("h"), F.xxhash64("word.words", "word.after").alias("g"))
+    sums = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(ones))).alias(f"{h}{j}") for h in "hg" for j in range(width)]
+    counts = words.groupBy("key", "group").agg(F.max("size").alias("size"), F.count("*").alias("n"), *sums)
+
+    def majority(h: str) -> Column:
+        count = lambda j, i: F.shiftrightunsigned(f"{h}{j}", i * width).bitwiseAND(F.lit((1 << width) - 1))
+        bits = [F.when(2 * count(j, i) > F.col("n"), F.lit(_mask([j + i * width]))).otherwise(F.lit(0)) for i in range(lanes) for j in range(width)]
+        return reduce(lambda a, b: a.bitwiseOR(b), [bit.cast("long") for bit in bits])
+
+    return counts.select("key", "size", majority("h").alias("print"), majority("g").alias("pairs"))
 
 
 def _near(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
+    """Prints within their radius, of lines of which neither is too long for the similarity."""
+    sizes = F.least(f"s{a}", f"s{b}") >= (SIMILARITY - 1e-9) * F.greatest(f"s{a}", f"s{b}")
+    apart = lambda c: F.bit_count(F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}")))
+    return (apart("p") <= RADIUS) & (apart("q") <= PAIR_RADIUS) & sizes
 
 
 def edit_similar(a: str, b: str) -> Column:
@@ -123,61 +142,85 @@ def edit_similar(a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, texts) -> DataFrame:
-    """The pairs (a, b) whose lines are similar; ``texts`` finds the lines of a table of keys."""
-    pairs = stage(pairs, "pairs")
+    """The staged pairs (a, b) whose lines are similar; ``texts`` finds the lines of a table of keys. The pairs are removed."""
     lines = texts(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
     both = pairs.join(lines.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(lines.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    return stage(both.where(edit_similar("line_a", "line_b")).select("a", "b"), "links")
+    links = stage(both.where(edit_similar("line_a", "line_b")).select("a", "b"), "links")
+    unstage(pairs, lines)
+    return links
+
+
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    """Rows with names for one side of a pair."""
+    return rows.select(*[F.col(c) for c in more], F.col("kid").alias(f"k{name}"), F.col("print").alias(f"p{name}"), F.col("pairs").alias(f"q{name}"), F.col("size").alias(f"s{name}"), F.col("rid").alias(f"r{name}"))
 
 
 def linked(prints: DataFrame, texts) -> DataFrame:
-    """``node, root`` of all lines that have a partner, of the table ``key, print``.
+    """``node, root`` of all lines that have a partner, of the table ``key, size, print, pairs``.
 
-    First, lines that agree in all but one block of four are compared with the smallest of them, one comparison for each line:
-    that joins the many close variants of a line. Then pairs of different groups that agree in enough blocks and are
-    within the radius are compared. No bucket is capped, and both steps together find every pair within the radius that is
-    not in one group already.
+    In rounds, lines that agree in all but one block of four are compared with one of them, one comparison for each line and
+    bucket: that joins the many close variants of a line. A round takes buckets that still hold several groups; there is another one
+    while one joins anything, up to a few. Then pairs of different groups that agree in enough blocks and are within the radius are compared.
+    No bucket is capped, and all steps together find every pair within the radius that is not in one group already.
     """
     # Joins work on numbers: a line's key stands behind a hash of it and is looked up for the pairs that are found. Keys that
     # share a hash would only add pairs, which are verified like all others.
-    prints = stage(prints.select("key", "print", F.xxhash64("key").alias("kid")), "prints")
+    prints = stage(prints.select("key", "size", "print", "pairs", F.xxhash64("key").alias("kid")), "prints")
     n = prints.count()
 
     def keys_of(pairs: DataFrame) -> DataFrame:
-        """Pairs (ka, kb) of numbers as pairs (a, b) of keys, the smaller first."""
-        pairs = stage(pairs.distinct(), "numbers")
-        sides = pairs.select(F.col("ka").alias("kid")).union(pairs.select("kb")).distinct()
-        sides = F.broadcast(sides) if pairs.count() <= SENT else sides
+        """Pairs (ka, kb) of numbers as a staged table of pairs (a, b) of keys, the smaller first."""
+        numbers = stage(pairs.distinct(), "numbers")
+        sides = numbers.select(F.col("ka").alias("kid")).union(numbers.select("kb")).distinct()
+        sides = F.broadcast(sides) if numbers.count() <= SENT else sides
         known = stage(prints.select("kid", "key").join(sides, "kid", "left_semi"), "keys")
+        found = numbers
         for side in "ab":
-            pairs = pairs.join(known.select(F.col("kid").alias(f"k{side}"), F.col("key").alias(side)), f"k{side}")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+            found = found.join(known.select(F.col("kid").alias(f"k{side}"), F.col("key").alias(side)), f"k{side}")
+        found = stage(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b"), "pairs")
+        unstage(numbers, known)
+        return found
+
+    def rooted(rows: DataFrame, found: DataFrame | None) -> DataFrame:
+        """Rows of lines with their group's number."""
+        if found is None:
+            return rows.withColumn("rid", F.col("kid"))
+        roots = found.select(F.xxhash64("node").alias("kid"), F.xxhash64("root").alias("root"))
+        roots = F.broadcast(roots) if found.count() <= SENT else roots
+        return rows.join(roots, "kid", "left").withColumn("rid", F.coalesce("root", "kid")).drop("root")
 
     parts = _blocks(4)
     rest = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(~_mask(parts[i])))) for i in range(4)]
-    dense = prints.select("kid", "print", F.explode(F.array(*rest)).alias("bucket"))
-    hubs = dense.groupBy("bucket").agg(F.min("kid").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
-    hubs = stage(hubs, "hubs")
-    hubs = F.broadcast(hubs) if hubs.count() <= SENT else hubs
-    held = stage(dense.join(hubs, "bucket"), "dense")
-    at_hub = held.where("kid = hub").select("bucket", F.col("print").alias("pa")).distinct()
-    stars = held.where("kid <> hub").join(at_hub, "bucket").where(_near("pa", "print"))
-    links = _verified(keys_of(stars.select(F.col("hub").alias("ka"), F.col("kid").alias("kb"))), texts)
-    found = connected(links)
+    dense = prints.select("kid", "size", "print", "pairs", F.explode(F.array(*rest)).alias("bucket"))
+    several = dense.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    dense = stage(dense.join(several, "bucket", "left_semi"), "dense")
+    links, found = None, None
+    for _ in range(ROUNDS):
+        now = rooted(dense, found)
+        best = F.min(F.struct("kid", "print", "pairs", "size", "rid"))
+        hubs = now.groupBy("bucket").agg(best.alias("hub"), F.min("rid").alias("low"), F.max("rid").alias("high")).where("low < high").select("bucket", "hub.*")
+        stars = _side(now, "b", "bucket").join(_side(hubs, "a", "bucket"), "bucket").where(_near("a", "b") & (F.col("ra") != F.col("rb")))
+        # a group needs one link to another
+        one = stars.groupBy("ra", "rb").agg(F.min(F.struct("ka", "kb")).alias("pair")).select("pair.*")
+        pairs = keys_of(one)
+        more = None if pairs.isEmpty() else _verified(pairs, texts)
+        if more is None or more.isEmpty():
+            break
+        links = more if links is None else links.union(more)
+        found, old = connected(links), found
+        unstage(old)
+    unstage(dense)
 
     blocks, equal = (4, 1) if n <= FEW_LINES else (5, 2) if n <= MANY_LINES else (6, 3)
-    roots = F.broadcast(found) if found.count() <= SENT else found
-    rooted = prints.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    rooted = rooted.select("kid", "print", F.xxhash64(F.coalesce("root", "key")).alias("rid"))
     choose = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, equal))]
-    keyed = rooted.select("kid", "print", "rid", F.explode(F.array(*choose)).alias("block"))
-    one = keyed.select("block", F.col("kid").alias("ka"), F.col("print").alias("pa"), F.col("rid").alias("ra"))
-    other = keyed.select("block", F.col("kid").alias("kb"), F.col("print").alias("pb"), F.col("rid").alias("rb"))
-    close = _near("pa", "pb") & (F.col("ka") < F.col("kb")) & (F.col("ra") != F.col("rb"))
-    across = one.join(other, (one["block"] == other["block"]) & close).select("ka", "kb")
-    more = _verified(keys_of(across), texts)
-    return found if more.isEmpty() else connected(links.union(more))
+    keyed = rooted(prints.select("kid", "size", "print", "pairs"), found).withColumn("block", F.explode(F.array(*choose)))
+    one, other = _side(keyed, "a", "block"), _side(keyed, "b", "block").withColumnRenamed("block", "of")
+    close = _near("a", "b") & (F.col("ka") < F.col("kb")) & (F.col("ra") != F.col("rb"))
+    pairs = keys_of(one.join(other, (F.col("block") == F.col("of")) & close).select("ka", "kb"))
+    more = _verified(pairs, texts)
+    unstage(prints)
+    return connected(more if links is None else links.union(more))
 
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,11 +241,12 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     def texts(keys: DataFrame) -> DataFrame:
         """Lines of keys, each from its first place only."""
         wanted = first.join(keys, "key", "left_semi").select(F.col("key").alias("k"), F.col("first.doc").alias("d"), F.col("first.pos").alias("p"))
-        wanted = stage(wanted, "wanted")
-        if wanted.count() <= SENT:
-            wanted = F.broadcast(wanted)
+        places_of = stage(wanted, "wanted")
+        wanted = F.broadcast(places_of) if places_of.count() <= SENT else places_of
         on = (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("pos") == F.col("p"))
-        return stage(seen.select("key", "doc", "pos", "line").join(wanted, on, "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
+        lines = stage(seen.select("key", "doc", "pos", "line").join(wanted, on, "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
+        unstage(places_of)
+        return lines
 
     groups = linked(fingerprints(known), texts)
     rooted = first.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -135,6 +135,15 @@ def normal(line):
     return regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ")
 
 
+def plain_prints(key):
+    """SimHashes over the words, and over each word with the next one."""
+    words = key.split(" ")
+    first = [xxhash.xxh64_intdigest(w, seed=42) for w in words]
+    both = [xxhash.xxh64_intdigest(after, seed=h) if after else h for h, after in zip(first, [*words[1:], ""])]
+    both[-1] = xxhash.xxh64_intdigest("", seed=first[-1])
+    return tuple(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) for hashes in (first, both))
+
+
 def plain_removed(documents):
     seen = defaultdict(list)
     for doc, text in documents:
@@ -144,14 +153,11 @@ def plain_removed(documents):
                 if normal(line):
                     seen[normal(line)].append((doc is None, doc or 0, key, place))
     keys, con = list(seen), duckdb.connect()
-    prints = []
-    for key in keys:
-        hashes = [xxhash.xxh64_intdigest(w, seed=42) for w in key.split(" ")]
-        prints.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
+    prints = [plain_prints(key) for key in keys]
     sets = Sets(len(keys))
     for a in range(len(keys)):
         for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= 3:
+            if (prints[a][0] ^ prints[b][0]).bit_count() <= 3 and (prints[a][1] ^ prints[b][1]).bit_count() <= lines.PAIR_RADIUS:
                 most = max(len(keys[a]), len(keys[b]))
                 if con.execute("SELECT levenshtein(?, ?)", [keys[a], keys[b]]).fetchone()[0] <= 0.2 * most + 1e-9:
                     sets.join(a, b)
@@ -218,10 +224,8 @@ def test_fingerprints(spark):
     """Repeated lines, short ones and one that is longer than the narrow counts hold."""
     texts = ["some words that stand in a line of words", "one", " ".join(f"w{i % 777}" for i in range(70_000))]
     frame = spark.createDataFrame([(bytes([k]), texts[k], 9 * k + i) for k in range(3) for i in range(5)], "key binary, line string, row long")
-    found = {bytes(r["key"])[0]: r["print"] & (1 << 64) - 1 for r in lines.fingerprints(frame).collect()}
-    for k, text in enumerate(texts):
-        hashes = [xxhash.xxh64_intdigest(w, seed=42) for w in text.split(" ")]
-        assert found[k] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    found = {bytes(r["key"])[0]: (r["print"] & (1 << 64) - 1, r["pairs"] & (1 << 64) - 1, r["size"]) for r in lines.fingerprints(frame).collect()}
+    assert found == {k: (*plain_prints(text), len(text)) for k, text in enumerate(texts)}
     assert lines.fingerprints(frame).count() == 3
 
 
