@@ -81,10 +81,11 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     def count(batches):
         memory, counts, n = WordHashes(), np.zeros(SLOTS, dtype=np.int64), 0
         for pdf in batches:
-            keys = [counted(x, memory)[0] for x in pdf["text"] if isinstance(x, str)]
+            # a slot counts once for a document, also where it holds several of its shingles
+            slots = [np.unique(slot(counted(x, memory)[0])) for x in pdf["text"] if isinstance(x, str)]
             n += len(pdf)
-            if keys:
-                counts += np.bincount(slot(np.concatenate(keys)), minlength=SLOTS)
+            if slots:
+                counts += np.bincount(np.concatenate(slots), minlength=SLOTS)
         pieces = [i for i in range(0, SLOTS, CHUNK) if counts[i : i + CHUNK].any()]
         data = [counts[i : i + CHUNK].astype("<u4").tobytes() for i in pieces] + [np.array([n], dtype="<u4").tobytes()]
         yield pd.DataFrame({"piece": [*pieces, SLOTS], "data": data})
@@ -103,7 +104,7 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def inverse(counts: np.ndarray) -> np.ndarray:
-    """Smoothed inverse document frequency of each slot."""
+    """Smoothed inverse document frequency of each slot: 1 or more, as no slot counts more than the number of documents."""
     return (np.log((counts[-1] + 1) / (counts[:-1] + 1)) + 1.0).astype(np.float32)
 
 

@@ -96,10 +96,22 @@ def test_document_frequencies(spark):
     found = neardup.frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
     memory, want = WordHashes(), Counter()
     for t in texts:
-        want.update(neardup.slot(neardup.counted(t, memory)[0]).tolist())
+        want.update(set(neardup.slot(neardup.counted(t, memory)[0]).tolist()))
     assert found[-1] == len(texts) and {i: n for i, n in enumerate(found[:-1].tolist()) if n} == want
 
 
+def test_weights_of_very_long_copies_are_positive(spark):
+    """Texts with so many shingles that slots hold several of one document: weights stay above 0 and draws differ."""
+    words = [f"w{i * i % 1_000_003}" for i in range(300_000)]
+    texts = [" ".join(words), " ".join([*words[:150_000], "changed", *words[150_000:]])]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    counts = neardup.frequencies(frame)
+    assert counts[:-1].max() == 2 and neardup.inverse(counts).min() >= 1
+    keys, times = neardup.counted(texts[0], WordHashes())
+    draws = neardup.Draws().of(keys, times * neardup.inverse(counts)[neardup.slot(keys)])
+    assert len(set(draws.tolist())) == len(draws)
+
+
 def test_draws_agree_as_often_as_texts_are_similar():
     random, draws = np.random.default_rng(2), neardup.Draws()
     agreed, similar = [], []
