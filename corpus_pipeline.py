@@ -18,7 +18,10 @@ LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised: texts without a letter and those without a likely language go."""
+    """Documents whose language is recognised: NULL and empty texts, texts without a letter and those without a likely language go.
+
+    Rows are judged one by one, so repeated rows stay or go together; of equally likely languages the first counts.
+    """
     (name,) = free_name(docs, "id_text")
     model = langid.learn(docs.select("doc_id", "text", "lang"))
     judged = langid.judged(docs, model, into=name)
@@ -26,22 +29,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One occurrence of each group of similar lines stays; documents left without a line go."""
+    """One occurrence of each group of similar lines stays, that of the smallest id; documents left without a line with a word go.
+
+    NULL and empty texts, and texts without a word, stay as they are. Of rows equal in id and text one stays.
+    """
     return _counted(lines.clean(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, that of the smallest id (NULL last), then of the smallest key.
+
+    NULL texts all stay; empty ones are copies of one another. Of rows equal in id and text one stays.
+    """
     return neardup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain an item of the benchmark go."""
+    """Documents that contain an item of the benchmark go, all rows of them; NULL and empty texts contain none and stay."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with ``size, source_size, target`` and the words taken; the budget is all words."""
+    """Documents that the mix takes, with ``size, source_size, target`` and the words taken; the budget is all words.
+
+    NULL and empty texts have no words to take and go. Rows equal in id and text are taken together; NULL is a source.
+    """
     return mixing.mix(docs).where("taken > 0")
 
 
