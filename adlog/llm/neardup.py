@@ -30,7 +30,7 @@ CHUNK = 1 << 14
 #: fewer than 13 with probability 3e-6.
 LEAST_DRAWS = 13
 PACKED = ("d0", "d1", "d2", "d3")
-#: Texts of a bucket that its others are compared with, in each round.
+#: Texts of a bucket that its others may be compared with, in each round.
 HUBS = (1, 4, 8)
 #: Different random numbers for draws; a shingle's come from the table by its hash.
 RANDOM = 1 << 16
@@ -145,8 +145,8 @@ def _weights_close(a: str, b: str):
     return F.least(a, b) >= F.greatest(a, b) * (SIMILARITY - 1e-6)
 
 
-def _draws_close(a: str, b: str):
-    """Enough bytes of the packed draws agree. Draws that agree have equal bytes; the unused bytes always are."""
+def _draws_apart(a: str, b: str):
+    """How many bytes of the packed draws differ. Draws that agree have equal bytes; the unused bytes always are."""
     apart = []
     for d in PACKED:
         x = F.col(f"{d}{a}").bitwiseXOR(F.col(f"{d}{b}"))
@@ -154,8 +154,7 @@ def _draws_close(a: str, b: str):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
         # what comes over from the next byte can only reach bits that this byte's own are folded out of
         apart.append(x)
-    different = sum((F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101))) for x in apart), F.lit(0))
-    return different <= BANDS * DRAWS - LEAST_DRAWS
+    return sum((F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101))) for x in apart), F.lit(0))
 
 
 def _texts(keys: DataFrame, docs: DataFrame, first: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -206,9 +205,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     """(members, links). members: ``doc_id, key, root``, a row for each document: the key of its text and of its group's
     smallest text, both NULL for a NULL text. links: ``a, b, similarity`` between keys.
 
-    In a few rounds, every text of a bucket (a band's value) is compared with some of the bucket's texts, chosen by a hash, that
-    are in other groups so far: first one, then more. That takes a number of comparisons in proportion to the texts, and joins
-    large groups of copies and near copies. Buckets that still hold several groups then compare all pairs across groups
+    In a few rounds, some texts of each bucket (a band's value), chosen by a hash, stand for it: first one, then more. Every text is
+    compared with that one of those in its buckets, of other groups so far, with which it shares most draws. That takes as many comparisons
+    as there are texts in a round at most, and joins large groups of copies and near copies. Buckets that still hold several groups then compare all pairs across groups
     whose weights and draws can reach the similarity: whatever the rounds missed. Nothing is capped.
     """
     spark = docs.sparkSession
@@ -241,12 +240,14 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
         return rows.select("band", *[F.col(old).alias(new) for old, new in named.items()], *[c for c in rows.columns if c == "size"])
 
     # Joins make only pairs that can reach the similarity.
-    can_match = _weights_close("wa", "wb") & _draws_close("a", "b") & (F.col("ra") != F.col("rb"))
+    can_match = _weights_close("wa", "wb") & (_draws_apart("a", "b") <= BANDS * DRAWS - LEAST_DRAWS) & (F.col("ra") != F.col("rb"))
     for turn, n in enumerate(HUBS):
         chosen = [F.min(F.struct(F.xxhash64("key", F.lit(f"{turn}.{i}")).alias("h"), "key", "root", "weight", *PACKED)) for i in range(n)]
         hubs = rooted.groupBy("band").agg(F.array_distinct(F.array(*chosen)).alias("hubs")).select("band", F.explode("hubs").alias("hub"))
         against = side(hubs.select("band", "hub.*"), "a").join(side(rooted, "b").withColumnRenamed("band", "of"), (F.col("band") == F.col("of")) & can_match)
-        add(stage(against.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+        # of all that a text meets, it is compared with the one it shares most draws with: one comparison for each text
+        best = against.groupBy("b").agg(F.min(F.struct(_draws_apart("a", "b").alias("apart"), "a")).alias("best")).select("b", "best.a")
+        add(stage(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
 
     # buckets that still hold several groups
     left = rooted.withColumn("size", F.floor(F.log("weight") / F.lit(-math.log(SIMILARITY - 1e-6))).cast("int"))
