@@ -537,13 +537,14 @@ def test_pipeline(spark, documents):
 
 def test_queries_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     assert difference(rows_of_spark(QUERIES[name](spark, SMALL)), rows_of_duckdb(con, ORACLE[name])) is None
 
 
