@@ -43,7 +43,10 @@ def cohort_assignment(elog: DataFrame, keyword: str | None = None) -> DataFrame:
 
     first = monetary_rows(rows).groupBy("user_id").agg(F.min("week").alias("week"))
     cohorts = numbered(first).select("user_id", F.col("week_number").alias("cohort_week"))
-    placed = left_join_spreading_nulls(numbered(rows), cohorts, "user_id", ["date", "campaign_id"])
+    # Narrow columns that tell spend rows apart; staged logs have names of campaigns only.
+    campaign = "campaign_id" if "campaign_id" in rows.columns else "campaign_name"
+    spread_by = [name for name in ("week", "date", campaign) if name in rows.columns][-2:]
+    placed = left_join_spreading_nulls(numbered(rows), cohorts, "user_id", spread_by)
     cohort_week = F.coalesce("cohort_week", "week_number")
     return placed.withColumn("cohort_week", cohort_week).withColumn("cohort", scalars.cohort_label(F.col("cohort_week")))
 
