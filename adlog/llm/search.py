@@ -1,11 +1,14 @@
-"""Exact top-k search: BM25 over an inverted index in shards, blocks in falling order of their bounds, merged exactly.
-
-Every shard is a row of a Parquet table: the postings of its documents by term. A query keeps the k-th best score so far. For a
-block of documents, the sum of the largest contributions that the query's terms have in this block bounds the score of
-every document in it; blocks whose bound stays below the k-th best are never scored. This takes the place of block-max WAND: there are no cursors in
-document order, no pivot and no skipping, as the bounds of all blocks are one array operation in numpy where cursors would be a
-Python loop. So every run of every query term in a shard is read for its bound, and only scoring is pruned. Frequencies, the number of documents
-and the mean length are global, so scores of different shards compare.
+"""Exact top-k search: BM25 over an inverted index in shards with block-max WAND pruning, merged exactly.
+
+Every shard is a row of a Parquet table: the postings of its documents by term, in document order. With a lower bound of the
+k-th best score, a query's lists fall in two: those whose list-wide bounds together stay below it, and the rest. As in WAND, only a document of
+the rest can be a pivot; the other lists are skipped. A pivot is scored only if what it has in the rest and the block maxima of the
+other lists reach the bound, and best bounds first, so that the bound rises. Pivots are arrays in document order, not one cursor step at a time, which would be a
+Python loop.
+
+The bound is shared: shards are searched in rounds, each some four times the one before, and a round starts from the k-th best
+score of all earlier ones. Tasks merge their shards before rows go out. Frequencies, the number of documents and the mean length
+are global, so scores of different shards compare.
 """
 
 from __future__ import annotations
@@ -15,10 +18,11 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlog.llm.common import WordHashes, hashed, small_batches, spans, stage, words_of
+from adlog.llm.common import WordHashes, hashed, small_batches, spans, stage, unstage, words_of
 
 K1, B = 1.2, 0.75
 BLOCK = 64
@@ -26,11 +30,15 @@ BLOCK = 64
 SHARD_WORDS = 4_000_000
 #: Terms of the queries that are sent to the tasks at once, about; each portion is a pass over the index.
 PORTION_TERMS = 1_000_000
+#: Shards have levels by a hash, each about a quarter as large as the one below; the first round has this many shards or more.
+LEVELS, FIRST_SHARDS = 12, 2
+#: A shard's own first bound comes from this many times k documents.
+SEEDS = 4
 #: Scores count to this many digits; documents of equal scores are ordered by id, NULL last.
 DIGITS = 6
 NO_ID = np.iinfo(np.int64).min
 
-SHARD = "shard string, docs long, words long, ids binary, lengths binary, terms binary, ends binary, places binary, times binary"
+SHARD = "shard string, docs long, words long, ids binary, lengths binary, terms binary, ends binary, places binary, times binary, level int"
 
 
 def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -54,7 +62,7 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             yield _shard(held)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return stage(rows.mapInPandas(build, SHARD), "index")
+    return stage(rows.mapInPandas(build, SHARD), "index", partitionBy="level")
 
 
 def _shard(held: list) -> pd.DataFrame:
@@ -67,6 +75,8 @@ def _shard(held: list) -> pd.DataFrame:
     ends = np.append(start[1:], len(term)).astype("<i8")
     out = {"shard": f"{ids[0]}", "docs": len(held), "words": int(lengths.sum()), "ids": ids, "lengths": lengths, "terms": terms.astype("<u8")}
     out |= {"ends": ends, "places": place[order], "times": times[order]}
+    share = (xxhash.xxh64_intdigest(out["terms"].tobytes()) + 1) / 2**64
+    out["level"] = min(LEVELS, int(-math.log(share, 4)))
     return pd.DataFrame({k: [v.tobytes() if isinstance(v, np.ndarray) else v] for k, v in out.items()})
 
 
@@ -84,71 +94,119 @@ def document_frequencies(shards: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """The postings of a shard with their BM25 parts, and the largest part of each term in each block of documents."""
+    """The postings of a shard with their BM25 parts, by term and by document, and the largest part of each term, in all and by block."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
         lengths = np.frombuffer(row["lengths"], dtype="<i8")
         self.terms = np.frombuffer(row["terms"], dtype="<u8")
         self.ends = np.frombuffer(row["ends"], dtype="<i8")
+        self.starts = np.append(0, self.ends)[:-1]
         self.places = np.frombuffer(row["places"], dtype="<u4")
         times = np.frombuffer(row["times"], dtype="<u4").astype(np.float64)
         norm = K1 * (1 - B + B * lengths / max(mean, 1e-12))
         self.parts = times * (K1 + 1) / (times + norm[self.places])
         # runs of postings of one term in one block
         block = (self.places // BLOCK).astype(np.int64)
-        owner = np.repeat(np.arange(len(self.terms)), np.diff(self.ends, prepend=0))
+        owner = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.ends - self.starts)
         new = np.ones(len(block), dtype=bool)
         new[1:] = (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])
-        self.run_start = np.flatnonzero(new)
-        self.run_end = np.append(self.run_start[1:], len(block))
-        self.run_block = block[self.run_start]
-        self.run_most = np.maximum.reduceat(self.parts, self.run_start) if len(block) else self.parts
-        self.term_runs = np.searchsorted(owner[self.run_start], np.arange(len(self.terms) + 1)) if len(block) else np.zeros(1, dtype=int)
+        run_start = np.flatnonzero(new)
+        self.run_block = block[run_start]
+        self.run_most = np.maximum.reduceat(self.parts, run_start) if len(block) else self.parts
+        self.term_runs = np.searchsorted(owner[run_start], np.arange(len(self.terms) + 1)) if len(block) else np.zeros(1, dtype=int)
+        self.term_most = np.maximum.reduceat(self.parts, self.starts) if len(self.terms) else self.parts
         self.blocks = -(-len(self.ids) // BLOCK)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[list[tuple[int, float]], int]:
-        """The k best (id, score) by score, then id; and how many blocks were scored. Only documents with a term of the query."""
+        # the same postings by document, each document's by term
+        order = np.argsort(self.places, kind="stable")
+        self.doc_terms, self.doc_parts = owner[order], self.parts[order]
+        self.doc_ends = np.cumsum(np.bincount(self.places, minlength=len(self.ids)))
+        self.doc_starts = np.append(0, self.doc_ends)[:-1]
+        self._weights = np.zeros(len(self.terms))
+        self.read = 0
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = -math.inf) -> tuple[list[tuple[int, float]], int]:
+        """The k best (id, score) by score, then id, of those that score ``least`` or more; and in how many blocks documents
+        were scored. Only documents with a term of the query. ``read`` counts the postings of lists that were read."""
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
         known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), dtype=bool)
         at, weights = at[known], weights[known]
         if not len(at):
             return [], 0
-        runs, weight = spans(self.term_runs[at], self.term_runs[at + 1], weights)
-        block = self.run_block[runs]
-        bound = np.bincount(block, weight * self.run_most[runs], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        found: list[tuple[int, float]] = []
-        scored, size, least = 0, 4, -math.inf
-        while scored < len(order) and bound[order[scored]] >= least - 10.0**-DIGITS:
-            chosen = order[scored : scored + size]
-            chosen = chosen[bound[chosen] >= least - 10.0**-DIGITS]
-            found = self._best(found, chosen, runs, weight, block, k)
-            least = found[-1][1] if len(found) >= k else -math.inf
-            scored, size = scored + len(chosen), size * 4
-        return found, scored
-
-    def _best(self, found, chosen, runs, weight, block, k):
-        """The k best of those found and of the documents in the chosen blocks; parts are added in the order of the terms."""
-        mine = np.zeros(self.blocks, dtype=bool)
-        mine[chosen] = True
-        mine = mine[block]
-        postings, w = spans(self.run_start[runs[mine]], self.run_end[runs[mine]], weight[mine])
-        dense = np.cumsum(np.bincount(chosen, minlength=self.blocks)) - 1
-        place = self.places[postings].astype(np.int64)
-        local = dense[place // BLOCK] * BLOCK + place % BLOCK
-        scores = np.bincount(local, w * self.parts[postings], len(chosen) * BLOCK)
-        hit = np.flatnonzero(scores > 0)
-        values = np.round(scores[hit], DIGITS)
-        places = np.sort(chosen)[hit // BLOCK] * BLOCK + hit % BLOCK
-        if len(hit) > k:
-            least = np.partition(values, len(values) - k)[len(values) - k]
-            hit = values >= least
-            values, places = values[hit], places[hit]
-        pool = found + list(zip(self.ids[places].tolist(), values.tolist()))
-        return sorted(pool, key=lambda x: (-x[1], x[0] == NO_ID, x[0]))[:k]
+        most = weights * self.term_most[at]
+        falling = np.argsort(-most, kind="stable")
+        slack = 10.0**-DIGITS
+        if most.sum() < least - slack:
+            return [], 0
+        self._weights[at] = weights
+        try:
+            # the documents that have most of the heaviest lists give a first bound
+            sizes = np.cumsum((self.ends - self.starts)[at[falling]])
+            heavy = falling[: np.searchsorted(sizes, SEEDS * k) + 1]
+            docs, partial = self._sums(at[heavy], weights[heavy])
+            if len(docs) > SEEDS * k:
+                docs = docs[np.argpartition(-partial, SEEDS * k)[: SEEDS * k]]
+            found = self._best([], docs, k, least)
+            scored = [docs]
+            least = max(least, found[-1][1]) if len(found) >= k else least
+            # lists that reach the bound only with others are skipped as long as no pivot asks for them
+            rising = falling[::-1]
+            skipped = int(np.searchsorted(np.cumsum(most[rising]), least - slack)) if least > 0 else 0
+            light, heavy = rising[:skipped], np.sort(rising[skipped:])
+            pivots, partial = self._sums(at[heavy], weights[heavy])
+            bound = partial + most[light].sum()
+            may = bound >= least - slack
+            pivots, partial, bound = pivots[may], partial[may], bound[may]
+            if len(light) and len(pivots):
+                runs, weight = spans(self.term_runs[at[light]], self.term_runs[at[light] + 1], weights[light])
+                by_block = np.bincount(self.run_block[runs], weight * self.run_most[runs], self.blocks)
+                bound = np.minimum(bound, partial + by_block[pivots // BLOCK])
+            order = np.argsort(-bound, kind="stable")
+            pivots, bound = pivots[order], bound[order]
+            new = ~np.isin(pivots, docs)
+            pivots, bound = pivots[new], bound[new]
+            done, size = 0, 4 * k
+            while done < len(pivots) and bound[done] >= least - slack:
+                chosen = pivots[done : done + size][bound[done : done + size] >= least - slack]
+                found = self._best(found, chosen, k, least)
+                least = max(least, found[-1][1]) if len(found) >= k else least
+                scored.append(chosen)
+                done, size = done + len(chosen), size * 4
+        finally:
+            self._weights[at] = 0
+        return found, len(np.unique(np.concatenate(scored) // BLOCK))
+
+    def _sums(self, at: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The documents of some lists, ascending, with the sum of their weighted parts."""
+        postings, w = spans(self.starts[at], self.ends[at], weights)
+        self.read += len(postings)
+        places, values = self.places[postings].astype(np.int64), w * self.parts[postings]
+        if 16 * len(places) < len(self.ids):
+            docs, inverse = np.unique(places, return_inverse=True)
+            return docs, np.bincount(inverse, values, len(docs))
+        sums = np.bincount(places, values, len(self.ids))
+        docs = np.flatnonzero(sums)
+        return docs, sums[docs]
+
+    def _best(self, found, docs, k, least):
+        """The k best of those found and of some documents, which are scored; parts are added in the order of the terms."""
+        postings, owner = spans(self.doc_starts[docs], self.doc_ends[docs], np.arange(len(docs)))
+        w = self._weights[self.doc_terms[postings]]
+        mine = np.flatnonzero(w)
+        scores = np.bincount(owner[mine], w[mine] * self.doc_parts[postings[mine]], len(docs))
+        values = np.round(scores, DIGITS)
+        good = (scores > 0) & (values >= least)
+        values, docs = values[good], docs[good]
+        if len(docs) > k:
+            good = values >= np.partition(values, len(values) - k)[len(values) - k]
+            values, docs = values[good], docs[good]
+        return merged(found, list(zip(self.ids[docs].tolist(), values.tolist())), k)
+
+
+def merged(found: list[tuple[int, float]], more: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
+    """The k best (id, score) of two lists."""
+    return sorted(found + more, key=lambda x: (-x[1], x[0] == NO_ID, x[0]))[:k]
 
 
 def query_terms(queries: DataFrame, text: str = "text") -> DataFrame:
@@ -186,36 +244,72 @@ def top(docs: DataFrame, queries: DataFrame, k: int = 10, doc_id: str = "doc_id"
     asked = stage(asked.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms")), "queries")
     total = asked.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     portions = max(1, -(-total // PORTION_TERMS))
-    found = None
+    rounds = _rounds(shards)
+    best = None
     for part in range(portions):
-        mine = asked.where(F.pmod(F.xxhash64("query"), F.lit(portions)) == part).select("query", "terms.term", "terms.weight").toArrow()
-        names, term, weight = (mine[c].combine_chunks() for c in ("query", "term", "weight"))
-        ends = np.asarray(term.offsets) if len(term) else np.zeros(1, dtype=int)
-        keys, weights = np.asarray(term.flatten()).astype(np.uint64), np.asarray(weight.flatten())
-        sent = [(q.as_py(), keys[a:b], weights[a:b]) for q, a, b in zip(names, ends[:-1], ends[1:])]
-        some = _searched(shards, spark.sparkContext.broadcast(sorted(sent, key=lambda x: x[0])), mean, k)
-        found = some if found is None else found.unionByName(some)
-    order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
-    best = stage(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
+        mine = asked.where(F.pmod(F.xxhash64("query"), F.lit(portions)) == part)
+        some = _portion(shards, rounds, mine, mean, k)
+        best = some if best is None else best.unionByName(some)
+    unstage(shards)
     small_batches(spark)
     ids = queries.select(F.col(query_id).alias("query_id"), F.md5(F.col(text).cast("binary")).alias("query"))
     return ids.join(best, "query").select("query_id", "rank", "doc_id", "score")
 
 
-def _searched(shards: DataFrame, sent, mean: float, k: int) -> DataFrame:
+def _rounds(shards: DataFrame) -> list[list[int]]:
+    """Levels of shards for each round: the sparse ones first, together until they have a few shards, then each of its own."""
+    sizes = sorted(((r["level"], r["count"]) for r in shards.groupBy("level").count().collect()), reverse=True)  # LEVELS + 1 rows at most
+    first, have = [], 0
+    while sizes and have < FIRST_SHARDS:
+        level, count = sizes.pop(0)
+        first, have = [*first, level], have + count
+    return [first, *[[level] for level, _ in sizes]]
+
+
+def _portion(shards: DataFrame, rounds: list[list[int]], asked: DataFrame, mean: float, k: int) -> DataFrame:
+    """``query, doc_id, score, rank`` of a portion of the queries, staged. What is sent to the tasks is released at the end."""
+    context = shards.sparkSession.sparkContext
+    mine = asked.select("query", "terms.term", "terms.weight").toArrow()
+    names, term, weight = (mine[c].combine_chunks() for c in ("query", "term", "weight"))
+    ends = np.asarray(term.offsets) if len(term) else np.zeros(1, dtype=int)
+    keys, weights = np.asarray(term.flatten()).astype(np.uint64), np.asarray(weight.flatten())
+    sent = context.broadcast(sorted(((q.as_py(), keys[a:b], weights[a:b]) for q, a, b in zip(names, ends[:-1], ends[1:])), key=lambda x: x[0]))
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
+    best = None
+    for levels in rounds:
+        known = {}
+        if best is not None:
+            known = {r["query"]: r["score"] for r in best.where(F.col("rank") == k).select("query", "score").collect()}  # a row for each query of the portion
+        least = context.broadcast(known)
+        found = _searched(shards.where(F.col("level").isin(levels)), sent, least, mean, k)
+        found = found if best is None else found.unionByName(best.drop("rank"))
+        old, best = best, stage(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
+        unstage(old)
+        least.destroy()
+    sent.destroy()
+    return best
+
+
+def _searched(shards: DataFrame, sent, least, mean: float, k: int) -> DataFrame:
     def search(batches):
+        best: list[list] = [[] for _ in sent.value]
         for pdf in batches:
             for row in pdf.to_dict("records"):
-                shard, out = Shard(row, mean), []
-                for query, terms, weights in sent.value:
-                    found, _ = shard.search(terms, weights, k)
-                    out += [(query, None if ident == NO_ID else ident, score) for ident, score in found]
-                frame = pd.DataFrame(out, columns=["query", "doc_id", "score"])
-                yield frame.astype({"query": object, "doc_id": "Int64", "score": float})
+                shard = Shard(row, mean)
+                for i, (query, terms, weights) in enumerate(sent.value):
+                    bound = best[i][-1][1] if len(best[i]) >= k else -math.inf
+                    found, _ = shard.search(terms, weights, k, max(bound, least.value.get(query, -math.inf)))
+                    if found:
+                        best[i] = merged(best[i], found, k)
+        for first in range(0, len(best), 4096):
+            some = zip(sent.value[first : first + 4096], best[first : first + 4096])
+            out = [(query, None if ident == NO_ID else ident, score) for (query, _, _), found in some for ident, score in found]
+            frame = pd.DataFrame(out, columns=["query", "doc_id", "score"])
+            yield frame.astype({"query": object, "doc_id": "Int64", "score": float})
 
     # a shard is a large row: they go to Python one by one
     shards.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    return shards.mapInPandas(search, "query string, doc_id long, score double")
+    return shards.drop("level").mapInPandas(search, "query string, doc_id long, score double")
 
 
 #: DuckDB SQL of the query.

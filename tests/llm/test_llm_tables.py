@@ -326,6 +326,29 @@ def test_search_prunes_and_stays_exact():
     assert blocks < 60 * shard.blocks
 
 
+def test_search_with_a_bound_skips_lists():
+    random = np.random.default_rng(9)
+    held = []
+    for i in range(2000):
+        terms, times = np.unique(random.zipf(1.4, 60).astype(np.uint64) % np.uint64(2000), return_counts=True)
+        held.append((i, terms, times, 60))
+    shard = search.Shard(search._shard(held).iloc[0].to_dict(), 60.0)
+    lists = dict(zip(shard.terms.tolist(), (shard.ends - shard.starts).tolist()))
+    whole = bounded = 0
+    for _ in range(40):
+        terms = np.unique(random.choice(shard.terms, 12))
+        terms = np.unique(np.append(terms, np.uint64(1)))  # the most frequent one
+        weights = np.array([math.log(1 + 2000 / lists[t]) for t in terms.tolist()])
+        best, _ = shard.search(terms, weights, 10)
+        before = shard.read
+        again, _ = shard.search(terms, weights, 10, best[-1][1])
+        bounded += shard.read - before
+        whole += sum(lists[t] for t in terms.tolist())
+        assert again == best
+        assert shard.search(terms, weights, 10, best[0][1] + 1)[0] == []
+    assert bounded < 0.5 * whole
+
+
 def test_search_of_odd_rows(odd, none, monkeypatch):
     found = search.top(odd, odd, k=3)
     by = defaultdict(list)
