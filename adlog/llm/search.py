@@ -2,9 +2,9 @@
 
 Every shard is a row of a Parquet table: the postings of its documents by term, in document order. With a lower bound of the
 k-th best score, a query's lists fall in two: those whose list-wide bounds together stay below it, and the rest. As in WAND, only a document of
-the rest can be a pivot; the other lists are skipped. A pivot is scored only if what it has in the rest and the block maxima of the
-other lists reach the bound, and best bounds first, so that the bound rises. Pivots are arrays in document order, not one cursor step at a time, which would be a
-Python loop.
+the rest can be a pivot. What a pivot has in the rest and the block maxima of the other lists must reach the bound; these lists are
+read in the blocks of such pivots alone and skipped elsewhere. Pivots are arrays in document order, not one cursor step at a time,
+which would be a Python loop.
 
 The bound is shared: shards are searched in rounds, each some four times the one before, and a round starts from the k-th best
 score of all earlier ones. Tasks merge their shards before rows go out. Frequencies, the number of documents and the mean length
@@ -26,14 +26,14 @@ from adlog.llm.common import WordHashes, hashed, small_batches, spans, stage, un
 
 K1, B = 1.2, 0.75
 BLOCK = 64
-#: A task closes a shard at so many words.
-SHARD_WORDS = 4_000_000
+#: A task closes a shard at so many words or documents.
+SHARD_WORDS, SHARD_DOCS = 4_000_000, 65_536
 #: Terms of the queries that are sent to the tasks at once, about; each portion is a pass over the index.
 PORTION_TERMS = 1_000_000
 #: Shards have levels by a hash, each about a quarter as large as the one below; the first round has this many shards or more.
 LEVELS, FIRST_SHARDS = 12, 2
-#: A shard's own first bound comes from this many times k documents.
-SEEDS = 4
+#: Without a bound, one comes from the heaviest lists with this share of a query's postings.
+SEEN = 0.25
 #: Scores count to this many digits; documents of equal scores are ordered by id, NULL last.
 DIGITS = 6
 NO_ID = np.iinfo(np.int64).min
@@ -55,7 +55,7 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                 unique, times = np.unique(terms, return_counts=True)
                 held.append((NO_ID if pd.isna(ident) else int(ident), unique, times, len(terms)))
                 words += len(terms)
-                if words >= SHARD_WORDS:
+                if words >= SHARD_WORDS or len(held) >= SHARD_DOCS:
                     yield _shard(held)
                     held, words = [], 0
         if held:
@@ -94,7 +94,7 @@ def document_frequencies(shards: DataFrame) -> DataFrame:
 
 
 class Shard:
-    """The postings of a shard with their BM25 parts, by term and by document, and the largest part of each term, in all and by block."""
+    """The postings of a shard with their BM25 parts, and the largest part of each term, in all and by block."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
@@ -117,17 +117,12 @@ class Shard:
         self.term_runs = np.searchsorted(owner[run_start], np.arange(len(self.terms) + 1)) if len(block) else np.zeros(1, dtype=int)
         self.term_most = np.maximum.reduceat(self.parts, self.starts) if len(self.terms) else self.parts
         self.blocks = -(-len(self.ids) // BLOCK)
-        # the same postings by document, each document's by term
-        order = np.argsort(self.places, kind="stable")
-        self.doc_terms, self.doc_parts = owner[order], self.parts[order]
-        self.doc_ends = np.cumsum(np.bincount(self.places, minlength=len(self.ids)))
-        self.doc_starts = np.append(0, self.doc_ends)[:-1]
-        self._weights = np.zeros(len(self.terms))
+        self.run_start, self.run_end = run_start, np.append(run_start[1:], len(block))
         self.read = 0
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = -math.inf) -> tuple[list[tuple[int, float]], int]:
         """The k best (id, score) by score, then id, of those that score ``least`` or more; and in how many blocks documents
-        were scored. Only documents with a term of the query. ``read`` counts the postings of lists that were read."""
+        were scored. Only documents with a term of the query. ``read`` counts the postings that were read."""
         at = np.searchsorted(self.terms, terms)
         at[at == len(self.terms)] = 0
         known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), dtype=bool)
@@ -135,73 +130,59 @@ class Shard:
         if not len(at):
             return [], 0
         most = weights * self.term_most[at]
-        falling = np.argsort(-most, kind="stable")
         slack = 10.0**-DIGITS
         if most.sum() < least - slack:
             return [], 0
-        self._weights[at] = weights
-        try:
-            # the documents that have most of the heaviest lists give a first bound
-            sizes = np.cumsum((self.ends - self.starts)[at[falling]])
-            heavy = falling[: np.searchsorted(sizes, SEEDS * k) + 1]
-            docs, partial = self._sums(at[heavy], weights[heavy])
-            if len(docs) > SEEDS * k:
-                docs = docs[np.argpartition(-partial, SEEDS * k)[: SEEDS * k]]
-            found = self._best([], docs, k, least)
-            scored = [docs]
-            least = max(least, found[-1][1]) if len(found) >= k else least
-            # lists that reach the bound only with others are skipped as long as no pivot asks for them
-            rising = falling[::-1]
-            skipped = int(np.searchsorted(np.cumsum(most[rising]), least - slack)) if least > 0 else 0
-            light, heavy = rising[:skipped], np.sort(rising[skipped:])
-            pivots, partial = self._sums(at[heavy], weights[heavy])
-            bound = partial + most[light].sum()
-            may = bound >= least - slack
-            pivots, partial, bound = pivots[may], partial[may], bound[may]
-            if len(light) and len(pivots):
-                runs, weight = spans(self.term_runs[at[light]], self.term_runs[at[light] + 1], weights[light])
-                by_block = np.bincount(self.run_block[runs], weight * self.run_most[runs], self.blocks)
-                bound = np.minimum(bound, partial + by_block[pivots // BLOCK])
-            order = np.argsort(-bound, kind="stable")
-            pivots, bound = pivots[order], bound[order]
-            new = ~np.isin(pivots, docs)
-            pivots, bound = pivots[new], bound[new]
-            done, size = 0, 4 * k
-            while done < len(pivots) and bound[done] >= least - slack:
-                chosen = pivots[done : done + size][bound[done : done + size] >= least - slack]
-                found = self._best(found, chosen, k, least)
-                least = max(least, found[-1][1]) if len(found) >= k else least
-                scored.append(chosen)
-                done, size = done + len(chosen), size * 4
-        finally:
-            self._weights[at] = 0
-        return found, len(np.unique(np.concatenate(scored) // BLOCK))
-
-    def _sums(self, at: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The documents of some lists, ascending, with the sum of their weighted parts."""
+        rising = np.argsort(most, kind="stable")
+        at, weights, most = at[rising], weights[rising], most[rising]
+        below = np.cumsum(most)
+        sums, unread = np.zeros(len(self.ids)), len(at)
+        if least < 0:
+            # what documents have of the heaviest lists gives a first bound
+            later = np.cumsum((self.ends - self.starts)[at][::-1])[::-1]
+            unread = int(np.searchsorted(-later, -SEEN * later[0]))
+            sums += self._sums(at[unread:], weights[unread:])
+            least = max(least, self._least(sums, k))
+        # lists that reach the bound only with others are skipped as long as no pivot asks for them
+        light = min(unread, int(np.searchsorted(below, least - slack)))
+        if light < unread:
+            sums += self._sums(at[light:unread], weights[light:unread])
+        least = max(least, self._least(sums, k))
+        rest = below[light - 1] if light else 0.0
+        pivots = np.flatnonzero((sums > 0) & (sums + rest >= least - slack))
+        blocks = np.zeros(self.blocks, dtype=bool)
+        if light and len(pivots):
+            runs, weight = spans(self.term_runs[at[:light]], self.term_runs[at[:light] + 1], weights[:light])
+            block = self.run_block[runs]
+            others = np.bincount(block, weight * self.run_most[runs], self.blocks)
+            pivots = pivots[sums[pivots] + others[pivots // BLOCK] >= least - slack]
+            blocks[pivots // BLOCK] = True
+            mine = blocks[block]
+            postings, w = spans(self.run_start[runs[mine]], self.run_end[runs[mine]], weight[mine])
+            self.read += len(postings)
+            sums += np.bincount(self.places[postings], w * self.parts[postings], len(sums))
+        blocks[pivots // BLOCK] = True
+        values = np.round(sums[pivots], DIGITS)
+        good = values >= least - slack
+        values, pivots = values[good], pivots[good]
+        if len(pivots) > k:
+            good = values >= np.partition(values, len(values) - k)[len(values) - k]
+            values, pivots = values[good], pivots[good]
+        return merged([], list(zip(self.ids[pivots].tolist(), values.tolist())), k), int(blocks.sum())
+
+    def _sums(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What every document has of some whole lists."""
         postings, w = spans(self.starts[at], self.ends[at], weights)
         self.read += len(postings)
-        places, values = self.places[postings].astype(np.int64), w * self.parts[postings]
-        if 16 * len(places) < len(self.ids):
-            docs, inverse = np.unique(places, return_inverse=True)
-            return docs, np.bincount(inverse, values, len(docs))
-        sums = np.bincount(places, values, len(self.ids))
-        docs = np.flatnonzero(sums)
-        return docs, sums[docs]
-
-    def _best(self, found, docs, k, least):
-        """The k best of those found and of some documents, which are scored; parts are added in the order of the terms."""
-        postings, owner = spans(self.doc_starts[docs], self.doc_ends[docs], np.arange(len(docs)))
-        w = self._weights[self.doc_terms[postings]]
-        mine = np.flatnonzero(w)
-        scores = np.bincount(owner[mine], w[mine] * self.doc_parts[postings[mine]], len(docs))
-        values = np.round(scores, DIGITS)
-        good = (scores > 0) & (values >= least)
-        values, docs = values[good], docs[good]
-        if len(docs) > k:
-            good = values >= np.partition(values, len(values) - k)[len(values) - k]
-            values, docs = values[good], docs[good]
-        return merged(found, list(zip(self.ids[docs].tolist(), values.tolist())), k)
+        return np.bincount(self.places[postings], w * self.parts[postings], len(self.ids))
+
+    @staticmethod
+    def _least(sums: np.ndarray, k: int) -> float:
+        """A lower bound of the k-th best score, from parts of the scores."""
+        if len(sums) < k:
+            return -math.inf
+        least = float(np.partition(sums, len(sums) - k)[len(sums) - k])
+        return least if least > 0 else -math.inf
 
 
 def merged(found: list[tuple[int, float]], more: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
