@@ -150,17 +150,25 @@ class Shard:
         least = max(least, self._least(sums, k))
         rest = below[light - 1] if light else 0.0
         pivots = np.flatnonzero((sums > 0) & (sums + rest >= least - slack))
-        blocks = np.zeros(self.blocks, dtype=bool)
-        if light and len(pivots):
+        while light and len(pivots):
             runs, weight = spans(self.term_runs[at[:light]], self.term_runs[at[:light] + 1], weights[:light])
             block = self.run_block[runs]
             others = np.bincount(block, weight * self.run_most[runs], self.blocks)
             pivots = pivots[sums[pivots] + others[pivots // BLOCK] >= least - slack]
+            blocks = np.zeros(self.blocks, dtype=bool)
             blocks[pivots // BLOCK] = True
+            # the heavier ones first, so that fewer blocks are left for the long lists of frequent terms
+            left = light // 16 if light >= 16 else light // 2
+            done = np.sum(self.term_runs[at[:left] + 1] - self.term_runs[at[:left]])
             mine = blocks[block]
+            mine[:done] = False
             postings, w = spans(self.run_start[runs[mine]], self.run_end[runs[mine]], weight[mine])
             self.read += len(postings)
             sums += np.bincount(self.places[postings], w * self.parts[postings], len(sums))
+            light = left
+            if len(pivots) >= k:
+                least = max(least, self._least(sums[pivots], k))
+        blocks = np.zeros(self.blocks, dtype=bool)
         blocks[pivots // BLOCK] = True
         values = np.round(sums[pivots], DIGITS)
         good = values >= least - slack
