@@ -1,8 +1,14 @@
 """Fuzzy line deduplication: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence of each group.
 
 Everything is DataFrame operations. Lines are compared in normal form: lower-case runs of letters and digits, joined by
-blanks; lines without any are left alone. Equal normal forms are one node from the start. Two nodes are linked if their
-SimHashes over words are at most three bits apart and their normal forms have an edit similarity of 0.8 or more.
+blanks; lines without any are left alone. Equal normal forms are one node from the start. Two nodes are linked if they meet as
+candidates and their normal forms have an edit similarity of 0.8 or more. Candidates meet in two families of pigeonhole blocks:
+
+* bits: the SimHashes over words are at most three bits apart. Good for lines of some hundred words; in shorter ones a
+  changed word turns more bits.
+* words: the words of a line are dealt into classes by their hashes. A changed word spoils two classes at most, one left out or
+  added only one. A class of enough words is a block by itself, of eight classes or else of four; smaller ones are blocks
+  in pairs. Lines that agree in a block are candidates if their SimHashes are within a wide radius.
 
 Long lines of one language may be within three bits for their frequent words alone, and such pairs grow with the square of the lines.
 So every line has a second SimHash, over pairs of neighbouring words, in which lines without common passages are some 32 bits apart:
@@ -22,6 +28,13 @@ from adlog.llm.common import connected, free_name, stage, unstage
 BITS, RADIUS = 64, 3
 #: Most bits apart of the SimHashes over pairs of words. Lines of which a fifth of the words differ are about 19 apart.
 PAIR_RADIUS = 26
+#: Classes of words; each joins the one half of them further to one of half as many.
+CLASSES = 8
+#: Words of a class that is a block by itself; the part of a line's words, and the least number, that make a block of two classes.
+ALONE, COVERED, LEAST_WORDS = 6, 0.25, 2
+#: Most bits apart of the SimHashes over words of lines that agree in a block of words: one word of eight turns about 9 bits,
+#: a fifth of the words about 13, and lines that share half of their words are 21 apart.
+WORD_RADIUS = 20
 SIMILARITY = 0.8
 #: Lines of fewer words have counts of 15 bits at most, so that a number holds four.
 SHORT = 1 << 15
@@ -79,7 +92,8 @@ def _key(line: Column) -> Column:
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """key, size, print, pairs: length and SimHashes, over words and over pairs of them, of every different line, of rows ``key, line, row`` (a number of its own for each).
+    """key, size, print, pairs, blocks: length, SimHashes over words and over pairs of them, and blocks of words, of every
+    different line, of rows ``key, line, row`` (a number of its own for each).
 
     A bit is set where more than half of the words' hashes have it. Counts share numbers, so that few sums in generated code give
     all 64: four counts of 16 bits where a line has fewer words than that, each line by itself; two of 32 bits for longer
@@ -97,24 +111,44 @@ def _prints(lines: DataFrame, lanes: int) -> DataFrame:
     split = F.split("line", " ")
     words = lines.select("key", "group", F.length("line").alias("size"), split.alias("words"))
     after = F.concat(F.slice("words", 2, F.size("words")), F.array(F.lit("")))
-    words = words.select("key", "group", "size", F.explode(F.arrays_zip("words", after.alias("after"))).alias("word"))
-    words = words.select("key", "group", "size", F.xxhash64("word.words").alias("h"), F.xxhash64("word.words", "word.after").alias("g"))
+    words = words.select("key", "group", "size", F.size("words").alias("long"), F.explode(F.arrays_zip("words", after.alias("after"))).alias("word"))
+    words = words.select("key", "group", "size", "long", F.xxhash64("word.words").alias("h"), F.xxhash64("word.words", "word.after").alias("g"))
     sums = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(ones))).alias(f"{h}{j}") for h in "hg" for j in range(width)]
-    counts = words.groupBy("key", "group").agg(F.max("size").alias("size"), F.count("*").alias("n"), *sums)
+    # 24 bits of each word; the words of a short line, below 2^15, are counted above bit 40 of the same sum
+    one = F.shiftrightunsigned("h", 40) + F.lit(1 << 40 if lanes == 4 else 0)
+    sums += [F.sum(F.when(F.pmod("h", F.lit(CLASSES)) == c, one).otherwise(F.lit(0))).alias(f"c{c}") for c in range(CLASSES)]
+    counts = words.groupBy("key", "group").agg(F.max("size").alias("size"), F.max("long").alias("long"), F.count("*").alias("n"), *sums)
 
     def majority(h: str) -> Column:
         count = lambda j, i: F.shiftrightunsigned(f"{h}{j}", i * width).bitwiseAND(F.lit((1 << width) - 1))
         bits = [F.when(2 * count(j, i) > F.col("n"), F.lit(_mask([j + i * width]))).otherwise(F.lit(0)) for i in range(lanes) for j in range(width)]
         return reduce(lambda a, b: a.bitwiseOR(b), [bit.cast("long") for bit in bits])
 
-    return counts.select("key", "size", majority("h").alias("print"), majority("g").alias("pairs"))
-
-
-def _near(a: str, b: str) -> Column:
-    """Prints within their radius, of lines of which neither is too long for the similarity."""
+    if lanes == 4:
+        held = [F.shiftrightunsigned(f"c{c}", 40) for c in range(CLASSES)]
+        value = [F.col(f"c{c}").bitwiseAND(F.lit((1 << 40) - 1)) for c in range(CLASSES)]
+    else:  # equal lines of a group count as one; no class of so many words is small
+        held = [F.lit(SHORT)] * CLASSES
+        value = [F.expr(f"c{c} div (n div long)") for c in range(CLASSES)]
+    half = CLASSES // 2
+    both = [(held[c] + held[c + half], value[c] + value[c + half]) for c in range(half)]
+    block = lambda *of: F.xxhash64(F.lit("words"), *of)
+    blocks = [F.when(held[c] >= ALONE, block(F.lit(c), value[c])) for c in range(CLASSES)]
+    # what a block above already says is left out: lines that agree here agree there
+    apart = [(held[c] < ALONE) & (held[c + half] < ALONE) for c in range(half)]
+    blocks += [F.when(apart[c] & (both[c][0] >= ALONE), block(F.lit(CLASSES + c), both[c][1])) for c in range(half)]
+    enough = F.greatest(F.lit(LEAST_WORDS), F.ceil(COVERED * F.col("long")))
+    for a, b in combinations(range(half), 2):
+        small = (both[a][0] < ALONE) & (both[b][0] < ALONE) & (both[a][0] + both[b][0] >= enough)
+        blocks.append(F.when(small, block(F.lit(CLASSES + half + len(blocks)), both[a][1], both[b][1])))
+    return counts.select("key", "size", majority("h").alias("print"), majority("g").alias("pairs"), F.array_compact(F.array(*blocks)).alias("blocks"))
+
+
+def _near(a: str, b: str, radius: Column) -> Column:
+    """Prints within a radius, of lines of which neither is too long for the similarity."""
     sizes = F.least(f"s{a}", f"s{b}") >= (SIMILARITY - 1e-9) * F.greatest(f"s{a}", f"s{b}")
     apart = lambda c: F.bit_count(F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}")))
-    return (apart("p") <= RADIUS) & (apart("q") <= PAIR_RADIUS) & sizes
+    return (apart("p") <= radius) & (apart("q") <= PAIR_RADIUS) & sizes
 
 
 def edit_similar(a: str, b: str) -> Column:
@@ -157,16 +191,17 @@ def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
 
 
 def linked(prints: DataFrame, texts) -> DataFrame:
-    """``node, root`` of all lines that have a partner, of the table ``key, size, print, pairs``.
+    """``node, root`` of all lines that have a partner, of the table ``key, size, print, pairs, blocks``.
 
-    In rounds, lines that agree in all but one block of four are compared with one of them, one comparison for each line and
-    bucket: that joins the many close variants of a line. A round takes buckets that still hold several groups; there is another one
-    while one joins anything, up to a few. Then pairs of different groups that agree in enough blocks and are within the radius are compared.
-    No bucket is capped, and all steps together find every pair within the radius that is not in one group already.
+    In rounds, lines that agree in all but one block of four of the print, or in a block of words, are compared with one of them, one
+    comparison for each line and bucket: that joins the many close variants of a line. A round takes buckets that still hold several
+    groups; there is another one while one joins anything, up to a few. Then pairs of different groups that agree in enough blocks of
+    the print, or in a block of words, and are within the radius of these are compared. No bucket is capped, and all steps together
+    find every pair of both families that is not in one group already.
     """
     # Joins work on numbers: a line's key stands behind a hash of it and is looked up for the pairs that are found. Keys that
     # share a hash would only add pairs, which are verified like all others.
-    prints = stage(prints.select("key", "size", "print", "pairs", F.xxhash64("key").alias("kid")), "prints")
+    prints = stage(prints.select("key", "size", "print", "pairs", "blocks", F.xxhash64("key").alias("kid")), "prints")
     n = prints.count()
 
     def keys_of(pairs: DataFrame) -> DataFrame:
@@ -192,7 +227,9 @@ def linked(prints: DataFrame, texts) -> DataFrame:
 
     parts = _blocks(4)
     rest = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(~_mask(parts[i])))) for i in range(4)]
-    dense = prints.select("kid", "size", "print", "pairs", F.explode(F.array(*rest)).alias("bucket"))
+    dense = prints.select("kid", "size", "print", "pairs", F.posexplode(F.concat(F.array(*rest), "blocks")).alias("place", "bucket"))
+    dense = dense.withColumn("by_words", F.col("place") >= len(rest)).drop("place")
+    radius = F.when(F.col("by_words"), WORD_RADIUS).otherwise(RADIUS)
     several = dense.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     dense = stage(dense.join(several, "bucket", "left_semi"), "dense")
     links, found = None, None
@@ -200,7 +237,7 @@ def linked(prints: DataFrame, texts) -> DataFrame:
         now = rooted(dense, found)
         best = F.min(F.struct("kid", "print", "pairs", "size", "rid"))
         hubs = now.groupBy("bucket").agg(best.alias("hub"), F.min("rid").alias("low"), F.max("rid").alias("high")).where("low < high").select("bucket", "hub.*")
-        stars = _side(now, "b", "bucket").join(_side(hubs, "a", "bucket"), "bucket").where(_near("a", "b") & (F.col("ra") != F.col("rb")))
+        stars = _side(now, "b", "bucket", "by_words").join(_side(hubs, "a", "bucket"), "bucket").where(_near("a", "b", radius) & (F.col("ra") != F.col("rb")))
         # a group needs one link to another
         one = stars.groupBy("ra", "rb").agg(F.min(F.struct("ka", "kb")).alias("pair")).select("pair.*")
         pairs = keys_of(one)
@@ -210,14 +247,19 @@ def linked(prints: DataFrame, texts) -> DataFrame:
         links = more if links is None else links.union(more)
         found, old = connected(links), found
         unstage(old)
-    unstage(dense)
 
     blocks, equal = (4, 1) if n <= FEW_LINES else (5, 2) if n <= MANY_LINES else (6, 3)
     choose = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, equal))]
-    keyed = rooted(prints.select("kid", "size", "print", "pairs"), found).withColumn("block", F.explode(F.array(*choose)))
-    one, other = _side(keyed, "a", "block"), _side(keyed, "b", "block").withColumnRenamed("block", "of")
-    close = _near("a", "b") & (F.col("ka") < F.col("kb")) & (F.col("ra") != F.col("rb"))
-    pairs = keys_of(one.join(other, (F.col("block") == F.col("of")) & close).select("ka", "kb"))
+    by_bits = prints.select("kid", "size", "print", "pairs").withColumn("block", F.explode(F.array(*choose)))
+    by_words = dense.where("by_words").select("kid", "size", "print", "pairs", F.col("bucket").alias("block"))
+    met = []
+    for rows, most in ((by_bits, RADIUS), (by_words, WORD_RADIUS)):
+        keyed = rooted(rows, found)
+        one, other = _side(keyed, "a", "block"), _side(keyed, "b", "block").withColumnRenamed("block", "of")
+        close = _near("a", "b", F.lit(most)) & (F.col("ka") < F.col("kb")) & (F.col("ra") != F.col("rb"))
+        met.append(one.join(other, (F.col("block") == F.col("of")) & close).select("ka", "kb"))
+    pairs = keys_of(met[0].union(met[1]))
+    unstage(dense)
     more = _verified(pairs, texts)
     unstage(prints)
     return connected(more if links is None else links.union(more))

@@ -4,6 +4,7 @@ import ctypes
 import json
 import math
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -156,6 +157,23 @@ def plain_prints(key):
     return tuple(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) for hashes in (first, both))
 
 
+def plain_blocks(line):
+    """Blocks of words of a line, as bags of words: classes of eight, of four, and pairs of these."""
+    words = line.split(" ")
+    bags = defaultdict(Counter)
+    for word in words:
+        h = ctypes.c_int64(xxhash.xxh64_intdigest(word.encode(), seed=42)).value
+        for classes in (8, 4):
+            bags[classes, h % classes][word] += 1
+    large = {at for at, bag in bags.items() if bag.total() >= lines.ALONE}
+    found = {(at, frozenset(bags[at].items())) for at in large}
+    for a, b in combinations(range(4), 2):
+        bag = bags[4, a] + bags[4, b]
+        if not {(4, a), (4, b)} & large and bag.total() >= max(lines.LEAST_WORDS, lines.COVERED * len(words)):
+            found.add(((a, b), frozenset(bag.items())))
+    return found
+
+
 def plain_removed(documents):
     seen = defaultdict(list)
     for doc, text in documents:
@@ -165,11 +183,12 @@ def plain_removed(documents):
                 if normal(line):
                     seen[normal(line)].append((doc is None, doc or 0, key, place))
     keys, con = list(seen), duckdb.connect()
-    prints = [plain_prints(key) for key in keys]
+    prints, blocks = [plain_prints(key) for key in keys], [plain_blocks(key) for key in keys]
     sets = Sets(len(keys))
     for a in range(len(keys)):
         for b in range(a):
-            if (prints[a][0] ^ prints[b][0]).bit_count() <= 3 and (prints[a][1] ^ prints[b][1]).bit_count() <= lines.PAIR_RADIUS:
+            apart, pairs = ((x ^ y).bit_count() for x, y in zip(prints[a], prints[b]))
+            if apart <= (lines.WORD_RADIUS if blocks[a] & blocks[b] else 3) and pairs <= lines.PAIR_RADIUS:
                 most = max(len(keys[a]), len(keys[b]))
                 if con.execute("SELECT levenshtein(?, ?)", [keys[a], keys[b]]).fetchone()[0] <= 0.2 * most + 1e-9:
                     sets.join(a, b)
@@ -195,6 +214,28 @@ def test_removed_lines_are_those_of_all_pairs(spark, documents):
     assert sum(map(len, want.values())) > 30
 
 
+def test_recall_of_similar_lines(spark, documents):
+    """Of pairs of lines that are similar by edit distance alone, by their length and by the words that differ."""
+    random = np.random.default_rng(4)
+    words = [w for r in documents.select("text").where("text is not null").collect() for w in normal(r["text"]).split(" ") if w]
+    texts, of = [], []
+    for n, changed in ((8, 1), (12, 1), (20, 1), (30, 1), (50, 1), (120, 1), (50, 2), (120, 3)):
+        for _ in range(100):
+            at = int(random.integers(len(words) - n))
+            line = words[at : at + n]
+            other = list(line)
+            for i in random.choice(n, changed, replace=False):
+                other[i] = f"changed{len(of)}"[-max(1, len(line[i])) :]
+            texts += [(2 * len(of), " ".join(line)), (2 * len(of) + 1, " ".join(other))]
+            of.append((n, changed))
+    con = duckdb.connect()
+    similar = [con.execute("SELECT levenshtein(?, ?)", [a, b]).fetchone()[0] <= 0.2 * max(len(a), len(b)) for (_, a), (_, b) in zip(texts[::2], texts[1::2])]
+    gone = {r["doc_id"] for r in lines.removed(spark.createDataFrame(texts, "doc_id long, text string")).where("size(removed) > 0").collect()}
+    for kind in set(of):
+        wanted = [i for i in range(len(of)) if of[i] == kind and similar[i]]
+        assert len(wanted) > 50 and np.mean([2 * i + 1 in gone for i in wanted]) >= 0.9, kind
+
+
 def test_masks_agree_within_the_radius():
     random = np.random.default_rng(0)
     for blocks, equal in ((4, 1), (5, 2), (6, 3)):
