@@ -227,11 +227,14 @@ def linked(prints: DataFrame, texts) -> DataFrame:
 
     parts = _blocks(4)
     rest = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(~_mask(parts[i])))) for i in range(4)]
-    dense = prints.select("kid", "size", "print", "pairs", F.posexplode(F.concat(F.array(*rest), "blocks")).alias("place", "bucket"))
-    dense = dense.withColumn("by_words", F.col("place") >= len(rest)).drop("place")
+    # most buckets hold one line: they are told from the others by narrow rows, and few rows get their prints
+    buckets = prints.select("kid", F.posexplode(F.concat(F.array(*rest), "blocks")).alias("place", "bucket"))
+    buckets = buckets.select("kid", "bucket", (F.col("place") >= len(rest)).alias("by_words"))
+    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = stage(buckets.join(several, "bucket", "left_semi"), "shared")
+    dense = stage(shared.join(prints.select("kid", "size", "print", "pairs"), "kid"), "dense")
+    unstage(shared)
     radius = F.when(F.col("by_words"), WORD_RADIUS).otherwise(RADIUS)
-    several = dense.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    dense = stage(dense.join(several, "bucket", "left_semi"), "dense")
     links, found = None, None
     for _ in range(ROUNDS):
         now = rooted(dense, found)
