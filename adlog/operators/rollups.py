@@ -2,7 +2,9 @@
 
 Sums add up from a fine grain to a coarser one; counts of different users don't. Here a set of users is a bitmap, and
 bitmaps do: the users of a month are the union of those of its weeks. Users get numbers in the order of where they occur, so that the users of
-one keyword and campaign are neighbours and share few bitmaps of 32,768 numbers (4 KB) each.
+one keyword and campaign are neighbours and share few bitmaps of 32,768 numbers each. A bitmap holds only the 64-bit words that are not 0:
+one user of a cell takes 16 bytes, all of a block 8 KB. Words are merged by ``bit_or``, which a hash aggregate holds as a number;
+Spark's own bitmap aggregates take 4 KB for any set and sort their rows.
 
 The log is read once, for :func:`cells`: sums and bitmaps at the finest grain, which are staged. Every grain is then a union and
 a sum of cells, all of them in one pass of grouping sets.
@@ -22,6 +24,8 @@ from adlog.sources.sinks import materialize
 
 LabelledStage = Callable[[DataFrame, str], DataFrame]
 USERS, BLOCK, NUMBER, GRAIN = "users", "user_block", "user_number", "grain"
+WORD, BITS = "user_word", "user_bits"
+WORD_SHIFT, BLOCK_SHIFT = 6, 15  # numbers of a word, and of a block, as powers of two
 Grains = Mapping[str, Sequence[str]]
 
 
@@ -65,6 +69,8 @@ def cells(
 ) -> DataFrame:
     """``keys``, a block of users and their bitmap (NULL for rows without a user), and the sums of ``parts``, staged.
 
+    A bitmap is an array of words, each with its number and its bits.
+
     The log is read once. Cells of several logs can be put together if they share their ``numbers``, which must then hold all
     users of each; by default they are made here.
     """
@@ -77,32 +83,40 @@ def cells(
         numbers = stage(user_numbers(per_user, keys), "user-numbers")
     # Rows without a user do not go through the join: there may be very many of them.
     known = per_user.filter(F.col("user_id").isNotNull()).join(numbers, "user_id")
-    block = F.bitmap_bucket_number(NUMBER).alias(BLOCK)
-    bitmap = F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(USERS)
-    with_users = known.groupBy(*keys, block).agg(bitmap, *again)
+    number = F.col(NUMBER)
+    bit = F.expr(f"shiftleft(1L, cast({NUMBER} & {(1 << WORD_SHIFT) - 1} as int))")
+    placed = known.select(*keys, F.shiftright(number, BLOCK_SHIFT).alias(BLOCK), F.shiftright(number, WORD_SHIFT).alias(WORD), bit.alias(BITS), *parts)
+    # A cell has at most one row for each user of its block, so one shuffle by cells serves both steps and no partition is hot.
+    words = placed.repartition(*keys, BLOCK).groupBy(*keys, BLOCK, WORD).agg(F.bit_or(BITS).alias(BITS), *again)
+    with_users = words.groupBy(*keys, BLOCK).agg(F.collect_list(F.struct(WORD, BITS)).alias(USERS), *again)
     nobody = per_user.filter(F.col("user_id").isNull())
-    nobody = nobody.select(*keys, F.lit(None).cast("long").alias(BLOCK), F.lit(None).cast("binary").alias(USERS), *parts)
+    nobody = nobody.select(*keys, F.lit(None).cast("long").alias(BLOCK), F.lit(None).cast(with_users.schema[USERS].dataType).alias(USERS), *parts)
     return stage(with_users.unionByName(nobody), "cells")
 
 
 def roll_up(found: DataFrame, grains: Grains) -> DataFrame:
     """``grain``, its keys (NULL where a grain lacks one), the sums of all parts and ``num_acquisitions``, for all grains at once.
 
-    Grouping sets first bring the cells of each grain and block of users together, then the counts of the blocks are added.
+    Every cell becomes a row of its sums, whose word is NULL, and one row for each word of users. Grouping sets bring the rows of
+    each grain and word together, then the bits of the words are counted and added.
     """
     every = list(dict.fromkeys(key for keys in grains.values() for key in keys))
     parts = [name for name in found.columns if name not in (*every, BLOCK, USERS)]
     parts = [name for name in parts if name in _numbers(found)]
-    columns = [*every, BLOCK]
+    columns = [*every, WORD]
     sums = [F.sum(name).alias(name) for name in parts]
-    merged = F.bitmap_or_agg(F.coalesce(F.col(USERS), F.lit(b"").cast("binary"))).alias(USERS)
-    sets = [[F.col(key) for key in (*keys, BLOCK)] for keys in grains.values()]
-    grouped = found.groupingSets(sets, *[F.col(name) for name in columns]).agg(F.grouping_id().alias("__grain"), merged, *sums)
+    none = F.lit(None).cast("long")
+    own = F.array(F.struct(none.alias(WORD), none.alias(BITS)))
+    words = F.concat(own, F.coalesce(F.col(USERS), F.array().cast(found.schema[USERS].dataType)))
+    listed = found.select(*every, *parts, F.inline(words).alias(WORD, BITS))
+    listed = listed.select(*every, WORD, BITS, *[F.when(F.col(WORD).isNull(), F.col(name)).alias(name) for name in parts])
+    sets = [[F.col(key) for key in (*keys, WORD)] for keys in grains.values()]
+    merged = F.bit_or(BITS).alias(BITS)
+    grouped = listed.groupingSets(sets, *[F.col(name) for name in columns]).agg(F.grouping_id().alias("__grain"), merged, *sums)
     # bits of grouping_id: 1 for each column that is not of the grain
-    names = {sum(1 << i for i, name in enumerate(reversed(columns)) if name not in (*keys, BLOCK)): grain for grain, keys in grains.items()}
+    names = {sum(1 << i for i, name in enumerate(reversed(columns)) if name not in (*keys, WORD)): grain for grain, keys in grains.items()}
     label = F.coalesce(*[F.when(F.col("__grain") == number, F.lit(grain)) for number, grain in names.items()])
-    users = F.when(F.col(BLOCK).isNotNull(), F.bitmap_count(USERS)).otherwise(0)
-    counted = grouped.select(label.alias(GRAIN), *every, *parts, users.alias("num_acquisitions"))
+    counted = grouped.select(label.alias(GRAIN), *every, *parts, F.bit_count(BITS).cast("long").alias("num_acquisitions"))
     return counted.groupBy(GRAIN, *every).agg(*sums, zero_if_null(F.sum("num_acquisitions")).alias("num_acquisitions"))
 
 

@@ -77,3 +77,14 @@ def test_columns_that_a_log_lacks(spark, views, channel):
     want = kpis.summarize_elog(log, "keyword", channel=channel)
     found = rollups.kpi_rollup(log, {"keyword": ["keyword"]}, channel=channel)
     assert rows(found, *want.columns) == rows(want)
+
+
+def test_bitmaps_take_room_by_their_users(spark):
+    """A set of one user is one word, and words are merged without sorting rows of whole bitmaps."""
+    log = spark.range(2000).select(F.col("id").alias("user_id"), F.concat(F.lit("k"), F.col("id") % 997).alias("keyword"))
+    found = rollups.cells(log, ["keyword"])
+    assert found.agg(F.sum(F.size("users"))).first()[0] <= 2000
+    plan = plan_of(rollups.roll_up(found, {"total": [], "keyword": ["keyword"]}))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    counts = rollups.roll_up(found, {"total": []}).collect()
+    assert [row["num_acquisitions"] for row in counts] == [2000]
