@@ -340,3 +340,13 @@ def test_staged_folders_can_be_removed(spark):
     assert folder.exists()
     sinks.remove_folder(spark, run)
     assert not folder.exists()
+
+
+def test_lines_of_data_are_told_by_their_first_character(spark, tmp_path):
+    """The header is looked for with a cheap test first, which any spelling of it passes."""
+    headers = BING_HEADERS.replace("Gregorian date", " gREGORIAN-Date ")
+    write(tmp_path / "b.csv", "5/1/2016,g,Gregorian date", '"5/2/2016",Gregorian date', headers)
+    assert [reports.header_key(name) for name in reports.bing_headers(spark, str(tmp_path))][0] == "gregoriandate"
+    lines = ["5/1/2016,g", '"5/1/2016",Gregorian date', ",Gregorian date", "Report: Gregorian date", '" Gregorian date"', "gregorian date", "- Gregorian"]
+    found = spark.createDataFrame([(line,) for line in lines], "value string").filter(F.col("value").rlike(reports.BING_HEADER_START))
+    assert rows(found) == sorted((line,) for line in lines[-3:])
