@@ -152,28 +152,37 @@ class KeptLog:
         return sorted(row[0] for row in rows.select(bucket_of(user, now["buckets"])).distinct().collect())
 
     def _merge(self, now: dict, name: str, new: DataFrame, user: str, merge: Callable[[DataFrame], DataFrame]) -> list[int]:
-        """Merge new rows of users into a table with a row for each user; the buckets that were touched."""
-        touched = self._buckets_in(now, new, user)
+        """Merge new rows, one for each user, into a table with a row for each user; the buckets that were touched.
+
+        The new rows are worked out once, written by bucket: their folders say what they touch, and are the table if there was none.
+        """
+        alone = {"tables": {}}
+        self._write(alone, name, new, bucket_of(user, now["buckets"]))
+        touched = sorted(int(k) for k in alone["tables"][name]["parts"])
         old = self._read(now, name, touched)
-        if touched:
-            merged = merge(new if old is None else old.unionByName(new))
+        if old is None:
+            now["tables"] |= alone["tables"]
+        elif touched:
+            merged = merge(old.unionByName(self._read(alone, name)))
             self._write(now, name, merged, bucket_of(user, now["buckets"]), touched)
-        elif old is None:
-            now["tables"][name] = {"schema": new.schema.jsonValue(), "parts": {}}
         return touched
 
     def _merge_names(self, now: dict, table: str, rows: DataFrame | None, key: str, name: str) -> bool:
         """Merge names of campaigns or keywords, the smallest of each; whether any has changed."""
         if rows is None:
             return False
-        new, old = name_lookup(rows, key, name), self._read(now, table)
-        if old is not None and new.join(old.withColumnRenamed(name, "old"), key, "left").filter(
+        alone = {"tables": {}}  # worked out once, from all spend rows
+        self._write(alone, table, name_lookup(rows, key, name), F.lit(0).alias(BUCKET))
+        new, old = self._read(alone, table), self._read(now, table)
+        if old is None:
+            now["tables"] |= alone["tables"]
+            return False
+        if new.join(old.withColumnRenamed(name, "old"), key, "left").filter(
             F.col("old").isNull() | (F.col(name) < F.col("old"))
         ).isEmpty():
             return False
-        merged = new if old is None else name_lookup(old.unionByName(new), key, name)
-        self._write(now, table, merged, F.lit(0).alias(BUCKET), [0])
-        return old is not None
+        self._write(now, table, name_lookup(old.unionByName(new), key, name), F.lit(0).alias(BUCKET), [0])
+        return True
 
     # Rows of users
 

@@ -216,6 +216,19 @@ def test_a_refresh_that_fails_leaves_the_log(spark, tmp_path, monkeypatch):
     assert rows(kept.log(), *SHOWN) == rows(at_once(spark, [a, b]), *SHOWN)
 
 
+def test_new_rows_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """What an increment touches is told by the folders it is written to, not by working out its rows twice."""
+    asked, buckets_in = [], KeptLog._buckets_in
+    monkeypatch.setattr(KeptLog, "_buckets_in", lambda self, now, new, user: asked.append(user) or buckets_in(self, now, new, user))
+    kept = KeptLog(spark, str(tmp_path), START, END, buckets=4)
+    a = increment(spark, orders=[(1, 1, "2016-01-05", True)], clicks=[(1, "2016-01-04", 7, "tea")], spend=[("2016-01-04", "tea")])
+    b = increment(spark, orders=[(2, 2, "2016-01-05", True)], clicks=[(2, "2016-01-04", 7, "tea"), (1, "2016-01-02", 7, "green")])
+    kept.refresh("a", a)
+    kept.refresh("b", b)
+    assert asked == ["user_id", "user_id"]
+    assert rows(kept.log(), *SHOWN) == rows(at_once(spark, [a, b]), *SHOWN)
+
+
 # ---- resumed series
 
 
