@@ -1,5 +1,7 @@
 """Report and event files are loaded once each, as they arrive."""
 
+from pyspark.sql import functions as F
+
 from adlog import schemas
 from adlog.channels import SEARCH
 from adlog.operators import attribution
@@ -7,6 +9,7 @@ from adlog.operators.filters import date_filter
 from adlog.sources import events, reports
 from adlog.streaming import firsts, ingest
 from conftest import rows
+from testbed.queries import arrivals
 from test_sources import BING_HEADERS, KEYWORD_HEADERS, KEYWORD_LINES, bing_file, event, write
 
 
@@ -106,3 +109,10 @@ def test_first_clicks_of_a_stream_are_those_of_the_log(spark, views, tmp_path):
     assert len(list((tmp_path / "table").iterdir())) == 2
     want = attribution.first_acquisition(log)
     assert rows(found, *want.columns) == rows(want)
+
+
+def test_arrivals_are_written_by_all_tasks(spark, views):
+    made = spark.range(100).repartition(4)
+    late, early = F.col("id") % 10 == 0, F.col("id") < 50
+    found = [(spark.read.parquet(folder).count(), len(spark.read.parquet(folder).inputFiles())) for folder in arrivals(views, made, late, early)]
+    assert [count for count, _ in found] == [45, 90, 100] and found[0][1] == 4
