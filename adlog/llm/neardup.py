@@ -193,6 +193,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return stage(both.select("a", "b", "text_a", "text_b").mapInPandas(verify, "a binary, b binary, similarity double"), "links")
 
 
+def _alone(texts: DataFrame, idf) -> DataFrame:
+    """key, alone: the weight of those shingles of a text that none of the others has, of different texts; no row where it is 0.
+
+    What two of the texts have in common is no more than either's other weight.
+    """
+    small_batches(texts.sparkSession)
+
+    def weigh(batches):
+        memory = WordHashes()
+        for pdf in batches:
+            for key, value in zip(pdf["key"], pdf["text"]):
+                keys, times = counted(value, memory)
+                high, low = np.frombuffer(key, dtype=">i8")
+                weights = (times * idf.value[slot(keys)]).astype(float)
+                yield pd.DataFrame({"high": high, "low": low, "shingle": keys.astype(np.int64), "weight": weights})
+
+    # numbers alone are summed: a key is two of them, and a shingle of one text has that text's
+    parts = texts.mapInPandas(weigh, "high long, low long, shingle long, weight double")
+    one = [F.min(c).alias(c) for c in ("high", "low", "weight")]
+    alone = parts.groupBy("shingle").agg(F.count("*").alias("n"), *one).where("n = 1")
+    alone = alone.groupBy("high", "low").agg(F.sum("weight").alias("alone"))
+    return stage(alone.select(F.unhex(F.format_string("%016x%016x", "high", "low")).alias("key"), "alone"), "alone")
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of (sorted keys, weights); 0 for empty ones."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -208,7 +232,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     In a few rounds, some texts of each bucket (a band's value), chosen by a hash, stand for it: first one, then more. Every text is
     compared with that one of those in its buckets, of other groups so far, with which it shares most draws. That takes as many comparisons
     as there are texts in a round at most, and joins large groups of copies and near copies. Buckets that still hold several groups then compare all pairs across groups
-    whose weights and draws can reach the similarity: whatever the rounds missed. Nothing is capped.
+    whose weights, common shingles and draws can reach the similarity: whatever the rounds missed. Nothing is capped.
     """
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse(frequencies(docs, text)))
@@ -237,7 +261,8 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     def side(rows: DataFrame, name: str) -> DataFrame:
         """Rows of buckets with names for one side of a pair."""
         named = {"key": name, "root": f"r{name}", "weight": f"w{name}"} | {d: f"{d}{name}" for d in PACKED}
-        return rows.select("band", *[F.col(old).alias(new) for old, new in named.items()], *[c for c in rows.columns if c == "size"])
+        named |= {"common": f"c{name}", "bands": f"i{name}"}
+        return rows.select("band", *[F.col(old).alias(new) for old, new in named.items() if old in rows.columns], *[c for c in rows.columns if c == "size"])
 
     # Joins make only pairs that can reach the similarity.
     can_match = _weights_close("wa", "wb") & (_draws_apart("a", "b") <= BANDS * DRAWS - LEAST_DRAWS) & (F.col("ra") != F.col("rb"))
@@ -249,14 +274,24 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
         best = against.groupBy("b").agg(F.min(F.struct(_draws_apart("a", "b").alias("apart"), "a")).alias("best")).select("b", "best.a")
         add(stage(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
 
-    # buckets that still hold several groups
-    left = rooted.withColumn("size", F.floor(F.log("weight") / F.lit(-math.log(SIMILARITY - 1e-6))).cast("int"))
+    # Buckets that still hold several groups. Variants of one text, each with changes of its own, share most draws and may all be
+    # below the similarity: what a text has alone tells, before pairs are made, which ones can reach it.
+    alone = _alone(texts.join(rooted.select("key").distinct(), "key", "left_semi"), idf)
+    least = SIMILARITY - 1e-6
+    left = rooted.join(alone, "key", "left").withColumn("common", F.col("weight") - F.coalesce("alone", F.lit(0.0))).drop("alone")
+    left = left.where(F.col("common") >= F.col("weight") * least)
+    can_match &= F.least("ca", "cb") * (1 + least) >= (F.col("wa") + F.col("wb")) * least
+    # a pair is made in the first bucket that both are in
+    left = left.join(left.groupBy("key").agg(F.collect_list("band").alias("bands")), "key")
+    can_match &= F.array_min(F.array_intersect("ia", "ib")) == F.col("band")
+    left = left.withColumn("size", F.floor(F.log("weight") / F.lit(-math.log(SIMILARITY - 1e-6))).cast("int"))
     near = left.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
     other = side(near, "b").withColumnsRenamed({"band": "of", "size": "as"})
     on = (F.col("band") == F.col("of")) & (F.col("size") == F.col("as")) & (F.col("a") < F.col("b")) & can_match
     across = stage(side(left, "a").join(other, on).select("a", "b").distinct(), "across")
     if not across.isEmpty():
         add(across)
+    idf.destroy()  # all that asks for it is staged
     rooted = members.select("doc_id", "key").join(found.withColumnRenamed("node", "key"), "key", "left")
     return rooted.select("doc_id", "key", F.coalesce("root", "key").alias("root")), links
 

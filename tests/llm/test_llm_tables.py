@@ -92,6 +92,24 @@ def test_near_duplicates_are_those_of_all_pairs(spark):
     assert 5 < len(least) < 20
 
 
+def test_variants_below_the_similarity_make_no_pairs(spark, monkeypatch):
+    """Texts that share most draws with all others, but each with changes of its own: the rounds alone compare them."""
+    base = [f"w{i}" for i in range(600)]
+
+    def variant(i, changes):
+        return " ".join(f"own{i}x{j}" if j in {60 * (c + 1) for c in range(changes)} else w for j, w in enumerate(base))
+
+    texts = [variant(i, 4) for i in range(40)] + [variant(i, 1) for i in range(40, 46)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts, verified = [], neardup._verified
+    monkeypatch.setattr(neardup, "_verified", lambda pairs, *more: counts.append(pairs.count()) or verified(pairs, *more))
+    roots = plain_classes(texts, neardup.frequencies(frame))
+    least = {r: min(i for i, x in enumerate(roots) if x == r) for r in set(roots)}
+    assert 40 <= len(least) < 46
+    assert dict(rows(neardup.classes(frame))) == {i: least[r] for i, r in enumerate(roots)}
+    assert sum(counts) <= 4 * len(texts)
+
+
 def test_document_frequencies(spark):
     texts = ["a b c d e f", "a b c d e", "a b c d e a b c d e", "x y", None, ""]
     found = neardup.frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
