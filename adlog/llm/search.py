@@ -53,11 +53,12 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             for ident, value in zip(pdf["doc_id"], pdf["text"]):
                 terms = hashed(words_of(value if isinstance(value, str) else None), memory)
                 unique, times = np.unique(terms, return_counts=True)
-                held.append((NO_ID if pd.isna(ident) else int(ident), unique, times, len(terms)))
+                held.append((NO_ID if pd.isna(ident) else int(ident), unique, times.astype("<u4"), len(terms)))
                 words += len(terms)
                 if words >= SHARD_WORDS or len(held) >= SHARD_DOCS:
-                    yield _shard(held)
-                    held, words = [], 0
+                    out, held, words = _shard(held), [], 0
+                    yield out
+                    del out
         if held:
             yield _shard(held)
 
@@ -71,8 +72,10 @@ def _shard(held: list) -> pd.DataFrame:
     place = np.repeat(np.arange(len(held), dtype="<u4"), [len(x[1]) for x in held])
     term, times = np.concatenate([x[1] for x in held]), np.concatenate([x[2] for x in held]).astype("<u4")
     order = np.argsort(term, kind="stable")
-    terms, start = np.unique(term[order], return_index=True)
-    ends = np.append(start[1:], len(term)).astype("<i8")
+    term = term[order]
+    start = np.flatnonzero(np.append(True, term[1:] != term[:-1])[: len(term)])
+    terms = term[start]
+    ends = np.append(start[1:], len(term))[: len(terms)].astype("<i8")  # none where no document has a word
     out = {"shard": f"{ids[0]}", "docs": len(held), "words": int(lengths.sum()), "ids": ids, "lengths": lengths, "terms": terms.astype("<u8")}
     out |= {"ends": ends, "places": place[order], "times": times[order]}
     share = (xxhash.xxh64_intdigest(out["terms"].tobytes()) + 1) / 2**64
@@ -103,21 +106,25 @@ class Shard:
         self.ends = np.frombuffer(row["ends"], dtype="<i8")
         self.starts = np.append(0, self.ends)[:-1]
         self.places = np.frombuffer(row["places"], dtype="<u4")
-        times = np.frombuffer(row["times"], dtype="<u4").astype(np.float64)
+        times = np.frombuffer(row["times"], dtype="<u4")
         norm = K1 * (1 - B + B * lengths / max(mean, 1e-12))
-        self.parts = times * (K1 + 1) / (times + norm[self.places])
+        # postings are millions: two arrays of doubles at a time
+        self.parts = norm[self.places]
+        self.parts += times
+        np.divide(times * (K1 + 1), self.parts, out=self.parts)
         # runs of postings of one term in one block
-        block = (self.places // BLOCK).astype(np.int64)
-        owner = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.ends - self.starts)
+        block = self.places // BLOCK
         new = np.ones(len(block), dtype=bool)
-        new[1:] = (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])
+        new[1:] = block[1:] != block[:-1]
+        new[self.starts] = True
         run_start = np.flatnonzero(new)
         self.run_block = block[run_start]
-        self.run_most = np.maximum.reduceat(self.parts, run_start) if len(block) else self.parts
-        self.term_runs = np.searchsorted(owner[run_start], np.arange(len(self.terms) + 1)) if len(block) else np.zeros(1, dtype=int)
+        del block, new
+        self.run_most = np.maximum.reduceat(self.parts, run_start) if len(run_start) else self.parts
+        self.term_runs = np.searchsorted(run_start, np.append(self.starts, len(self.parts)))
         self.term_most = np.maximum.reduceat(self.parts, self.starts) if len(self.terms) else self.parts
         self.blocks = -(-len(self.ids) // BLOCK)
-        self.run_start, self.run_end = run_start, np.append(run_start[1:], len(block))
+        self.run_start = np.append(run_start, len(self.parts)).astype(np.uint32)  # and the end of the last one
         self.read = 0
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = -math.inf) -> tuple[list[tuple[int, float]], int]:
@@ -162,7 +169,7 @@ class Shard:
             done = np.sum(self.term_runs[at[:left] + 1] - self.term_runs[at[:left]])
             mine = blocks[block]
             mine[:done] = False
-            postings, w = spans(self.run_start[runs[mine]], self.run_end[runs[mine]], weight[mine])
+            postings, w = spans(self.run_start[runs[mine]].astype(np.int64), self.run_start[runs[mine] + 1].astype(np.int64), weight[mine])
             self.read += len(postings)
             sums += np.bincount(self.places[postings], w * self.parts[postings], len(sums))
             light = left
@@ -283,13 +290,17 @@ def _searched(shards: DataFrame, sent, least, mean: float, k: int) -> DataFrame:
     def search(batches):
         best: list[list] = [[] for _ in sent.value]
         for pdf in batches:
-            for row in pdf.to_dict("records"):
+            records = pdf.to_dict("records")
+            del pdf
+            for row in records:
                 shard = Shard(row, mean)
+                row.clear()
                 for i, (query, terms, weights) in enumerate(sent.value):
                     bound = best[i][-1][1] if len(best[i]) >= k else -math.inf
                     found, _ = shard.search(terms, weights, k, max(bound, least.value.get(query, -math.inf)))
                     if found:
                         best[i] = merged(best[i], found, k)
+                del shard  # before the next one comes
         for first in range(0, len(best), 4096):
             some = zip(sent.value[first : first + 4096], best[first : first + 4096])
             out = [(query, None if ident == NO_ID else ident, score) for (query, _, _), found in some for ident, score in found]

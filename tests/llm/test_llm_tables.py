@@ -359,6 +359,30 @@ def test_mix_comes_near_its_targets(spark):
 # ---- search
 
 
+def test_a_shard_takes_little_memory_beside_its_postings():
+    import tracemalloc
+
+    random = np.random.default_rng(8)
+    held = []
+    for i in range(4000):
+        terms, times = np.unique(random.zipf(1.3, 120).astype(np.uint64) % np.uint64(20_000), return_counts=True)
+        held.append((i, terms, times, 120))
+    row = search._shard(held).iloc[0].to_dict()
+    postings = len(row["places"]) // 4
+    tracemalloc.start()
+    shard = search.Shard(row, 120.0)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(shard.parts) == postings > 150_000
+    assert kept <= 18 * postings and peak <= 28 * postings
+
+
+def test_a_shard_without_words():
+    row = search._shard([(1, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 0)]).iloc[0].to_dict()
+    assert len(row["ends"]) == len(row["terms"]) == 0
+    assert search.Shard(row, 0.0).search(np.ones(1, dtype=np.uint64), np.ones(1), 3) == ([], 0)
+
+
 def test_search_prunes_and_stays_exact():
     random = np.random.default_rng(4)
     held = []
