@@ -3,6 +3,7 @@
 import ctypes
 import json
 import math
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import corpus_pipeline
 from adlog.llm import lines, mixing, neardup, search, toolcalls, urls
-from adlog.llm.common import WordHashes, connected
+from adlog.llm.common import CLEANUP_SETTING, WordHashes, connected, stage
 from adlog.llm.queries import ORACLE, QUERIES, URL_RULES
 from conftest import SMALL, rows
 from odd_rows import BLUE, CLASHES, documents, none, odd  # noqa: F401
@@ -159,6 +160,28 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert neardup.keep_one(none).count() == 0
 
 
+# ---- staged tables
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    """Their shuffle files go with the write, not with the driver's garbage; a frame that was staged can be asked again."""
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        blocks = store.getAllBlocks()
+        names = {blocks.apply(i).name() for i in range(blocks.size())}
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = held()
+    counts = spark.range(1000).repartition(4).groupBy((F.col("id") % 7).alias("k")).count()
+    staged = stage(counts, "counts")
+    until = time.monotonic() + 20
+    while held() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not held() - before
+    assert rows(staged) == rows(counts) and spark.conf.get(CLEANUP_SETTING) == "false"
+
+
 # ---- lines
 
 
