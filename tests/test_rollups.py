@@ -38,7 +38,7 @@ def test_users_of_every_grain(spark):
 def test_cells_of_two_logs_merge(spark):
     """Weeks that come in later are put beside those that are there; their users are not counted twice."""
     log = spark.createDataFrame(log_rows(), "keyword string, week long, user_id long")
-    numbers = materialize(rollups.user_numbers(log.select("keyword", "week", "user_id"), ["keyword", "week"]), "numbers")
+    numbers = materialize(rollups.user_numbers(log.select("keyword", "week", "user_id"), ["keyword", "week"]), "user-numbers")
     early, late = log.filter("week <= 2 or week is null"), log.filter("week > 2")
     both = [rollups.cells(part, ["keyword", "week"], numbers=numbers) for part in (early, late)]
     found = rollups.roll_up(both[0].unionByName(both[1]), GRAINS).select("grain", "keyword", "week", "num_acquisitions")
