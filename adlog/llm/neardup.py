@@ -11,13 +11,14 @@ Everything is decided between different texts: equal texts are one node from the
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlog.llm.common import WordHashes, connected, free_name, hashed, mixed, shingles, small_batches, stage, words_of
+from adlog.llm.common import WordHashes, connected, free_name, hashed, mixed, shingles, small_batches, stage, text_shingles, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -53,10 +54,17 @@ class Draws:
         out = np.empty(len(self.odd), dtype=np.uint64)
         step = max(1, 60_000 // len(keys))
         for k in range(0, len(self.odd), step):
-            at = ((keys[None, :] * self.odd[k : k + step, None]) >> _U(48)).astype(np.int64)
-            r = self.r[at]
-            t = np.floor(logs / r + self.b[at])
-            first = np.argmin(self.c[at] - r * (t - self.b[at]) - r, axis=1)
+            at = ((keys[None, :] * self.odd[k : k + step, None]) >> _U(48)).view(np.int64)
+            r, b, value = (table.take(at, mode="clip") for table in (self.r, self.b, self.c))
+            t = logs / r
+            t += b
+            np.floor(t, out=t)
+            # c - r * (t - b) - r
+            np.subtract(t, b, out=b)
+            b *= r
+            value -= b
+            value -= r
+            first = np.argmin(value, axis=1)
             chosen = t[np.arange(len(first)), first].astype(np.int64).astype(np.uint64)
             out[k : k + step] = mixed(keys[first] ^ mixed(chosen + _U(1)))
         return out
@@ -64,7 +72,18 @@ class Draws:
 
 def counted(text: str | None, memory: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Different shingles of a text, sorted, and their times."""
-    return np.unique(shingles(hashed(words_of(text), memory), SHINGLE), return_counts=True)
+    return _times(shingles(hashed(words_of(text), memory), SHINGLE))
+
+
+def all_counted(texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`counted` of each text, with the words of many hashed at once."""
+    return map(_times, text_shingles(texts, SHINGLE))
+
+
+def _times(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([keys[:1] == keys[:1], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(first, append=len(keys))
 
 
 def slot(keys: np.ndarray) -> np.ndarray:
@@ -79,13 +98,15 @@ def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
     small_batches(docs.sparkSession)
 
     def count(batches):
-        memory, counts, n = WordHashes(), np.zeros(SLOTS, dtype=np.int64), 0
+        counts, n = np.zeros(SLOTS, dtype=np.int64), 0
+        seen = np.full(SLOTS, -1, dtype=np.int64)
         for pdf in batches:
-            # a slot counts once for a document, also where it holds several of its shingles
-            slots = [np.unique(slot(counted(x, memory)[0])) for x in pdf["text"] if isinstance(x, str)]
             n += len(pdf)
-            if slots:
-                counts += np.bincount(np.concatenate(slots), minlength=SLOTS)
+            for keys in text_shingles(pdf["text"], SHINGLE):
+                # a slot counts once for a document, also where it holds several of its shingles: that of the place it keeps
+                slots, places = slot(keys), np.arange(len(keys))
+                seen[slots] = places
+                counts[slots[seen[slots] == places]] += 1
         pieces = [i for i in range(0, SLOTS, CHUNK) if counts[i : i + CHUNK].any()]
         data = [counts[i : i + CHUNK].astype("<u4").tobytes() for i in pieces] + [np.array([n], dtype="<u4").tobytes()]
         yield pd.DataFrame({"piece": [*pieces, SLOTS], "data": data})
@@ -117,15 +138,14 @@ def _signatures(docs: DataFrame, idf, text: str, doc_id: str) -> DataFrame:
     @F.pandas_udf(fields)
     def sign(texts: pd.Series) -> pd.DataFrame:
         if not memory:
-            memory.extend((WordHashes(), Draws()))
+            memory.append(Draws())
         out = []
-        for x in texts:
-            keys, times = counted(x if isinstance(x, str) else None, memory[0])
+        for keys, times in all_counted(texts):
             if not len(keys):
                 out.append((0.0, [], 0, 0, 0, 0))
                 continue
             weights = times * idf.value[slot(keys)]
-            found = memory[1].of(keys, weights)
+            found = memory[0].of(keys, weights)
             bands = found[0::DRAWS].copy()
             for i in range(1, DRAWS):
                 bands = mixed(bands) + found[i::DRAWS]
@@ -201,10 +221,8 @@ def _alone(texts: DataFrame, idf) -> DataFrame:
     small_batches(texts.sparkSession)
 
     def weigh(batches):
-        memory = WordHashes()
         for pdf in batches:
-            for key, value in zip(pdf["key"], pdf["text"]):
-                keys, times = counted(value, memory)
+            for key, (keys, times) in zip(pdf["key"], all_counted(pdf["text"])):
                 high, low = np.frombuffer(key, dtype=">i8")
                 weights = (times * idf.value[slot(keys)]).astype(float)
                 yield pd.DataFrame({"high": high, "low": low, "shingle": keys.astype(np.int64), "weight": weights})

@@ -11,8 +11,8 @@ import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from adlog.llm import decontam, langid, pii, quality
-from adlog.llm.common import WordHashes, hashed, shingles, words_of
+from adlog.llm import decontam, langid, neardup, pii, quality
+from adlog.llm.common import WordHashes, hashed, shingles, text_shingles, word_hashes, words_of
 from conftest import rows
 from odd_rows import documents, none, odd  # noqa: F401
 
@@ -269,3 +269,22 @@ def test_shingles():
     h = hashed("a b c d e f g".split(), memory)
     assert len(shingles(h, 5)) == 3 and len(shingles(h[:3], 5)) == 1 and len(shingles(h[:0], 5)) == 0
     assert shingles(h, 5)[1] == shingles(h[1:], 5)[0]
+
+
+def test_words_of_many_texts_are_hashed_at_once():
+    texts = ["ÅΣΑΣ ς ß İstanbul 北京", "", None, "a", "a b c", f"_x_ {'y' * 31} {'z' * 32} {'q' * 70}", "é‍𝔘𝔫𝔦 १२ ٣", " .", "one two three four five", "\n\n a\nb c\rd e f \x00 g"]
+    texts += [" ".join(f"{'wörd' * (i % 7)}{i}" for i in range(j, 3 * j)) for j in (5, 40, 50_000)]
+    memory = WordHashes()
+    found = [row for hashes, ends in word_hashes(texts) for row in np.split(hashes, ends[:-1])]
+    assert [row.tolist() for row in found] == [hashed(words_of(text), memory).tolist() for text in texts]
+    assert [row.tolist() for row in text_shingles(texts, 5)] == [shingles(hashed(words_of(text), memory), 5).tolist() for text in texts]
+    for (keys, times), text in zip(neardup.all_counted(texts), texts, strict=True):
+        want = neardup.counted(text, memory)
+        assert keys.tolist() == want[0].tolist() and times.tolist() == want[1].tolist()
+
+
+def test_words_of_a_batch_take_no_step_of_their_own(monkeypatch):
+    """Near-dedup, which needs every word of every text three times, does not cut words one by one."""
+    monkeypatch.setattr(neardup, "words_of", lambda text: pytest.fail("a text's words were cut one by one"))
+    docs = [f"{i} " + "some words that a text has " * 20 for i in range(50)]
+    assert sum(len(keys) for keys, _ in neardup.all_counted(docs)) > 0
