@@ -20,7 +20,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlog.llm.common import connected, free_name, stage, unstage
@@ -38,8 +38,6 @@ WORD_RADIUS = 20
 SIMILARITY = 0.8
 #: Lines of fewer words have counts of 15 bits at most, so that a number holds four.
 SHORT = 1 << 15
-#: Words of equal longer lines are counted in this many groups, so that a count stays below 2^31.
-SPREAD = 16
 #: Lines beyond this many characters are first compared in pieces of it; the sum of their edit distances bounds that of the whole,
 #: which is worked out where the bound does not settle a pair.
 PIECE = 1000
@@ -93,31 +91,30 @@ def _key(line: Column) -> Column:
 
 def fingerprints(lines: DataFrame) -> DataFrame:
     """key, size, print, pairs, blocks: length, SimHashes over words and over pairs of them, and blocks of words, of every
-    different line, of rows ``key, line, row`` (a number of its own for each).
+    different line, of rows ``key, line``.
 
     A bit is set where more than half of the words' hashes have it. Counts share numbers, so that few sums in generated code give
-    all 64: four counts of 16 bits where a line has fewer words than that, each line by itself; two of 32 bits for longer
-    ones, for which equal lines are counted together in a few groups, as counts of equal lines scale alike.
+    all 64: four counts of 16 bits where a line has fewer words than that, two of 32 bits for longer ones. Equal lines become one
+    before their words are counted, and lines then lie by their keys: the counts, far larger than a line, are not shuffled.
     """
     short = F.length("line") < 2 * SHORT  # words have a character at least and a blank between them
-    rows = lines.where(short).select("key", F.col("row").alias("group"), "line")
-    more = lines.where(~short).select("key", F.pmod("row", F.lit(SPREAD)).alias("group"), "line")
-    return _prints(rows, 4).union(_prints(more, 2)).distinct()
+    once = lambda rows: rows.select("key", "line").dropDuplicates(["key"])
+    return _prints(once(lines.where(short)), 4).union(_prints(once(lines.where(~short)), 2))
 
 
 def _prints(lines: DataFrame, lanes: int) -> DataFrame:
     width = BITS // lanes
     ones = sum(1 << i * width for i in range(lanes))
     split = F.split("line", " ")
-    words = lines.select("key", "group", F.length("line").alias("size"), split.alias("words"))
+    words = lines.select("key", F.length("line").alias("size"), split.alias("words"))
     after = F.concat(F.slice("words", 2, F.size("words")), F.array(F.lit("")))
-    words = words.select("key", "group", "size", F.size("words").alias("long"), F.explode(F.arrays_zip("words", after.alias("after"))).alias("word"))
-    words = words.select("key", "group", "size", "long", F.xxhash64("word.words").alias("h"), F.xxhash64("word.words", "word.after").alias("g"))
+    words = words.select("key", "size", F.size("words").alias("long"), F.explode(F.arrays_zip("words", after.alias("after"))).alias("word"))
+    words = words.select("key", "size", "long", F.xxhash64("word.words").alias("h"), F.xxhash64("word.words", "word.after").alias("g"))
     sums = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(ones))).alias(f"{h}{j}") for h in "hg" for j in range(width)]
     # 24 bits of each word; the words of a short line, below 2^15, are counted above bit 40 of the same sum
     one = F.shiftrightunsigned("h", 40) + F.lit(1 << 40 if lanes == 4 else 0)
     sums += [F.sum(F.when(F.pmod("h", F.lit(CLASSES)) == c, one).otherwise(F.lit(0))).alias(f"c{c}") for c in range(CLASSES)]
-    counts = words.groupBy("key", "group").agg(F.max("size").alias("size"), F.max("long").alias("long"), F.count("*").alias("n"), *sums)
+    counts = words.groupBy("key").agg(F.max("size").alias("size"), F.max("long").alias("long"), F.count("*").alias("n"), *sums)
 
     def majority(h: str) -> Column:
         count = lambda j, i: F.shiftrightunsigned(f"{h}{j}", i * width).bitwiseAND(F.lit((1 << width) - 1))
@@ -127,9 +124,9 @@ def _prints(lines: DataFrame, lanes: int) -> DataFrame:
     if lanes == 4:
         held = [F.shiftrightunsigned(f"c{c}", 40) for c in range(CLASSES)]
         value = [F.col(f"c{c}").bitwiseAND(F.lit((1 << 40) - 1)) for c in range(CLASSES)]
-    else:  # equal lines of a group count as one; no class of so many words is small
+    else:  # no class of so many words is small
         held = [F.lit(SHORT)] * CLASSES
-        value = [F.expr(f"c{c} div (n div long)") for c in range(CLASSES)]
+        value = [F.col(f"c{c}") for c in range(CLASSES)]
     half = CLASSES // 2
     both = [(held[c] + held[c + half], value[c] + value[c + half]) for c in range(half)]
     block = lambda *of: F.xxhash64(F.lit("words"), *of)
@@ -227,11 +224,11 @@ def linked(prints: DataFrame, texts) -> DataFrame:
 
     parts = _blocks(4)
     rest = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(~_mask(parts[i])))) for i in range(4)]
-    # most buckets hold one line: they are told from the others by narrow rows, and few rows get their prints
+    # most buckets hold one line: they are told from the others by narrow rows, shuffled once, and few rows get their prints
     buckets = prints.select("kid", F.posexplode(F.concat(F.array(*rest), "blocks")).alias("place", "bucket"))
     buckets = buckets.select("kid", "bucket", (F.col("place") >= len(rest)).alias("by_words"))
-    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    shared = stage(buckets.join(several, "bucket", "left_semi"), "shared")
+    shared = buckets.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).where("n > 1").drop("n")
+    shared = stage(shared, "shared")
     dense = stage(shared.join(prints.select("kid", "size", "print", "pairs"), "kid"), "dense")
     unstage(shared)
     radius = F.when(F.col("by_words"), WORD_RADIUS).otherwise(RADIUS)
@@ -253,11 +250,11 @@ def linked(prints: DataFrame, texts) -> DataFrame:
 
     blocks, equal = (4, 1) if n <= FEW_LINES else (5, 2) if n <= MANY_LINES else (6, 3)
     choose = [F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, equal))]
-    by_bits = prints.select("kid", "size", "print", "pairs").withColumn("block", F.explode(F.array(*choose)))
-    by_words = dense.where("by_words").select("kid", "size", "print", "pairs", F.col("bucket").alias("block"))
+    # a line's group is looked up once, not in each of its blocks
+    by_bits = rooted(prints.select("kid", "size", "print", "pairs"), found).withColumn("block", F.explode(F.array(*choose)))
+    by_words = rooted(dense.where("by_words").select("kid", "size", "print", "pairs", F.col("bucket").alias("block")), found)
     met = []
-    for rows, most in ((by_bits, RADIUS), (by_words, WORD_RADIUS)):
-        keyed = rooted(rows, found)
+    for keyed, most in ((by_bits, RADIUS), (by_words, WORD_RADIUS)):
         one, other = _side(keyed, "a", "block"), _side(keyed, "b", "block").withColumnRenamed("block", "of")
         close = _near("a", "b", F.lit(most)) & (F.col("ka") < F.col("kb")) & (F.col("ra") != F.col("rb"))
         met.append(one.join(other, (F.col("block") == F.col("of")) & close).select("ka", "kb"))
@@ -275,9 +272,8 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     texts have no lines; empty and wordless lines stay. Rows equal in id and text are one document. Whole texts count, lines of
     any length. An empty table stays empty.
     """
-    seen = _occurrences(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id())
-    seen = stage(seen, "lines", compression="zstd")
-    known = seen.where("key is not null").select("key", "line", "row")
+    seen = stage(_occurrences(docs, doc_id, text), "lines", compression="zstd")
+    known = seen.where("key is not null").select("key", "line")
     places = seen.select("doc_id", "doc", "lines", "pos", "key")
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc", "pos")
     first = places.where("key is not null").groupBy("key").agg(F.min(at).alias("first"), F.count("*").alias("n"))

@@ -681,3 +681,17 @@ def test_query_against_sql(spark, name):
 def test_query_runs(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
     assert CLASHES
+
+
+def test_counts_of_words_are_not_shuffled(spark):
+    """Lines are dealt by key before their words are counted, each once; nothing wider than a line is dealt."""
+    frame = spark.createDataFrame([(bytes([i % 7]), f"a line of words {i % 7}", i) for i in range(50)], "key binary, line string, row long")
+    prints = lines.fingerprints(frame)
+    plan = prints._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate explode") == 2
+    executed = prints._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(executed) if "Exchange hashpartitioning" in line]
+    cut = [i for i, line in enumerate(executed) if "Generate explode" in line]
+    assert len(dealt) == 2 and all(any(c < d for c in cut) for d in dealt)
+    assert not any("Exchange" in line for line in executed[: cut[0]])
+    assert prints.count() == 7
