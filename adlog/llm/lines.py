@@ -23,7 +23,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlog.llm.common import connected, free_name, stage, unstage
+from adlog.llm.common import COUNTED, connected, free_name, stage, unstage
 
 BITS, RADIUS = 64, 3
 #: Most bits apart of the SimHashes over pairs of words. Lines of which a fifth of the words differ are about 19 apart.
@@ -38,9 +38,11 @@ WORD_RADIUS = 20
 SIMILARITY = 0.8
 #: Lines of fewer words have counts of 15 bits at most, so that a number holds four.
 SHORT = 1 << 15
-#: Lines beyond this many characters are first compared in pieces of it; the sum of their edit distances bounds that of the whole,
-#: which is worked out where the bound does not settle a pair.
+#: Characters of a piece. Lines of more than four are first compared in pieces; the sum of their edit distances bounds that of the
+#: whole, which is worked out where the bound does not settle a pair. The whole of shorter ones costs less than their pieces.
 PIECE = 1000
+#: Words that the next word of a line is looked for among, and how many more for each word before it that was not found.
+AHEAD, MORE = 3, 2
 #: Places of lines whose text is asked for that are sent to every task, at most; more are shuffled.
 SENT = 100_000
 #: Rounds of comparisons with one line of a bucket, at most; what they leave is compared pair by pair.
@@ -152,8 +154,8 @@ def edit_similar(a: str, b: str) -> Column:
     """Whether two texts have the edit similarity: 1 - distance / longer length.
 
     Words that differ at one place, counted from the beginning or from the end, bound the distance from above, which settles
-    most pairs before the distance itself is worked out. So do pieces of long texts; what no bound settles gets the distance
-    of the whole texts, of any length.
+    most pairs before the distance itself is worked out. So do words aligned one after the other, and pieces of long texts; what no
+    bound settles gets the distance of the whole texts, of any length.
     """
     most = f"cast(floor({1 - SIMILARITY:.6f} * greatest(length({a}), length({b})) + 1e-9) as int)"
     whole = f"levenshtein({a}, {b}, {most}) >= 0"
@@ -167,18 +169,32 @@ def edit_similar(a: str, b: str) -> Column:
     apart = "(x, y) -> if(x <=> y, 0, greatest(coalesce(length(x), 0), coalesce(length(y), 0)) + int(x is null or y is null))"
     by_place = f"aggregate(zip_with({words_a}, {words_b}, {apart}), 0, (sum, n) -> sum + n) <= {most}"
     from_end = f"aggregate(zip_with(reverse({words_a}), reverse({words_b}), {apart}), 0, (sum, n) -> sum + n) <= {most}"
+    # Each word of the one text is looked for a few words ahead in the other (p: the next word there). Words without a match (g:
+    # characters of those in the one, n of them) stand against the words passed over in the other. Texts count as if a blank followed
+    # each word: that adds nothing to a distance, and where there are words on both sides their last blanks are one match.
+    passed = "aggregate({0}, 0, (sum, y) -> sum + length(y) + 1)"
+    cost = "transform(array({0}), d -> greatest(s.g, d) - int(s.g > 0 and d > 0))[0]"
+    skipped = cost.format(f"if(o = 1, 0, {passed.format('slice(other, s.p, o - 1)')})")
+    step = (
+        f"transform(array(int(array_position(slice(other, s.p, {AHEAD} + {MORE} * s.n), x))), o -> if(o = 0, "
+        f"named_struct('p', s.p, 'n', s.n + 1, 'g', s.g + length(x) + 1, 'cost', s.cost), "
+        f"named_struct('p', s.p + o, 'n', 0, 'g', 0, 'cost', s.cost + {skipped})))[0]"
+    )
+    rest = cost.format(passed.format("slice(other, s.p, size(other))"))
+    start = "named_struct('p', 1, 'n', 0, 'g', 0, 'cost', 0)"
+    aligned = f"transform(array({words_b}), other -> aggregate({words_a}, {start}, (s, x) -> {step}, s -> s.cost + {rest}))[0] <= {most}"
     close = f"least(length({a}), length({b})) >= {SIMILARITY - 1e-9} * greatest(length({a}), length({b}))"
-    in_pieces = f"greatest(length({a}), length({b})) > {PIECE} and {pieces}"
-    return F.expr(f"{close} and ({by_place} or {from_end} or ({in_pieces}) or {whole})")
+    in_pieces = f"greatest(length({a}), length({b})) > {4 * PIECE} and {pieces}"
+    return F.expr(f"{close} and ({by_place} or {from_end} or {aligned} or ({in_pieces}) or {whole})")
 
 
 def _verified(pairs: DataFrame, texts) -> DataFrame:
-    """The staged pairs (a, b) whose lines are similar; ``texts`` finds the lines of a table of keys. The pairs are removed."""
+    """The staged pairs (a, b) whose lines are similar; ``texts`` finds the lines of a table of keys."""
     lines = texts(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
     both = pairs.join(lines.select(F.col("key").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(lines.select(F.col("key").alias("b"), F.col("line").alias("line_b")), "b")
-    links = stage(both.where(edit_similar("line_a", "line_b")).select("a", "b"), "links")
-    unstage(pairs, lines)
+    links = stage(both.where(edit_similar("line_a", "line_b")).select("a", "b"), "links", COUNTED)
+    unstage(lines)
     return links
 
 
@@ -193,25 +209,30 @@ def linked(prints: DataFrame, texts) -> DataFrame:
     In rounds, lines that agree in all but one block of four of the print, or in a block of words, are compared with one of them, one
     comparison for each line and bucket: that joins the many close variants of a line. A round takes buckets that still hold several
     groups; there is another one while one joins anything, up to a few. Then pairs of different groups that agree in enough blocks of
-    the print, or in a block of words, and are within the radius of these are compared. No bucket is capped, and all steps together
-    find every pair of both families that is not in one group already.
+    the print, or in a block of words, and are within the radius of these are compared. No pair is compared twice. No bucket is capped,
+    and all steps together find every pair of both families that is not in one group already.
     """
     # Joins work on numbers: a line's key stands behind a hash of it and is looked up for the pairs that are found. Keys that
     # share a hash would only add pairs, which are verified like all others.
-    prints = stage(prints.select("key", "size", "print", "pairs", "blocks", F.xxhash64("key").alias("kid")), "prints")
-    n = prints.count()
+    prints = stage(prints.select("key", "size", "print", "pairs", "blocks", F.xxhash64("key").alias("kid")), "prints", COUNTED)
+    n = prints.measured["n"]
+    tried: list[DataFrame] = []
 
     def keys_of(pairs: DataFrame) -> DataFrame:
-        """Pairs (ka, kb) of numbers as a staged table of pairs (a, b) of keys, the smaller first."""
-        numbers = stage(pairs.distinct(), "numbers")
+        """Pairs (ka, kb) of numbers as a staged table of pairs (a, b) of keys, the smaller first, without those of earlier tables."""
+        numbers = stage(pairs.distinct(), "numbers", COUNTED)
         sides = numbers.select(F.col("ka").alias("kid")).union(numbers.select("kb")).distinct()
-        sides = F.broadcast(sides) if numbers.count() <= SENT else sides
+        sides = F.broadcast(sides) if numbers.measured["n"] <= SENT else sides
         known = stage(prints.select("kid", "key").join(sides, "kid", "left_semi"), "keys")
         found = numbers
         for side in "ab":
             found = found.join(known.select(F.col("kid").alias(f"k{side}"), F.col("key").alias(side)), f"k{side}")
-        found = stage(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b"), "pairs")
+        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+        if tried:
+            found = found.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
+        found = stage(found, "pairs", COUNTED)
         unstage(numbers, known)
+        tried.append(found)
         return found
 
     def rooted(rows: DataFrame, found: DataFrame | None) -> DataFrame:
@@ -241,8 +262,8 @@ def linked(prints: DataFrame, texts) -> DataFrame:
         # a group needs one link to another
         one = stars.groupBy("ra", "rb").agg(F.min(F.struct("ka", "kb")).alias("pair")).select("pair.*")
         pairs = keys_of(one)
-        more = None if pairs.isEmpty() else _verified(pairs, texts)
-        if more is None or more.isEmpty():
+        more = _verified(pairs, texts) if pairs.measured["n"] else None
+        if more is None or not more.measured["n"]:
             break
         links = more if links is None else links.union(more)
         found, old = connected(links), found
@@ -261,7 +282,7 @@ def linked(prints: DataFrame, texts) -> DataFrame:
     pairs = keys_of(met[0].union(met[1]))
     unstage(dense)
     more = _verified(pairs, texts)
-    unstage(prints)
+    unstage(prints, *tried)
     return connected(more if links is None else links.union(more))
 
 
@@ -282,8 +303,8 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     def texts(keys: DataFrame) -> DataFrame:
         """Lines of keys, each from its first place only."""
         wanted = first.join(keys, "key", "left_semi").select(F.col("key").alias("k"), F.col("first.doc").alias("d"), F.col("first.pos").alias("p"))
-        places_of = stage(wanted, "wanted")
-        wanted = F.broadcast(places_of) if places_of.count() <= SENT else places_of
+        places_of = stage(wanted, "wanted", COUNTED)
+        wanted = F.broadcast(places_of) if places_of.measured["n"] <= SENT else places_of
         on = (F.col("key") == F.col("k")) & (F.col("doc") == F.col("d")) & (F.col("pos") == F.col("p"))
         lines = stage(seen.select("key", "doc", "pos", "line").join(wanted, on, "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
         unstage(places_of)

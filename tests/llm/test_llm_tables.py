@@ -314,6 +314,52 @@ def test_edit_similarity_of_long_lines_is_exact(spark):
     assert [r["x"] for r in found] == want
 
 
+def test_alignment_of_words_settles_no_pair_wrongly(spark):
+    """Words moved, left out, put in and replaced all over the line, about as many as the limit allows."""
+    random = np.random.default_rng(8)
+    word = lambda: "".join(random.choice(list("abcdé"), random.integers(1, 7)))
+    pairs = []
+    for _ in range(300):
+        base = [word() for _ in range(random.integers(1, 60))]
+        other = list(base)
+        for _ in range(random.integers(0, 1 + len(base) // 3)):
+            at = int(random.integers(0, len(other) + 1))
+            end = at + int(random.integers(0, 3))
+            other[at:end] = [base[int(random.integers(len(base)))] if random.random() < 0.3 else word() for _ in range(random.integers(0, 3))]
+        pairs.append((" ".join(base), " ".join(other or base)))
+    con = duckdb.connect()
+    # the database counts bytes: a letter of two is told as one
+    want = [con.execute("SELECT levenshtein(?, ?)", [a.replace("é", "e"), b.replace("é", "e")]).fetchone()[0] for a, b in pairs]
+    want = [d <= int(0.2 * max(len(a), len(b)) + 1e-9) for d, (a, b) in zip(want, pairs)]
+    assert 60 < sum(want) < 240
+    found = spark.createDataFrame(pairs, "a string, b string").select(lines.edit_similar("a", "b").alias("x")).collect()
+    assert [r["x"] for r in found] == want
+
+
+def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch):
+    """Lines of the same words in another order meet in every round, and are not similar."""
+    compared, verified = [], lines._verified
+
+    def watched(pairs, texts):
+        compared.extend((bytes(r["a"]), bytes(r["b"])) for r in pairs.collect())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(lines, "_verified", watched)
+    words = [f"word{i:02}" for i in range(24)]
+    texts = [" ".join(words), " ".join(words[12:] + words[:12]), " ".join([*words[:-1], "another"]), " ".join([*words[12:], *words[1:12], "other"])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = {r["doc_id"] for r in lines.removed(frame).where("size(removed) > 0").collect()}
+    assert gone == {2, 3}
+    assert compared and len(compared) == len(set(compared))
+
+
+def test_what_a_staged_table_measures(spark):
+    found = stage(spark.range(7), "numbers", {"n": "count(1)", "high": "max(id)"})
+    assert found.measured == {"n": 7, "high": 6} and found.count() == 7
+    assert stage(spark.range(0), "numbers", {"n": "count(1)"}).measured == {"n": 0}
+    assert stage(spark.range(2).where("id > 5"), "numbers", {"n": "count(1)"}).measured == {"n": 0}
+
+
 def test_fingerprints(spark):
     """Repeated lines, short ones and one that is longer than the narrow counts hold."""
     texts = ["some words that stand in a line of words", "one", " ".join(f"w{i % 777}" for i in range(70_000))]
