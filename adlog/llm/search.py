@@ -14,7 +14,9 @@ are global, so scores of different shards compare.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlog.llm.common import WordHashes, hashed, small_batches, spans, stage, unstage, words_of
+from adlog.llm.common import small_batches, spans, stage, unstage, word_hashes
 
 K1, B = 1.2, 0.75
 BLOCK = 64
@@ -31,9 +33,19 @@ SHARD_WORDS, SHARD_DOCS = 4_000_000, 65_536
 #: Terms of the queries that are sent to the tasks at once, about; each portion is a pass over the index.
 PORTION_TERMS = 1_000_000
 #: Shards have levels by a hash, each about a quarter as large as the one below; the first round has this many shards or more.
-LEVELS, FIRST_SHARDS = 12, 2
-#: Without a bound, one comes from the heaviest lists with this share of a query's postings.
-SEEN = 0.25
+LEVELS, FIRST_SHARDS = 12, 8
+#: A term that so large a share of a shard's documents has is frequent; arrays of documents and queries or terms have so many cells at most.
+FREQUENT, CELLS = 0.05, 2_000_000
+#: Documents are grouped by so many of the most frequent terms, halved so many times.
+GROUP_TERMS, HALVINGS = 256, 2
+#: Groups of fewer than twice so many documents are not halved.
+GROUP_DOCS = 512
+#: One in so many columns, of the most frequent terms, is read last.
+COMMON = 8
+#: Blocks that are read at once where most of them have pivots.
+TOGETHER = 4
+#: Postings of rare terms that are added up at once, about.
+AT_ONCE = 1 << 16
 #: Scores count to this many digits; documents of equal scores are ordered by id, NULL last.
 DIGITS = 6
 NO_ID = np.iinfo(np.int64).min
@@ -46,26 +58,68 @@ def index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     small_batches(docs.sparkSession)
 
     def build(batches):
-        memory = WordHashes()
         held: list[tuple[int, np.ndarray, np.ndarray, int]] = []
         words = 0
         for pdf in batches:
-            for ident, value in zip(pdf["doc_id"], pdf["text"]):
-                terms = hashed(words_of(value if isinstance(value, str) else None), memory)
+            for ident, terms in zip(pdf["doc_id"], _terms(pdf["text"].tolist())):
                 unique, times = np.unique(terms, return_counts=True)
                 held.append((NO_ID if pd.isna(ident) else int(ident), unique, times.astype("<u4"), len(terms)))
                 words += len(terms)
                 if words >= SHARD_WORDS or len(held) >= SHARD_DOCS:
-                    out, held, words = _shard(held), [], 0
-                    yield out
-                    del out
+                    some, held, words = held, [], 0
+                    yield from map(_shard, _alike(some))
+                    del some
         if held:
-            yield _shard(held)
+            yield from map(_shard, _alike(held))
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return stage(rows.mapInPandas(build, SHARD), "index", partitionBy="level")
 
 
+def _terms(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """The hashes of each text's words."""
+    for hashes, ends in word_hashes(texts):
+        start = 0
+        for end in ends.tolist():
+            yield hashes[start:end]
+            start = end
+
+
+def _groups(docs: list[np.ndarray], halvings: int) -> np.ndarray:
+    """A number for each document, of those with much the same frequent terms: all are halved along what tells them apart most, then the
+    halves. Terms are told by some bits of their hashes. The numbers decide on places of documents alone."""
+    place, term = np.repeat(np.arange(len(docs)), [len(x) for x in docs]), np.concatenate(docs)
+    bits = (term & np.uint64(0xFFFF)).astype(np.int64)
+    often = np.argsort(-np.bincount(bits, minlength=1 << 16), kind="stable")[:GROUP_TERMS]
+    column = np.full(1 << 16, -1)
+    column[often] = np.arange(len(often))
+    column = column[bits]
+    has = column >= 0
+    rows = np.zeros((len(docs), len(often)), dtype=np.float32)
+    rows[place[has], column[has]] = 1
+    rows /= np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
+    group = np.zeros(len(docs), dtype=np.int64)
+    for _ in range(halvings):
+        group *= 2
+        for one in np.unique(group).tolist():
+            of = np.flatnonzero(group == one)
+            if len(of) < 2 * GROUP_DOCS:
+                continue
+            some = rows[of] - rows[of].mean(0)
+            axis = some.T @ some[:, np.argmax(np.square(some).sum(0))]
+            for _ in range(8):
+                axis = some.T @ (some @ (axis / max(float(np.sqrt(axis @ axis)), 1e-12)))
+            group[of] += some @ axis > 0
+    return group
+
+
+def _alike(held: list) -> Iterator[list]:
+    """The documents in parts for shards of like documents, which have like terms and bounds."""
+    group = _groups([x[1] for x in held], HALVINGS)
+    for one in np.unique(group).tolist():
+        yield [held[i] for i in np.flatnonzero(group == one).tolist()]
+
+
 def _shard(held: list) -> pd.DataFrame:
     held.sort(key=lambda x: (x[3], x[0]))  # documents of like lengths have like bounds
     ids, lengths = np.array([x[0] for x in held], dtype="<i8"), np.array([x[3] for x in held], dtype="<i8")
@@ -96,8 +150,24 @@ def document_frequencies(shards: DataFrame) -> DataFrame:
     return small.groupBy("term").agg(F.sum("df").alias("df"))
 
 
+@dataclass
+class Asked:
+    """The queries of a portion: their different terms in order, and one after the other the terms of each query, by number, with weights."""
+
+    names: list[str]
+    keys: np.ndarray
+    at: np.ndarray
+    weights: np.ndarray
+    sizes: np.ndarray
+
+    @cached_property
+    def query(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+
 class Shard:
-    """The postings of a shard with their BM25 parts, and the largest part of each term, in all and by block."""
+    """The postings of a shard with their BM25 parts, and the largest part of each term. The lists of frequent terms are columns of an
+    array, with the largest part in each block. These have half precision: whatever may be among the best is scored anew in doubles."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
@@ -106,98 +176,169 @@ class Shard:
         self.ends = np.frombuffer(row["ends"], dtype="<i8")
         self.starts = np.append(0, self.ends)[:-1]
         self.places = np.frombuffer(row["places"], dtype="<u4")
-        times = np.frombuffer(row["times"], dtype="<u4")
-        norm = K1 * (1 - B + B * lengths / max(mean, 1e-12))
+        self.times = np.frombuffer(row["times"], dtype="<u4")
+        self.norm = K1 * (1 - B + B * lengths / max(mean, 1e-12))
         # postings are millions: two arrays of doubles at a time
-        self.parts = norm[self.places]
-        self.parts += times
-        np.divide(times * (K1 + 1), self.parts, out=self.parts)
-        # runs of postings of one term in one block
-        block = self.places // BLOCK
-        new = np.ones(len(block), dtype=bool)
-        new[1:] = block[1:] != block[:-1]
-        new[self.starts] = True
-        run_start = np.flatnonzero(new)
-        self.run_block = block[run_start]
-        del block, new
-        self.run_most = np.maximum.reduceat(self.parts, run_start) if len(run_start) else self.parts
-        self.term_runs = np.searchsorted(run_start, np.append(self.starts, len(self.parts)))
+        self.parts = self._part(self.times, self.places).astype(np.float32)
         self.term_most = np.maximum.reduceat(self.parts, self.starts) if len(self.terms) else self.parts
         self.blocks = -(-len(self.ids) // BLOCK)
-        self.run_start = np.append(run_start, len(self.parts)).astype(np.uint32)  # and the end of the last one
         self.read = 0
 
+    def _part(self, times: np.ndarray, places: np.ndarray) -> np.ndarray:
+        below = self.norm[places]
+        below += times
+        return np.divide(times * (K1 + 1), below, out=below)
+
+    @cached_property
+    def frequent(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The column of each list, -1 of those that have none; the columns, by document; and by block their largest parts and numbers of
+        postings."""
+        sizes = self.ends - self.starts
+        lists = np.flatnonzero(sizes >= FREQUENT * len(self.ids))
+        lists = lists[np.argsort(-sizes[lists], kind="stable")][: 3 * CELLS // (self.blocks * BLOCK)]
+        column = np.full(len(self.terms), -1)
+        column[lists] = np.arange(len(lists))
+        postings, at = spans(self.starts[lists], self.ends[lists], np.arange(len(lists)))
+        parts = np.zeros((self.blocks * BLOCK, len(lists)), dtype=np.float32)
+        parts[self.places[postings], at] = self.parts[postings]
+        by_block = parts.reshape(self.blocks, BLOCK, len(lists))
+        return column, parts, by_block.max(1), np.count_nonzero(by_block, axis=1).astype(np.float32)
+
+    @cached_property
+    def by_document(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The postings in order of documents, their lists, and where the postings of each document begin and end."""
+        order = np.argsort(self.places.astype(np.min_scalar_type(len(self.ids))), kind="stable").astype(np.uint32)
+        lists = np.repeat(np.arange(len(self.terms), dtype=np.uint32), self.ends - self.starts)[order]
+        return order, lists, np.append(0, np.cumsum(np.bincount(self.places, minlength=len(self.ids))))
+
+    def exact(self, places: np.ndarray, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The scores of some documents for a query, whose lists come in order."""
+        order, of, ends = self.by_document
+        here, document = spans(ends[places], ends[places + 1], np.arange(len(places)))
+        at = np.searchsorted(lists, of[here])
+        at[at == len(lists)] = 0
+        good = lists[at] == of[here]
+        postings = order[here[good]]
+        return np.bincount(document[good], weights[at[good]] * self._part(self.times[postings], self.places[postings]), len(places))
+
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = -math.inf) -> tuple[list[tuple[int, float]], int]:
-        """The k best (id, score) by score, then id, of those that score ``least`` or more; and in how many blocks documents
-        were scored. Only documents with a term of the query. ``read`` counts the postings that were read."""
-        at = np.searchsorted(self.terms, terms)
+        """:meth:`search_all` for one query: what it finds, and in how many blocks documents were scored."""
+        keys, at = np.unique(terms, return_inverse=True)
+        asked = Asked(["query"], keys, np.arange(len(keys)), np.bincount(at, weights, len(keys)), np.array([len(keys)]))
+        found, scored = [], 0
+        for _, found, scored in self.search_all(asked, k, np.array([least])):
+            pass
+        return found, scored
+
+    def search_all(self, asked: Asked, k: int, least: np.ndarray) -> Iterator[tuple[int, list[tuple[int, float]], int]]:
+        """For each query that has some: its number, the k best (id, score) by score, then id, of those that score its ``least`` or more,
+        and in how many blocks documents were scored. Only documents with a term of the query. ``read`` counts the postings that were read."""
+        if not len(self.terms) or not len(asked.keys):
+            return
+        at = np.searchsorted(self.terms, asked.keys)
         at[at == len(self.terms)] = 0
-        known = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), dtype=bool)
-        at, weights = at[known], weights[known]
-        if not len(at):
-            return [], 0
-        most = weights * self.term_most[at]
-        slack = 10.0**-DIGITS
-        if most.sum() < least - slack:
-            return [], 0
-        rising = np.argsort(most, kind="stable")
-        at, weights, most = at[rising], weights[rising], most[rising]
-        below = np.cumsum(most)
-        sums, unread = np.zeros(len(self.ids)), len(at)
-        if least < 0:
-            # what documents have of the heaviest lists gives a first bound
-            later = np.cumsum((self.ends - self.starts)[at][::-1])[::-1]
-            unread = int(np.searchsorted(-later, -SEEN * later[0]))
-            sums += self._sums(at[unread:], weights[unread:])
-            least = max(least, self._least(sums, k))
-        # lists that reach the bound only with others are skipped as long as no pivot asks for them
-        light = min(unread, int(np.searchsorted(below, least - slack)))
-        if light < unread:
-            sums += self._sums(at[light:unread], weights[light:unread])
-        least = max(least, self._least(sums, k))
-        rest = below[light - 1] if light else 0.0
-        pivots = np.flatnonzero((sums > 0) & (sums + rest >= least - slack))
-        while light and len(pivots):
-            runs, weight = spans(self.term_runs[at[:light]], self.term_runs[at[:light] + 1], weights[:light])
-            block = self.run_block[runs]
-            others = np.bincount(block, weight * self.run_most[runs], self.blocks)
-            pivots = pivots[sums[pivots] + others[pivots // BLOCK] >= least - slack]
-            blocks = np.zeros(self.blocks, dtype=bool)
-            blocks[pivots // BLOCK] = True
-            # the heavier ones first, so that fewer blocks are left for the long lists of frequent terms
-            left = light // 16 if light >= 16 else light // 2
-            done = np.sum(self.term_runs[at[:left] + 1] - self.term_runs[at[:left]])
-            mine = blocks[block]
-            mine[:done] = False
-            postings, w = spans(self.run_start[runs[mine]].astype(np.int64), self.run_start[runs[mine] + 1].astype(np.int64), weight[mine])
-            self.read += len(postings)
-            sums += np.bincount(self.places[postings], w * self.parts[postings], len(sums))
-            light = left
-            if len(pivots) >= k:
-                least = max(least, self._least(sums[pivots], k))
-        blocks = np.zeros(self.blocks, dtype=bool)
-        blocks[pivots // BLOCK] = True
-        values = np.round(sums[pivots], DIGITS)
-        good = values >= least - slack
-        values, pivots = values[good], pivots[good]
-        if len(pivots) > k:
-            good = values >= np.partition(values, len(values) - k)[len(values) - k]
-            values, pivots = values[good], pivots[good]
-        return merged([], list(zip(self.ids[pivots].tolist(), values.tolist())), k), int(blocks.sum())
-
-    def _sums(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What every document has of some whole lists."""
-        postings, w = spans(self.starts[at], self.ends[at], weights)
-        self.read += len(postings)
-        return np.bincount(self.places[postings], w * self.parts[postings], len(self.ids))
+        at[self.terms[at] != asked.keys] = -1
+        at = at[asked.at]
+        known = np.flatnonzero(at >= 0)
+        query, at, weight = asked.query[known], at[known], asked.weights[known]
+        most = np.bincount(query, weight * self.term_most[at], len(least))
+        # sums of single precision are so far off at most
+        off = 10.0**-DIGITS + most * (np.bincount(query, minlength=len(least)) + 4) * 2.0**-23
+        reach = (most > 0) & (most >= least - off)
+        wanted, known = np.flatnonzero(reach), reach[query]
+        query, at, weight = query[known], at[known], weight[known]
+        size = max(1, CELLS // (self.blocks * BLOCK))
+        for some in (wanted[i : i + size] for i in range(0, len(wanted), size)):
+            first, end = np.searchsorted(query, [some[0], some[-1] + 1])
+            starts, ends = np.searchsorted(query[first:end], [some, some + 1])
+            yield from zip(some.tolist(), *self._scored(at[first:end], weight[first:end], starts, ends, k, least[some], off[some]))
+
+    def _scored(self, lists, weights, starts, ends, k: int, least: np.ndarray, off: np.ndarray) -> tuple[list[list[tuple[int, float]]], list[int]]:
+        column, parts, block_most, block_sizes = self.frequent
+        rows, width = len(starts), len(parts)
+        columns = column[lists]
+        # the lists that are not frequent are read whole
+        rare = np.flatnonzero(columns < 0)
+        rare_lists, rare_weights = lists[rare], weights[rare].astype(np.float32)
+        firsts, lasts = self.starts[rare_lists], self.ends[rare_lists]
+        self.read += int((lasts - firsts).sum())
+        sums = np.empty((rows, width), dtype=np.float32)
+        begin, end = np.searchsorted(rare, starts), np.searchsorted(rare, ends)
+        sizes = lasts - firsts
+        many = np.append(0, np.cumsum(sizes))
+        at, last = np.repeat(np.arange(rows) * width, end - begin), many[end]
+        i = 0
+        while i < rows:
+            j = min(max(i + 1, int(np.searchsorted(last, many[begin[i]] + AT_ONCE))), i + max(1, 4 * AT_ONCE // width), rows)
+            mine = slice(begin[i], end[j - 1])
+            postings, w = spans(firsts[mine], lasts[mine], rare_weights[mine])
+            w *= self.parts[postings]
+            places = np.repeat(at[mine] - i * width, sizes[mine])
+            places += self.places[postings]
+            sums[i:j] = np.bincount(places, w, (j - i) * width).reshape(j - i, width)
+            i = j
+        # what documents have of them gives a first bound
+        free = np.flatnonzero(least < 0) if len(self.ids) >= k else np.zeros(0, dtype=int)
+        least = self._bounds(sums, k, least, off, free)
+        entry, row = spans(starts, ends, np.arange(rows))
+        often = columns[entry] >= 0
+        entry, row = entry[often], row[often]
+        asked = np.zeros((rows, parts.shape[1]), dtype=np.float32)
+        asked[row, columns[entry]] = weights[entry]
+        scored = np.zeros(rows, dtype=int)
+        # the most frequent lists come last, when fewer documents are left that reach the bound with them
+        common = slice(0, parts.shape[1] // COMMON)
+        for some in (slice(common.stop, None), common):
+            # a document is a pivot if the block maxima of the lists to come take it to the bound; they are read in blocks of pivots alone
+            bounds = asked[:, : some.stop] @ block_most[:, : some.stop].T
+            bounds += sums.reshape(rows, self.blocks, BLOCK).max(2)
+            pivots = (bounds > 0) & (bounds >= (least - off)[:, None])
+            if some is not common:
+                scored += pivots.sum(1)
+            self._add(sums, asked[:, some], parts[:, some], pivots)
+            here = (columns[entry] < common.stop) == (some is common)
+            self.read += int((pivots.astype(np.float32) @ block_sizes[:, some])[row[here], columns[entry[here]] - (some.start or 0)].sum(dtype=float))
+        least = self._bounds(sums, k, least, off, free)
+        row, place = np.divmod(np.flatnonzero(sums >= np.maximum(least - off, np.finfo(np.float32).tiny)[:, None].astype(np.float32)), width)
+        found: list[list[tuple[int, float]]] = [[] for _ in range(rows)]
+        at = np.flatnonzero(np.append(True, row[1:] != row[:-1])[: len(row)]).tolist()
+        for a, b in zip(at, [*at[1:], len(row)]):
+            i = int(row[a])
+            mine = slice(starts[i], ends[i])
+            values = np.round(self.exact(place[a:b], lists[mine], weights[mine]), DIGITS)
+            good = values >= least[i] - off[i]
+            values, here = values[good], place[a:b][good]
+            if len(here) > k:
+                good = values >= np.partition(values, len(values) - k)[len(values) - k]
+                values, here = values[good], here[good]
+            found[i] = merged([], list(zip(self.ids[here].tolist(), values.tolist())), k)
+        return found, scored.tolist()
+
+    def _add(self, sums: np.ndarray, asked: np.ndarray, parts: np.ndarray, pivots: np.ndarray) -> None:
+        """Add what the documents have of some frequent lists in blocks of pivots. Where others are read with them, these become pivots."""
+        for first in range(0, self.blocks, TOGETHER):
+            these = pivots[:, first : first + TOGETHER]
+            rows = np.flatnonzero(these.any(1))
+            alike = len(rows) and these[rows].mean() > 0.75
+            for blocks in [these] if alike else np.split(these, range(1, these.shape[1]), axis=1):
+                here, first = slice(first * BLOCK, (first + blocks.shape[1]) * BLOCK), first + blocks.shape[1]
+                rows = rows if alike else np.flatnonzero(blocks[:, 0])
+                if not len(rows):
+                    continue
+                if len(rows) > 0.8 * (rows[-1] + 1 - rows[0]):
+                    rows = slice(rows[0], rows[-1] + 1)  # without a copy
+                blocks[rows] = True
+                sums[rows, here] += asked[rows] @ parts[here].T
 
     @staticmethod
-    def _least(sums: np.ndarray, k: int) -> float:
-        """A lower bound of the k-th best score, from parts of the scores."""
-        if len(sums) < k:
-            return -math.inf
-        least = float(np.partition(sums, len(sums) - k)[len(sums) - k])
-        return least if least > 0 else -math.inf
+    def _bounds(sums: np.ndarray, k: int, least: np.ndarray, off: np.ndarray, free: np.ndarray) -> np.ndarray:
+        """Lower bounds of the k-th best scores of the free rows, from parts of the scores."""
+        if not len(free):
+            return least
+        first = np.partition(sums[free], sums.shape[1] - k, axis=1)[:, sums.shape[1] - k] - off[free]
+        least = least.copy()
+        least[free] = np.where(first > 0, np.maximum(first, least[free]), least[free])
+        return least
 
 
 def merged(found: list[tuple[int, float]], more: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
@@ -210,13 +351,11 @@ def query_terms(queries: DataFrame, text: str = "text") -> DataFrame:
     small_batches(queries.sparkSession)
 
     def terms(batches):
-        memory = WordHashes()
         for pdf in batches:
-            for key, value in zip(pdf["query"], pdf["text"]):
-                counts = Counter(hashed(words_of(value), memory).tolist())
-                if not counts:
-                    continue
-                yield pd.DataFrame({"query": [key] * len(counts), "term": np.array(list(counts), dtype=np.uint64).astype(np.int64), "times": list(counts.values())})
+            for key, hashes in zip(pdf["query"], _terms(pdf["text"].tolist())):
+                unique, times = np.unique(hashes, return_counts=True)
+                if len(unique):
+                    yield pd.DataFrame({"query": [key] * len(unique), "term": unique.astype(np.int64), "times": times})
 
     rows = queries.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("query"), F.col(text).alias("text"))
     return rows.dropDuplicates(["query"]).mapInPandas(terms, "query string, term long, times long")
@@ -267,9 +406,9 @@ def _portion(shards: DataFrame, rounds: list[list[int]], asked: DataFrame, mean:
     context = shards.sparkSession.sparkContext
     mine = asked.select("query", "terms.term", "terms.weight").toArrow()
     names, term, weight = (mine[c].combine_chunks() for c in ("query", "term", "weight"))
+    hashes, weights = np.asarray(term.flatten()).astype(np.uint64), np.asarray(weight.flatten())
     ends = np.asarray(term.offsets) if len(term) else np.zeros(1, dtype=int)
-    keys, weights = np.asarray(term.flatten()).astype(np.uint64), np.asarray(weight.flatten())
-    sent = context.broadcast(sorted(((q.as_py(), keys[a:b], weights[a:b]) for q, a, b in zip(names, ends[:-1], ends[1:])), key=lambda x: x[0]))
+    sent = context.broadcast(_asked(names.to_pylist(), hashes, weights, np.diff(ends)))
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     best = None
     for levels in rounds:
@@ -286,24 +425,38 @@ def _portion(shards: DataFrame, rounds: list[list[int]], asked: DataFrame, mean:
     return best
 
 
+def _asked(names: list[str], hashes: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> Asked:
+    """Queries in an order that has like ones together, each with its terms in order."""
+    keys, at = np.unique(hashes, return_inverse=True)
+    query = np.repeat(np.arange(len(names)), sizes)
+    group = _groups(np.split(hashes, np.cumsum(sizes)[:-1]), HALVINGS + 1) if names else np.zeros(0, dtype=int)
+    order = np.lexsort((np.arange(len(names)), group))
+    rank = np.empty(len(names), dtype=np.int64)
+    rank[order] = np.arange(len(names))
+    entries = np.lexsort((at, rank[query]))
+    return Asked([names[i] for i in order.tolist()], keys, at[entries].astype(np.int32), weights[entries], sizes[order])
+
+
 def _searched(shards: DataFrame, sent, least, mean: float, k: int) -> DataFrame:
     def search(batches):
-        best: list[list] = [[] for _ in sent.value]
+        asked = sent.value
+        best: list[list] = [[] for _ in asked.names]
+        bound = np.array([least.value.get(query, -math.inf) for query in asked.names])
         for pdf in batches:
             records = pdf.to_dict("records")
             del pdf
             for row in records:
                 shard = Shard(row, mean)
                 row.clear()
-                for i, (query, terms, weights) in enumerate(sent.value):
-                    bound = best[i][-1][1] if len(best[i]) >= k else -math.inf
-                    found, _ = shard.search(terms, weights, k, max(bound, least.value.get(query, -math.inf)))
+                for i, found, _ in shard.search_all(asked, k, bound):
                     if found:
                         best[i] = merged(best[i], found, k)
+                        if len(best[i]) >= k:
+                            bound[i] = max(bound[i], best[i][-1][1])
                 del shard  # before the next one comes
         for first in range(0, len(best), 4096):
-            some = zip(sent.value[first : first + 4096], best[first : first + 4096])
-            out = [(query, None if ident == NO_ID else ident, score) for (query, _, _), found in some for ident, score in found]
+            some = zip(asked.names[first : first + 4096], best[first : first + 4096])
+            out = [(query, None if ident == NO_ID else ident, score) for query, found in some for ident, score in found]
             frame = pd.DataFrame(out, columns=["query", "doc_id", "score"])
             yield frame.astype({"query": object, "doc_id": "Int64", "score": float})
 
