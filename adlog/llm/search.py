@@ -1,10 +1,10 @@
 """Exact top-k search: BM25 over an inverted index in shards with block-max WAND pruning, merged exactly.
 
-Every shard is a row of a Parquet table: the postings of its documents by term, in document order. With a lower bound of the
-k-th best score, a query's lists fall in two: those whose list-wide bounds together stay below it, and the rest. As in WAND, only a document of
-the rest can be a pivot. What a pivot has in the rest and the block maxima of the other lists must reach the bound; these lists are
-read in the blocks of such pivots alone and skipped elsewhere. Pivots are arrays in document order, not one cursor step at a time,
-which would be a Python loop.
+Every shard is a row of a Parquet table: the postings of like documents by term, in document order. Many queries are searched in a shard
+at once. The lists of terms that are rare in it are read whole. Those of frequent terms are columns of an array: as in WAND, a document is a
+pivot if what it has so far and the block maxima of the lists to come reach a lower bound of the k-th best score; products of arrays
+read the columns for all queries in the blocks of their pivots and skip them elsewhere, the most frequent ones last. Sums are single
+precision and may be off by a known amount; what may be among the best is scored anew in doubles.
 
 The bound is shared: shards are searched in rounds, each some four times the one before, and a round starts from the k-th best
 score of all earlier ones. Tasks merge their shards before rows go out. Frequencies, the number of documents and the mean length
@@ -167,7 +167,7 @@ class Asked:
 
 class Shard:
     """The postings of a shard with their BM25 parts, and the largest part of each term. The lists of frequent terms are columns of an
-    array, with the largest part in each block. These have half precision: whatever may be among the best is scored anew in doubles."""
+    array, with the largest part in each block. These are single precision: whatever may be among the best is scored anew in doubles."""
 
     def __init__(self, row: dict, mean: float):
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
@@ -204,22 +204,25 @@ class Shard:
         by_block = parts.reshape(self.blocks, BLOCK, len(lists))
         return column, parts, by_block.max(1), np.count_nonzero(by_block, axis=1).astype(np.float32)
 
-    @cached_property
-    def by_document(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The postings in order of documents, their lists, and where the postings of each document begin and end."""
-        order = np.argsort(self.places.astype(np.min_scalar_type(len(self.ids))), kind="stable").astype(np.uint32)
-        lists = np.repeat(np.arange(len(self.terms), dtype=np.uint32), self.ends - self.starts)[order]
-        return order, lists, np.append(0, np.cumsum(np.bincount(self.places, minlength=len(self.ids))))
-
-    def exact(self, places: np.ndarray, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The scores of some documents for a query, whose lists come in order."""
-        order, of, ends = self.by_document
-        here, document = spans(ends[places], ends[places + 1], np.arange(len(places)))
+    def by_document(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The lists and BM25 parts of the postings of some documents, one document after the other, and for all documents where theirs
+        start and end."""
+        some = np.zeros(len(self.ids), dtype=bool)
+        some[places] = True
+        here = np.flatnonzero(some[self.places])
+        here = here[np.argsort(self.places[here].astype(np.min_scalar_type(len(self.ids))), kind="stable")]
+        ends = np.append(0, np.cumsum(np.bincount(self.places[here], minlength=len(self.ids))))
+        return np.searchsorted(self.ends, here, "right"), self._part(self.times[here], self.places[here]), ends[:-1], ends[1:]
+
+    @staticmethod
+    def exact(postings: tuple, places: np.ndarray, lists: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The scores of some documents, with their postings by document, for a query, whose lists come in order."""
+        of, parts, starts, ends = postings
+        here, document = spans(starts[places], ends[places], np.arange(len(places)))
         at = np.searchsorted(lists, of[here])
         at[at == len(lists)] = 0
         good = lists[at] == of[here]
-        postings = order[here[good]]
-        return np.bincount(document[good], weights[at[good]] * self._part(self.times[postings], self.places[postings]), len(places))
+        return np.bincount(document[good], weights[at[good]] * parts[here[good]], len(places))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float = -math.inf) -> tuple[list[tuple[int, float]], int]:
         """:meth:`search_all` for one query: what it finds, and in how many blocks documents were scored."""
@@ -301,11 +304,12 @@ class Shard:
         least = self._bounds(sums, k, least, off, free)
         row, place = np.divmod(np.flatnonzero(sums >= np.maximum(least - off, np.finfo(np.float32).tiny)[:, None].astype(np.float32)), width)
         found: list[list[tuple[int, float]]] = [[] for _ in range(rows)]
+        postings = self.by_document(place)
         at = np.flatnonzero(np.append(True, row[1:] != row[:-1])[: len(row)]).tolist()
         for a, b in zip(at, [*at[1:], len(row)]):
             i = int(row[a])
             mine = slice(starts[i], ends[i])
-            values = np.round(self.exact(place[a:b], lists[mine], weights[mine]), DIGITS)
+            values = np.round(self.exact(postings, place[a:b], lists[mine], weights[mine]), DIGITS)
             good = values >= least[i] - off[i]
             values, here = values[good], place[a:b][good]
             if len(here) > k:

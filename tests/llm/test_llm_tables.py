@@ -3,6 +3,7 @@
 import ctypes
 import json
 import math
+import sys
 import time
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -501,6 +502,65 @@ def test_search_with_a_bound_skips_lists():
     assert bounded < 0.5 * whole
 
 
+def kinds_of_documents(many):
+    """Documents of two kinds, with words of their own and some in common, of 10 to 200 words."""
+    random = np.random.default_rng(12)
+    held = []
+    for i in range(many):
+        size = int(random.integers(10, 200))
+        words = random.zipf(1.2, size).astype(np.uint64) % np.uint64(5000)
+        terms, times = np.unique(np.where(words % 7 == 0, words, words + np.uint64(10_000 * (1 + i % 2))), return_counts=True)
+        held.append((i, terms, times, size))
+    return held
+
+
+def asked_of(held, frequency):
+    terms = np.concatenate([h[1] for h in held])
+    weights = np.concatenate([h[2] * np.array([math.log(1 + 3000 / frequency[t]) for t in h[1].tolist()]) for h in held])
+    return search._asked([str(h[0]) for h in held], terms, weights, np.array([len(h[1]) for h in held]))
+
+
+def test_many_whole_documents_are_searched_at_once():
+    held = kinds_of_documents(3000)
+    mean = np.mean([h[3] for h in held])
+    frequency = Counter(t for h in held for t in h[1].tolist())
+    asked = asked_of(held[:150], frequency)
+    shard = search.Shard(search._shard(list(held)).iloc[0].to_dict(), mean)
+    parts = [{t: c * 2.2 / (c + 1.2 * (0.25 + 0.75 * size / mean)) for t, c in zip(terms.tolist(), times.tolist())} for _, terms, times, size in held]
+    ends = np.cumsum(asked.sizes)
+    unbounded, bound, most = np.full(150, -math.inf), np.zeros(150), np.zeros(150)
+    for number, found, _ in shard.search_all(asked, 10, unbounded):
+        mine = slice(ends[number] - asked.sizes[number], ends[number])
+        terms = asked.keys[asked.at[mine]].tolist()
+        want = sorted(((-round(sum(w * p.get(t, 0) for t, w in zip(terms, asked.weights[mine])), 6), i) for i, p in enumerate(parts)))[:10]
+        assert [s for _, s in found] == pytest.approx([-s for s, _ in want], abs=2e-6)
+        assert asked.names[number] in {str(i) for i, _ in found}
+        assert shard.search(np.array(terms, dtype=np.uint64), asked.weights[mine], 10)[0] == found
+        bound[number], most[number] = found[-1][1], found[0][1]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    # with bounds that no document reaches, nothing is done for single queries
+    before = shard.read
+    sys.setprofile(count)
+    try:
+        rest = [found for _, found, _ in shard.search_all(asked, 10, most + 1) if found]
+    finally:
+        sys.setprofile(None)
+    assert not rest and shard.read > before and calls < 30 * 150, calls
+    assert all(len(found) >= 10 and found[9][1] == bound[number] for number, found, _ in shard.search_all(asked, 10, bound))
+
+
+def test_shards_have_like_documents():
+    parts = list(search._alike(kinds_of_documents(3000)))
+    assert len(parts) > 1 and sorted(h[0] for part in parts for h in part) == list(range(3000))
+    odd = [sum(h[0] % 2 for h in part) / len(part) for part in parts]
+    assert all(x < 0.05 or x > 0.95 for x in odd)
+
+
 def test_search_of_odd_rows(odd, none, monkeypatch):
     found = search.top(odd, odd, k=3)
     by = defaultdict(list)
